@@ -1,20 +1,19 @@
 """Data-quality check templates.
 
-A check is a declaration; checks over one table are evaluated together, so the table is scanned
-once for all its row rules, once per key set for uniqueness, and once for its references.
+A check is a declaration. Checks are evaluated together: one aggregate over all stacked tables
+serves every row rule, emptiness check and reconciliation (each table scanned once per scope),
+one grouping serves every uniqueness check, and each reference check is one chain of joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillworks.operators.lookup import probe_keys
-from tillworks.operators.reconcile import side_by_side
 from tillworks.schema import RATE, ROWS
 
 # Categories and severities.
@@ -41,11 +40,6 @@ class Check:
     where: str | None = None  # scope within the table
     on_failure: str = "FAIL"
 
-    @property
-    def scan(self) -> tuple[str, str]:
-        """Checks with an equal scan share one aggregate."""
-        return self.table, self.where or ""
-
 
 @dataclass(frozen=True)
 class NotEmpty(Check):
@@ -70,12 +64,12 @@ class References(Check):
 
 @dataclass(frozen=True)
 class SameValue(Check):
-    """One aggregate of `source` equals one of `table`: a row count, or an amount within 0.01."""
+    """A sum over `source` equals one over `table`: a row count, or an amount within 0.01."""
 
     source: str = ""
     source_where: str | None = None
-    source_value: str = "count(*)"
-    value: str = "count(*)"
+    source_value: str = "1"  # per row, summed
+    value: str = "1"
     amount: bool = False
 
 
@@ -83,89 +77,194 @@ def _scoped(df: DataFrame, where: str | None) -> DataFrame:
     return df.filter(where) if where else df
 
 
-def _result(check: Check, checked: Column, passed: Column, failed: Column, rate: Column, ok: Column) -> Column:
-    return F.struct(
-        F.lit(check.id).alias("CheckID"),
-        F.lit(check.layer).alias("LayerName"),
-        F.lit(check.table).alias("TableName"),
-        F.lit(check.name).alias("CheckName"),
-        F.lit(check.category).alias("CheckCategory"),
-        F.lit(check.severity).alias("SeverityLevel"),
-        checked.cast(ROWS).alias("CheckedRowCount"),
-        passed.cast(ROWS).alias("PassedRowCount"),
-        failed.cast(ROWS).alias("FailedRowCount"),
-        rate.cast(RATE).alias("FailureRate"),
-        F.when(ok, "PASS").otherwise(check.on_failure).alias("CheckStatus"),
-        F.lit(check.description).alias("CheckDescription"),
-    )
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+_VALUE = T.DecimalType(18, 4)
+_SOURCE_SIDE, _TARGET_SIDE = "source", "target"
 
 
-def _guarded(part: Column, whole: Column, empty: int = 0) -> Column:
-    return F.when(whole == 0, F.lit(empty).cast(RATE)).otherwise((part.cast(ROWS) / whole.cast(ROWS)).cast(RATE))
+@dataclass
+class _Scan:
+    """One pass over one scope of a table; each slot is a per-row value to be summed."""
 
+    table: str
+    where: str | None
+    slots: list[str] = field(default_factory=list)
 
-def _row_result(check: RowRule | References, rows: Column, bad: Column) -> Column:
-    strict = isinstance(check, RowRule) and check.empty_fails
-    failed = F.when((rows == 0) & F.lit(strict), 1).otherwise(bad)
-    rate = _guarded(bad, rows, empty=int(strict))
-    return _result(check, rows, rows - bad, failed, rate, failed == 0)
+    def slot(self, expression: str) -> int:
+        if expression not in self.slots:
+            self.slots.append(expression)
+        return self.slots.index(expression)
 
 
-def _inline(aggregated: DataFrame, results: list[Column], by: list[str]) -> DataFrame:
-    return aggregated.select(*by, F.explode(F.array(*results)).alias("r")).select(*by, "r.*")
+def _flag(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
 
 
-def _scan_results(df: DataFrame, checks: list[Check], by: list[str]) -> DataFrame:
-    """All row rules and emptiness checks of one table in one aggregate."""
-    rules = [c for c in checks if isinstance(c, RowRule)]
-    measures = [F.count("*").alias("_rows")]
-    measures += [F.count_if(F.coalesce(F.expr(c.bad), F.lit(False))).alias(f"_bad{i}") for i, c in enumerate(rules)]
-    results = [_row_result(c, F.col("_rows"), F.col(f"_bad{i}")) for i, c in enumerate(rules)]
-    rows = F.col("_rows")
+def _plan_scans(checks: list[Check]) -> tuple[dict[str, _Scan], list[tuple]]:
+    """Which scans are needed, and (scan, slot, check, side) for every value a check reads."""
+    scans: dict[str, _Scan] = {}
+    uses: list[tuple] = []
+
+    def use(check: Check, table: str, where: str | None, expression: str, side: str) -> None:
+        scan = f"{table} WHERE {where or 'true'}"
+        scans.setdefault(scan, _Scan(table, where))
+        uses.append((scan, scans[scan].slot(expression), check.id, side))
+
     for c in checks:
         if isinstance(c, NotEmpty):
-            ok = rows >= c.at_least
-            missing = F.when(ok, 0).otherwise(1)
-            results.append(_result(c, rows, F.when(ok, rows).otherwise(0), missing, missing, ok))
-    return _inline(df.groupBy(*by).agg(*measures), results, by)
+            use(c, c.table, c.where, "0", _TARGET_SIDE)
+        elif isinstance(c, RowRule):
+            use(c, c.table, c.where, _flag(c.bad), _TARGET_SIDE)
+        elif isinstance(c, SameValue):
+            use(c, c.source, c.source_where, c.source_value, _SOURCE_SIDE)
+            use(c, c.table, c.where, c.value, _TARGET_SIDE)
+    return scans, uses
+
+
+def _scan_metrics(checks: list[Check], tables: dict[str, DataFrame], by: list[str]) -> DataFrame | None:
+    """Row counts and summed values of all scans, from one aggregate over the stacked scans."""
+    scans, uses = _plan_scans(checks)
+    if not scans:
+        return None
+    width = max(len(s.slots) for s in scans.values())
+    values = [f"_v{i}" for i in range(width)]
+
+    def rows(name: str, scan: _Scan) -> DataFrame:
+        slots = [F.expr(e) for e in scan.slots] + [F.lit(None)] * (width - len(scan.slots))
+        return _scoped(tables[scan.table], scan.where).select(
+            *by,
+            F.lit(name).alias("_scan"),
+            F.lit(1).alias("_one"),
+            *[c.cast(_VALUE).alias(v) for c, v in zip(slots, values, strict=True)],
+        )
+
+    stacked = _union([rows(name, scan) for name, scan in scans.items()])
+    spark = stacked.sparkSession
+    if not by:  # a scan without rows still has a result
+        none = spark.createDataFrame([(name,) for name in scans], "_scan string")
+        empty = [F.lit(None).cast(_VALUE).alias(v) for v in values]
+        stacked = stacked.unionByName(none.select("_scan", F.lit(0).alias("_one"), *empty))
+    summed = stacked.groupBy(*by, "_scan").agg(
+        F.sum("_one").alias("_rows"), *[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in values]
+    )
+    slots = F.posexplode(F.array(*values)).alias("_slot", "_value")
+    wanted = spark.createDataFrame(uses, "_scan string, _slot int, CheckID string, _side string")
+    return (
+        summed.select(*by, "_scan", "_rows", slots)
+        .join(F.broadcast(wanted), ["_scan", "_slot"])
+        .groupBy(*by, "CheckID")
+        .agg(
+            F.max(F.when(F.col("_side") == _TARGET_SIDE, F.col("_rows"))).alias("_rows"),
+            F.max(F.when(F.col("_side") == _TARGET_SIDE, F.col("_value"))).alias("_value"),
+            F.max(F.when(F.col("_side") == _SOURCE_SIDE, F.col("_value"))).alias("_expected"),
+        )
+    )
+
+
+def _metrics(df: DataFrame, by: list[str], check: Column, rows: Column, value: Column) -> DataFrame:
+    return df.select(
+        *by,
+        check.alias("CheckID"),
+        rows.alias("_rows"),
+        value.cast(T.DecimalType(28, 4)).alias("_value"),
+        F.lit(None).cast(T.DecimalType(28, 4)).alias("_expected"),
+    )
 
 
-def _unique_result(df: DataFrame, check: Unique, by: list[str]) -> DataFrame:
-    """Keys that occur more than once; counted per key first, so a hot key is combined early."""
-    per_key = df.groupBy(*by, *check.keys).agg(F.count("*").alias("_n"))
-    totals = per_key.groupBy(*by).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), F.count_if(F.col("_n") > 1).alias("_repeated")
+def _key_metrics(checks: list[Unique], tables: dict[str, DataFrame], by: list[str]) -> DataFrame | None:
+    """Rows and repeated keys of all uniqueness checks, from one pass over the stacked keys.
+
+    Keys are counted per key before anything else, so copies of a hot key are combined early."""
+    if not checks:
+        return None
+
+    def keys(check: Check) -> DataFrame:
+        parts = [F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in check.keys]
+        return _scoped(tables[check.table], check.where).select(
+            *by, F.lit(check.id).alias("_check"), F.concat_ws("\x01", *parts).alias("_key"), F.lit(1).alias("_one")
+        )
+
+    stacked = _union([keys(c) for c in checks])
+    if not by:
+        none = stacked.sparkSession.createDataFrame([(c.id,) for c in checks], "_check string")
+        stacked = stacked.unionByName(
+            none.select("_check", F.lit(None).cast("string").alias("_key"), F.lit(0).alias("_one"))
+        )
+    totals = (
+        stacked.groupBy(*by, "_check", "_key")
+        .agg(F.sum("_one").alias("_n"))
+        .groupBy(*by, "_check")
+        .agg(F.sum("_n").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_repeated"))
     )
-    unset = F.lit(None)
-    repeated = F.col("_repeated")
-    return _inline(totals, [_result(check, F.col("_rows"), unset, repeated, unset, repeated == 0)], by)
+    return _metrics(totals, by, F.col("_check"), F.col("_rows"), F.col("_repeated"))
 
 
-def _reference_result(check: References, tables: dict[str, DataFrame]) -> DataFrame:
+def _reference_metrics(check: References, tables: dict[str, DataFrame]) -> DataFrame:
     fact = _scoped(tables[check.table], check.where)
     probed, missing = probe_keys(fact, [(c, tables[t], k) for c, t, k in check.links])
     totals = probed.agg(F.count("*").alias("_rows"), F.count_if(missing).alias("_bad"))
-    return _inline(totals, [_row_result(check, F.col("_rows"), F.col("_bad"))], [])
+    return _metrics(totals, [], F.lit(check.id), F.col("_rows"), F.col("_bad"))
+
+
+_SPEC = (
+    "CheckID string, LayerName string, TableName string, CheckName string, CheckCategory string, "
+    "SeverityLevel string, CheckDescription string, _on_failure string, _kind string, "
+    "_at_least int, _empty_fails boolean, _amount boolean"
+)
+
+
+def _spec(c: Check) -> tuple:
+    return (
+        c.id, c.layer, c.table, c.name, c.category, c.severity, c.description, c.on_failure, type(c).__name__,
+        getattr(c, "at_least", 0), getattr(c, "empty_fails", False), getattr(c, "amount", False),
+    )
+
+
+def _share(part: Column, whole: Column) -> Column:
+    return F.when(whole == 0, F.lit(0).cast(RATE)).otherwise((part.cast(ROWS) / whole.cast(ROWS)).cast(RATE))
 
 
-def _same_value_result(check: SameValue, tables: dict[str, DataFrame]) -> DataFrame:
-    source = _scoped(tables[check.source], check.source_where)
-    target = _scoped(tables[check.table], check.where)
-    both = side_by_side(
-        {
-            "_source": (source, F.coalesce(F.expr(check.source_value), F.lit(0))),
-            "_target": (target, F.coalesce(F.expr(check.value), F.lit(0))),
-        }
+def _verdicts(metrics: DataFrame, by: list[str]) -> DataFrame:
+    """Counts, rate and status of each check from its metrics, by the check's template."""
+    kind, rows, value, expected = (F.col(c) for c in ("_kind", "_rows", "_value", "_expected"))
+    gap = F.abs(expected - value)
+    per_row = kind.isin("RowRule", "References")
+    not_empty, unique, same = kind == "NotEmpty", kind == "Unique", kind == "SameValue"
+    missing_rows = F.col("_empty_fails") & (rows == 0)
+    failed = (
+        F.when(not_empty, (rows < F.col("_at_least")).cast("int"))
+        .when(unique, value)
+        .when(same & F.col("_amount"), (gap >= F.lit(AMOUNT_TOLERANCE).cast(_VALUE)).cast("int"))
+        .when(same, gap)
+        .when(missing_rows, 1)
+        .otherwise(value)
     )
-    expected = F.col("_source")
-    gap = F.abs(expected - F.col("_target"))
-    if check.amount:
-        ok = gap < F.lit(AMOUNT_TOLERANCE).cast(T.DecimalType(4, 2))
-        one = F.when(ok, 0).otherwise(1)
-        return _inline(both, [_result(check, F.lit(1), F.lit(1) - one, one, one, ok)], [])
-    ok = gap == 0
-    passed = F.when(ok, expected).otherwise(0)
-    return _inline(both, [_result(check, expected, passed, gap, _guarded(gap, expected), ok)], [])
+    metrics = metrics.withColumn("_failed", failed.cast(ROWS))
+    failed, ok = F.col("_failed"), F.col("_failed") == 0
+    checked = F.when(same & F.col("_amount"), 1).when(same, expected).otherwise(rows).cast(ROWS)
+    passed = (
+        F.when(per_row, rows - value)
+        .when(~unique & ok, checked)
+        .when(not_empty | same, F.lit(0))
+    )
+    rate = (
+        F.when(not_empty | (same & F.col("_amount")) | missing_rows, failed.cast(RATE))
+        .when(same, _share(gap, expected))
+        .when(per_row, _share(value, rows))
+    )
+    return metrics.select(
+        *by,
+        "CheckID", "LayerName", "TableName", "CheckName", "CheckCategory", "SeverityLevel",
+        checked.alias("CheckedRowCount"),
+        passed.cast(ROWS).alias("PassedRowCount"),
+        failed.alias("FailedRowCount"),
+        rate.cast(RATE).alias("FailureRate"),
+        F.when(ok, "PASS").otherwise(F.col("_on_failure")).alias("CheckStatus"),
+        "CheckDescription",
+    )
 
 
 def evaluate(checks: Iterable[Check], tables: dict[str, DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
@@ -173,16 +272,12 @@ def evaluate(checks: Iterable[Check], tables: dict[str, DataFrame], by: tuple[st
 
     With `by`, every batch of a table is checked at once; references and reconciliations are for
     a whole table only."""
-    group, parts = list(by), []
-    scanned = [c for c in checks if isinstance(c, NotEmpty | RowRule)]
-    for (table, _), same in groupby(sorted(scanned, key=lambda c: c.scan), key=lambda c: c.scan):
-        same = list(same)
-        parts.append(_scan_results(_scoped(tables[table], same[0].where), same, group))
-    for c in checks:
-        if isinstance(c, Unique):
-            parts.append(_unique_result(_scoped(tables[c.table], c.where), c, group))
-        elif isinstance(c, References):
-            parts.append(_reference_result(c, tables))
-        elif isinstance(c, SameValue):
-            parts.append(_same_value_result(c, tables))
-    return reduce(DataFrame.unionByName, parts)
+    checks, group = list(checks), list(by)
+    parts = [
+        _scan_metrics(checks, tables, group),
+        _key_metrics([c for c in checks if isinstance(c, Unique)], tables, group),
+        *[_reference_metrics(c, tables) for c in checks if isinstance(c, References)],
+    ]
+    metrics = _union([p for p in parts if p is not None])
+    specs = metrics.sparkSession.createDataFrame([_spec(c) for c in checks], _SPEC)
+    return _verdicts(metrics.join(F.broadcast(specs), "CheckID"), group)

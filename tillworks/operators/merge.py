@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tillworks.operators.numbering import global_row_number
 from tillworks.schema import (
@@ -94,15 +94,40 @@ def seed_unknown(current: DataFrame, dimension: str) -> DataFrame:
     return current.unionByName(seed.join(current, SURROGATE_KEY[dimension], "left_anti"))
 
 
-def merge_dimension(current: DataFrame, source: DataFrame, dimension: str, batch: str) -> DataFrame:
+def _one_per_key(source: DataFrame, dimension: str) -> DataFrame:
+    """Fail the job if a natural key occurs twice, as a MERGE with two matching rows would."""
+    natural = NATURAL_KEY[dimension]
+    copies = F.count("*").over(Window.partitionBy(natural))
+    message = F.lit(f"{dimension}: several source rows for one {natural}")
+    checked = F.when(copies > 1, F.raise_error(message).cast(source.schema[natural].dataType))
+    return source.withColumn(natural, checked.otherwise(F.col(natural)))
+
+
+def merge_dimension(current: DataFrame | None, source: DataFrame, dimension: str, batch: str) -> DataFrame:
     """Type-1 merge: unchanged rows stay, changed rows take the new attributes, new members get
-    the next keys in natural-key order, members absent from the source are kept.
+    the next keys in natural-key order, members absent from the source are kept. A dimension that
+    does not exist yet (None) starts from its unknown member.
 
     `source` has the dimension's attributes and RecordHash, one row per natural key."""
     key, natural = SURROGATE_KEY[dimension], NATURAL_KEY[dimension]
     attributes = list(DIMENSION_COLUMNS[dimension])
-    if not source.groupBy(natural).count().filter("count > 1").isEmpty():
-        raise ValueError(f"{dimension}: several source rows for one {natural}")
+    schema = DIMENSIONS[dimension]
+    source = _one_per_key(source.select(*attributes, "RecordHash"), dimension)
+
+    def stamped(new: DataFrame, highest: int) -> DataFrame:
+        rows = global_row_number(new, natural, name="_n").withColumns(
+            {
+                key: F.col("_n") + highest,
+                "IsCurrent": F.lit(True),
+                "SourceBatchID": F.lit(batch),
+                "CreatedAt": F.current_timestamp(),
+                "UpdatedAt": F.current_timestamp(),
+            }
+        )
+        return conform(rows, schema)
+
+    if current is None:
+        return unknown_member(source.sparkSession, dimension).unionByName(stamped(source, 0))
 
     members = current.filter(F.col(key) != UNKNOWN_KEY)
     incoming = source.select(
@@ -124,20 +149,7 @@ def merge_dimension(current: DataFrame, source: DataFrame, dimension: str, batch
         updated("UpdatedAt", F.current_timestamp()),
         updated("RecordHash", F.col("_hash")),
     )
-    fresh = source.select(*attributes, "RecordHash").join(members, natural, "left_anti")
     highest = members.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    added = (
-        global_row_number(fresh, natural, name="_n")
-        .withColumn(key, F.col("_n") + highest)
-        .withColumn("IsCurrent", F.lit(True))
-        .withColumn("SourceBatchID", F.lit(batch))
-        .withColumn("CreatedAt", F.current_timestamp())
-        .withColumn("UpdatedAt", F.current_timestamp())
-    )
-    schema = DIMENSIONS[dimension]
-    unknown = current.filter(F.col(key) == UNKNOWN_KEY)
-    return (
-        conform(unknown, schema)
-        .unionByName(conform(kept, schema))
-        .unionByName(conform(added, schema))
-    )
+    added = stamped(source.join(members, natural, "left_anti"), highest)
+    unknown = seed_unknown(current, dimension).filter(F.col(key) == UNKNOWN_KEY)
+    return conform(unknown, schema).unionByName(conform(kept, schema)).unionByName(added)

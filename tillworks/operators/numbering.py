@@ -2,12 +2,12 @@
 
 A window with no (or a huge) partition sorts everything in a single task. Here rows are range-
 partitioned and sorted in parallel; each row keeps its position inside its partition, and only
-the per-partition counts (one row per shuffle partition) are accumulated in one place.
+the per-partition counts (one per shuffle partition) are added up in one place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillworks.session import materialise
 
@@ -29,17 +29,19 @@ def global_row_number(df: DataFrame, *order: Column | str, name: str = "row_numb
         ),
         "numbering",
     )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part")
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    )
-    # one row per shuffle partition: a bounded broadcast
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_position") + 1)
-        .drop("_part", "_position", "_before")
+    # one count per shuffle partition: the only thing that passes through the driver
+    counts = sorted(tuple(r) for r in placed.groupBy("_part").count().collect())
+    before, offsets = 0, []
+    for part, rows in counts:
+        offsets.append((part, before))
+        before += rows
+    if len(offsets) < 2:
+        numbered = placed.withColumn("_before", F.lit(0))
+    else:
+        starts = df.sparkSession.createDataFrame(offsets, "_part int, _before bigint")
+        numbered = placed.join(F.broadcast(starts), "_part")
+    return numbered.withColumn(name, F.col("_before") + F.col("_position") + 1).drop(
+        "_part", "_position", "_before"
     )
 
 

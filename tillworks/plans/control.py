@@ -175,47 +175,48 @@ LOADS = {
 }
 
 
-def _status(load: Load) -> Column:
-    source, inserted = F.col("SourceRowCount"), F.col("InsertedRowCount")
-    aside = F.col("RejectedRowCount") + F.col("UnchangedRowCount")
-    if load.counts_rows:
-        return load_status(source, inserted + aside, aside, load.when_empty)
-    return F.when((source == 0) | (inserted == 0), "FAILED").otherwise("SUCCESS")
+def load_columns(load: Load, **columns: Column) -> Column:
+    """One load as a struct: what it is, and the given counts (0 where not given)."""
+    counts = ("SourceRowCount", "InsertedRowCount", "RejectedRowCount", "UnchangedRowCount")
+    return F.struct(
+        F.lit(load.id).alias("_id"),
+        F.lit(load.layer).alias("LayerName"),
+        F.lit(load.source).alias("SourceName"),
+        F.lit(load.target).alias("TargetTableName"),
+        F.lit(load.strategy).alias("LoadStrategy"),
+        F.lit(load.when_empty).alias("_when_empty"),
+        F.lit(load.counts_rows).alias("_counts_rows"),
+        *[columns.get(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+    )
 
 
-def _message(load: Load) -> Column:
-    source, rejected, unchanged = (F.col(c) for c in ("SourceRowCount", "RejectedRowCount", "UnchangedRowCount"))
-    return (
-        F.when(source == 0, f"no rows in {load.source}")
+def log_rows(counted: DataFrame, loads: list[Column]) -> DataFrame:
+    """Closed log rows: each row of `counted` (one per batch, with BatchID and, optionally,
+    ProcessDate, ProcessValue and StartTime) times each load of `loads`."""
+    kept = [c for c in ("BatchID", "ProcessDate", "ProcessValue", "StartTime") if c in counted.columns]
+    rows = counted.select(*kept, F.explode(F.array(*loads)).alias("_load")).select(*kept, "_load.*")
+    source, inserted = F.col("SourceRowCount"), F.col("InsertedRowCount")
+    rejected, unchanged = F.col("RejectedRowCount"), F.col("UnchangedRowCount")
+    aside = rejected + unchanged
+    counting = load_status(source, inserted + aside, aside, F.col("_when_empty"))
+    filling = F.when((source == 0) | (inserted == 0), "FAILED").otherwise("SUCCESS")
+    rows = rows.withColumn("LoadStatus", F.when(F.col("_counts_rows"), counting).otherwise(filling))
+    message = (
+        F.when(source == 0, F.concat(F.lit("no rows in "), "SourceName"))
         .when(F.col("LoadStatus") == "FAILED", "source and target row counts do not match")
-        .when(
-            F.col("LoadStatus") == "SUCCESS_WITH_WARNING",
-            F.format_string("Rejected=%d, Duplicate=%d", rejected.cast("bigint"), unchanged.cast("bigint")),
-        )
+        .when(aside > 0, F.format_string("Rejected=%d, Duplicate=%d", rejected, unchanged))
     )
-
-
-def log_rows(load: Load, counted: DataFrame) -> DataFrame:
-    """Closed log rows from counted loads: one row per batch with BatchID, SourceRowCount,
-    InsertedRowCount and, optionally, ProcessDate, ProcessValue, RejectedRowCount,
-    UnchangedRowCount and StartTime."""
-    zero = [c for c in ("RejectedRowCount", "UnchangedRowCount") if c not in counted.columns]
-    rows = counted.withColumns({c: F.lit(0) for c in zero}).withColumn("LoadStatus", _status(load))
     rows = rows.withColumns(
         {
-            "ETLLogID": F.concat("BatchID", F.lit(f"_{load.id}")),
-            "LayerName": F.lit(load.layer),
-            "SourceName": F.lit(load.source),
-            "TargetTableName": F.lit(load.target),
-            "LoadStrategy": F.lit(load.strategy),
+            "ETLLogID": F.concat_ws("_", "BatchID", "_id"),
             "EndTime": F.current_timestamp(),
             "UpdatedRowCount": F.lit(0),
             "DeletedRowCount": F.lit(0),
-            "ErrorMessage": _message(load),
+            "ErrorMessage": message,
             "ETLTime": F.current_timestamp(),
         }
     )
-    if "StartTime" not in rows.columns:
+    if "StartTime" not in kept:
         rows = rows.withColumn("StartTime", F.current_timestamp())
     return conform(rows, AUDIT["etl_table_load_log"])
 
@@ -240,15 +241,20 @@ def started_row(spark: SparkSession, load: Load, batch: str, process_date: str,
     return conform(row, AUDIT["etl_table_load_log"])
 
 
-def count_loads(batches: DataFrame, counts: dict[str, DataFrame]) -> DataFrame:
-    """Row counts per batch side by side, 0 where a batch has no rows. Each frame has a BatchID
-    per row; all are stacked and counted in one grouping, so no joins are needed."""
-    parts = [df.select("BatchID", F.lit(name).alias("_what")) for name, df in counts.items()]
-    parts.append(batches.select("BatchID", F.lit(None).cast("string").alias("_what")))
-    stacked = reduce(DataFrame.unionByName, parts)
-    return stacked.groupBy("BatchID").agg(
-        *[F.count_if(F.col("_what") == name).alias(name) for name in counts]
+def count_loads(tables: dict[str, DataFrame]) -> DataFrame:
+    """(BatchID, What, Rows): rows per batch of every table. The tables, each with a BatchID per
+    row, are stacked and counted in one grouping instead of one job and join per table."""
+    parts = [df.select("BatchID", F.lit(name).alias("What")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("BatchID", "What").agg(F.count("*").alias("Rows"))
+
+
+def counts_beside(batches: DataFrame, counted: DataFrame, names: list[str]) -> DataFrame:
+    """The batches with one count column per name, 0 where a batch has no rows."""
+    wide = counted.groupBy("BatchID").agg(
+        *[F.coalesce(F.max(F.when(F.col("What") == n, F.col("Rows"))), F.lit(0)).alias(n) for n in names]
     )
+    quoted = {n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names}
+    return batches.join(wide, "BatchID", "left").withColumns(quoted)
 
 
 # --- verdict ----------------------------------------------------------------------------------

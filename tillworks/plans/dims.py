@@ -1,13 +1,12 @@
-"""Dimension sources (one row per natural key) and the type-1 build."""
+"""Dimension sources: one row per natural key, ready for the type-1 merge."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 from tillworks.functions.rowops import record_hash
-from tillworks.operators.merge import merge_dimension, seed_unknown
 from tillworks.operators.reconcile import counts
-from tillworks.schema import DIMENSION_COLUMNS, DIMENSIONS, NATURAL_KEY, SURROGATE_KEY, UNKNOWN_KEY, source_columns
+from tillworks.schema import DIMENSION_COLUMNS, NATURAL_KEY, SURROGATE_KEY, UNKNOWN_KEY, source_columns
 
 # Silver columns of the master dimensions, in the order of the dimension's attributes.
 _MASTER_COLUMNS = {
@@ -51,13 +50,6 @@ def day_source(transactions: DataFrame, redemptions: DataFrame) -> DataFrame:
     )
 
 
-def build_dimension(current: DataFrame | None, source: DataFrame, dimension: str, batch: str) -> DataFrame:
-    """Seed the unknown member, then merge the source into the current rows (none at first)."""
-    if current is None:
-        current = source.sparkSession.createDataFrame([], DIMENSIONS[dimension])
-    return merge_dimension(seed_unknown(current, dimension), source, dimension, batch)
-
-
 def dimension_counts(dims: dict[str, DataFrame]) -> DataFrame:
     return counts(dims, "DimensionName")
 

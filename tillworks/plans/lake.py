@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillworks.functions.rowops import batch_id, week_of_day
 from tillworks.operators.checks import evaluate
+from tillworks.operators.merge import merge_dimension
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
 from tillworks.schema import AUDIT, BRONZE_TABLE, CONTROL, SURROGATE_KEY, conform
 from tillworks.session import materialise, scratch_path
@@ -91,7 +92,7 @@ def dimension_source(lake: Lake, dimension: str) -> DataFrame:
 
 
 def _dimension(name: str) -> Callable[[Lake], DataFrame]:
-    return lambda lake: dims.build_dimension(None, dimension_source(lake, name), name, SNAPSHOT)
+    return lambda lake: merge_dimension(None, dimension_source(lake, name), name, SNAPSHOT)
 
 
 def _daily_sales(lake: Lake) -> DataFrame:
@@ -169,67 +170,56 @@ def daily_tables(lake: Lake) -> dict[str, DataFrame]:
     }
 
 
-def _snapshot_tables(lake: Lake) -> dict[str, DataFrame]:
-    names = [
-        "bronze.transaction_data_raw", "bronze.coupon_redemption_raw",
-        "silver.transaction_clean", "silver.coupon_redemption_clean",
-        "silver.campaign_target_clean", "silver.promotion_weekly_clean",
-        *(n for n in _BUILDERS if n.startswith(("dwh.fact_", "dm_marketing."))),
-    ]
-    return {n: lake[n].withColumn("BatchID", F.lit(SNAPSHOT)) for n in names}
+_LOAD_SOURCES = {
+    # load: (table or set of rows that it reads, rows that it sets aside)
+    "BRONZE_TRANSACTION": ("bronze.transaction_data_raw", None),
+    "BRONZE_COUPON_REDEMPTION": ("bronze.coupon_redemption_raw", None),
+    "SILVER_TRANSACTION": ("bronze.transaction_data_raw", "rejected_transactions"),
+    "SILVER_COUPON_REDEMPTION": ("bronze.coupon_redemption_raw", "rejected_redemptions"),
+    "DWH_FACT_SALES": ("silver.transaction_clean", None),
+    "DWH_FACT_COUPON_REDEMPTION": ("silver.coupon_redemption_clean", None),
+    "DM_DAILY_SALES": ("dwh.fact_sales_transaction", None),
+    "DWH_FACT_CAMPAIGN_TARGET": ("silver.campaign_target_clean", None),
+    "DWH_FACT_PROMOTION_WEEKLY": ("silver.promotion_weekly_clean", None),
+    "DM_PRODUCT_SALES": ("dwh.fact_sales_transaction", None),
+    "DM_CAMPAIGN_PERFORMANCE": ("dwh.fact_campaign_target", None),
+    "DM_PROMOTION_PERFORMANCE": ("dwh.fact_promotion_weekly", None),
+}
+_DAILY_LOADS = list(_LOAD_SOURCES)[:7]
+_SNAPSHOT_ONLY = (
+    "silver.campaign_target_clean", "silver.promotion_weekly_clean", "dwh.fact_campaign_target",
+    "dwh.fact_promotion_weekly", "dm_marketing.dm_product_sales", "dm_marketing.dm_campaign_performance",
+    "dm_marketing.dm_promotion_performance",
+)
 
 
-def _loads(batches: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Load-log rows of all batches at once, from one count over the stacked tables."""
-    counted = {
-        **tables,
-        "rejected_transactions": silver.invalid_transactions(tables["bronze.transaction_data_raw"]),
-        "rejected_redemptions": silver.invalid_redemptions(tables["bronze.coupon_redemption_raw"]),
-    }
-    counts = batches.join(control.count_loads(batches, counted), "BatchID")
-
-    def count(name: str) -> Column:
-        return F.col(f"`{name}`")
-
-    def load(load_id: str, source: str | None, rejected: str | None = None) -> DataFrame:
-        spec = control.LOADS[load_id]
-        inserted = count(spec.target)
-        columns = {
-            "SourceRowCount": count(source) if source else inserted,
-            "InsertedRowCount": inserted,
-            "ProcessValue": F.col("ProcessDay"),
-        }
-        if rejected:
-            columns["RejectedRowCount"] = count(rejected)
-            columns["UnchangedRowCount"] = count(source) - count(rejected) - inserted
-        return control.log_rows(spec, counts.withColumns(columns))
-
-    rows = [
-        load("BRONZE_TRANSACTION", None),
-        load("BRONZE_COUPON_REDEMPTION", None),
-        load("SILVER_TRANSACTION", "bronze.transaction_data_raw", "rejected_transactions"),
-        load("SILVER_COUPON_REDEMPTION", "bronze.coupon_redemption_raw", "rejected_redemptions"),
-        load("DWH_FACT_SALES", "silver.transaction_clean"),
-        load("DWH_FACT_COUPON_REDEMPTION", "silver.coupon_redemption_clean"),
-        load("DM_DAILY_SALES", "dwh.fact_sales_transaction"),
-    ]
-    if "dwh.fact_campaign_target" in tables:
-        rows += [
-            load("DWH_FACT_CAMPAIGN_TARGET", "silver.campaign_target_clean"),
-            load("DWH_FACT_PROMOTION_WEEKLY", "silver.promotion_weekly_clean"),
-            load("DM_PRODUCT_SALES", "dwh.fact_sales_transaction"),
-            load("DM_CAMPAIGN_PERFORMANCE", "dwh.fact_campaign_target"),
-            load("DM_PROMOTION_PERFORMANCE", "dwh.fact_promotion_weekly"),
-        ]
-    first, *others = rows
-    for other in others:
-        first = first.unionByName(other)
-    return first
+def _load(load_id: str) -> Column:
+    spec = control.LOADS[load_id]
+    source_name, rejected_name = _LOAD_SOURCES[load_id]
+    source, inserted = F.col(f"`{source_name}`"), F.col(f"`{spec.target}`")
+    columns = {"SourceRowCount": source, "InsertedRowCount": inserted}
+    if rejected_name:
+        rejected = F.col(rejected_name)
+        columns |= {"RejectedRowCount": rejected, "UnchangedRowCount": source - rejected - inserted}
+    return control.load_columns(spec, **columns)
 
 
 def _load_log(lake: Lake) -> DataFrame:
-    daily = _loads(daily_batches(lake), daily_tables(lake))
-    return daily.unionByName(_loads(_snapshot_batch(lake), _snapshot_tables(lake)))
+    """Loads of all daily batches and of the snapshot, from one count over the stacked tables."""
+    daily = daily_tables(lake)
+    daily["rejected_transactions"] = silver.invalid_transactions(daily["bronze.transaction_data_raw"])
+    daily["rejected_redemptions"] = silver.invalid_redemptions(daily["bronze.coupon_redemption_raw"])
+    whole = {n: lake[n].withColumn("BatchID", F.lit(SNAPSHOT)) for n in _SNAPSHOT_ONLY}
+    counted = materialise(control.count_loads({**daily, **whole}), "load-counts")
+    total = counted.groupBy("What").agg(F.sum("Rows").alias("Rows")).withColumn("BatchID", F.lit(SNAPSHOT))
+    per_day = control.counts_beside(daily_batches(lake), counted, list(daily))
+    per_snapshot = control.counts_beside(_snapshot_batch(lake), total, [*daily, *whole])
+    day = F.col("ProcessDay")
+    return control.log_rows(
+        per_day.withColumn("ProcessValue", day), [_load(i) for i in _DAILY_LOADS]
+    ).unionByName(
+        control.log_rows(per_snapshot.withColumn("ProcessValue", day), [_load(i) for i in _LOAD_SOURCES])
+    )
 
 
 # Checks that make sense per day-loaded table, evaluated for all daily batches at once.

@@ -228,7 +228,7 @@ def mart_checks(batch: str | None = None, day: int | None = None, week: int | No
                 f"DQ_DM_{suffix}_RECONCILIATION", "DM", f"dm_marketing.{mart}", f"dwh_to_{mart}_reconciliation",
                 RECONCILIATION, CRITICAL, f"net sales of {mart} equal those of the sales fact", scope,
                 source="dwh.fact_sales_transaction", source_where=scope,
-                source_value="sum(NetSalesAmount)", value="sum(NetSalesAmount)", amount=True,
+                source_value="NetSalesAmount", value="NetSalesAmount", amount=True,
             )
         )
     checks.append(
@@ -236,7 +236,7 @@ def mart_checks(batch: str | None = None, day: int | None = None, week: int | No
             "DQ_DM_CAMPAIGN_TARGET_RECONCILIATION", "DM", "dm_marketing.dm_campaign_performance",
             "dwh_to_dm_campaign_target_reconciliation", RECONCILIATION, CRITICAL,
             "targeted households equal the rows of the target fact", scope,
-            source="dwh.fact_campaign_target", source_where=scope, value="sum(TargetHouseholdCount)",
+            source="dwh.fact_campaign_target", source_where=scope, value="TargetHouseholdCount",
         )
     )
     checks.append(_load_status("DM", "dm", batch))
