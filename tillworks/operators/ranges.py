@@ -13,4 +13,5 @@ def explode_weeks(intervals: DataFrame, start_day: Column, end_day: Column, name
     week may hold no whole week and then has no rows."""
     first, last = F.ceil(start_day / 7).cast("int"), F.floor(end_day / 7).cast("int")
     weeks = F.when(first <= last, F.sequence(first, last))
-    return intervals.withColumn(name, F.explode(weeks).cast("decimal(10,0)"))
+    exploded = intervals.select("*", F.explode(weeks).alias(name))
+    return exploded.withColumn(name, F.col(name).cast("decimal(10,0)"))

@@ -17,10 +17,13 @@ FIRST_ORDER_DATE = "1995-01-01"
 FIRST_EVENT_DATE = "2024-01-01"
 
 
+def _plain(spark: SparkSession, folder: str, table: str, *columns: str | Column) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{table}.parquet").select(*columns)
+
+
 def _read(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet").select(
-        *columns, F.col("_metadata.file_name").alias("SourceFile")
-    )
+    source_file = F.col("_metadata.file_name").alias("SourceFile")
+    return _plain(spark, folder, table, *columns, source_file)
 
 
 def _typed(df: DataFrame, source: str) -> DataFrame:
@@ -37,7 +40,7 @@ def _week(day: Column) -> Column:
 
 def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     lines = _read(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *columns)
-    orders = _read(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate").drop("SourceFile")
+    orders = _plain(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.withColumn("day_no", _day("o_orderdate", FIRST_ORDER_DATE))
 
@@ -87,7 +90,7 @@ def product(spark: SparkSession, folder: str) -> DataFrame:
 
 def hh_demographic(spark: SparkSession, folder: str) -> DataFrame:
     customers = _read(spark, folder, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    nations = _read(spark, folder, "nation", "n_nationkey", "n_name").drop("SourceFile")
+    nations = _plain(spark, folder, "nation", "n_nationkey", "n_name")
     nothing = F.lit(None).cast("string")
     rows = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         nothing.alias("age_desc"),
