@@ -43,9 +43,14 @@ def record_hash(*columns: Column | str, mark_nulls: bool = True) -> Column:
     return F.sha2(F.concat_ws(HASH_SEPARATOR, *texts), 256)
 
 
+# Wide enough for any sum here, narrow enough that a quotient keeps 14 places before it is rounded.
+_OPERAND = T.DecimalType(24, 4)
+
+
 def ratio(numerator: Column, denominator: Column, to: T.DataType = RATE) -> Column:
     """numerator / denominator, 0 where the denominator is 0 (ANSI division would raise)."""
-    return F.when(denominator == 0, F.lit(0).cast(to)).otherwise((numerator / denominator).cast(to))
+    quotient = (numerator.cast(_OPERAND) / denominator.cast(_OPERAND)).cast(to)
+    return F.when(denominator == 0, F.lit(0).cast(to)).otherwise(quotient)
 
 
 def total_discount(*discounts: Column | str) -> Column:

@@ -96,7 +96,7 @@ def campaign_roi(campaigns: DataFrame, promotions: DataFrame) -> DataFrame:
     costs = weeks.select("CampaignID", "WeekNumber").join(promotion_costs(promotions), "WeekNumber")
     rows = campaigns.join(costs, "CampaignID", "left")
     cost, net = F.col("total_discount_cost"), F.col("net_sales")
-    roi = F.when(cost > 0, (net / cost).cast(RATE)).otherwise(F.lit(0).cast(RATE))
+    roi = F.when(cost > 0, ratio(net, cost)).otherwise(F.lit(0).cast(RATE))
     return rows.withColumns({"roi_ratio": roi, "net_profit": net - cost}).withColumn(
         "roi_category", roi_band(F.col("roi_ratio"))
     )

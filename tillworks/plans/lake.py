@@ -311,6 +311,13 @@ _BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     "control.etl_batch_control": _batch_control,
 }
 
+
+
+def table_names() -> list[str]:
+    """All tables, in an order in which each follows those it depends on."""
+    return list(_BUILDERS)
+
+
 _LAKES: dict[tuple[str, str], Lake] = {}
 
 
