@@ -12,6 +12,9 @@ from tillworks.schema import RATE, UNKNOWN_KEY
 HASH_SEPARATOR = "||"
 HASH_NULL = "<NULL>"
 
+# Fixed value: prefix of a daily batch's identifier.
+BATCH_PREFIX = "RM_DAILY_D"
+
 # Band names and their lower bounds, in the order they are tried.
 NO_TARGET = "NO_TARGET"
 REDEMPTION_BANDS = (("HIGH", "0.20"), ("MEDIUM", "0.10"))
@@ -127,8 +130,9 @@ def week_of_day(day: Column, first_day: Column, first_week: Column) -> Column:
 
 
 def batch_id(day: Column) -> Column:
-    """Identifier of the daily batch that loads one source day."""
-    return F.format_string("RM_DAILY_D%04d", day.cast("int"))
+    """Identifier of the daily batch that loads one source day: at least four digits."""
+    digits = day.cast("int").cast("string")
+    return F.concat(F.lit(BATCH_PREFIX), F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), F.lit("0")))
 
 
 def load_status(source: Column, inserted: Column, warnings: Column, when_empty: Column | str) -> Column:

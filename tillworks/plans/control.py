@@ -241,20 +241,19 @@ def started_row(spark: SparkSession, load: Load, batch: str, process_date: str,
     return conform(row, AUDIT["etl_table_load_log"])
 
 
-def count_loads(tables: dict[str, DataFrame]) -> DataFrame:
-    """(BatchID, What, Rows): rows per batch of every table. The tables, each with a BatchID per
-    row, are stacked and counted in one grouping instead of one job and join per table."""
-    parts = [df.select("BatchID", F.lit(name).alias("What")) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts).groupBy("BatchID", "What").agg(F.count("*").alias("Rows"))
+def count_loads(tables: dict[str, DataFrame], by: str) -> DataFrame:
+    """(by, What, Rows): rows of every table per value of `by`. The tables are stacked and counted
+    in one grouping instead of one job and join per table."""
+    parts = [df.select(by, F.lit(name).alias("What")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy(by, "What").agg(F.count("*").alias("Rows"))
 
 
-def counts_beside(batches: DataFrame, counted: DataFrame, names: list[str]) -> DataFrame:
+def counts_beside(batches: DataFrame, counted: DataFrame, by: str, names: list[str]) -> DataFrame:
     """The batches with one count column per name, 0 where a batch has no rows."""
-    wide = counted.groupBy("BatchID").agg(
+    wide = counted.groupBy(by).agg(
         *[F.coalesce(F.max(F.when(F.col("What") == n, F.col("Rows"))), F.lit(0)).alias(n) for n in names]
     )
-    quoted = {n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names}
-    return batches.join(wide, "BatchID", "left").withColumns(quoted)
+    return batches.join(wide, by, "left").withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names})
 
 
 # --- verdict ----------------------------------------------------------------------------------

@@ -152,21 +152,21 @@ def _snapshot_batch(lake: Lake) -> DataFrame:
     )
 
 
-def _by_day(df: DataFrame, day: str = "day_no") -> DataFrame:
-    return df.withColumn("BatchID", batch_id(F.col(day)))
+def daily_tables(lake: Lake) -> dict[str, DataFrame]:
+    """The day-loaded tables with the day, and so the daily batch, that each row belongs to."""
+    days = lake["dwh.dim_day"].select("DayKey", F.col("DayNumber").alias("ProcessDay"))
 
+    def by_column(name: str, column: str) -> DataFrame:
+        return lake[name].withColumn("ProcessDay", F.col(column))
 
-def daily_tables(lake: Lake) -> dict[str, DataFrame]:
-    """The day-loaded tables with the id of the daily batch each row belongs to."""
-    days = lake["dwh.dim_day"].select("DayKey", "DayNumber")
     return {
-        "bronze.transaction_data_raw": _by_day(lake["bronze.transaction_data_raw"]),
-        "bronze.coupon_redemption_raw": _by_day(lake["bronze.coupon_redemption_raw"]),
-        "silver.transaction_clean": _by_day(lake["silver.transaction_clean"]),
-        "silver.coupon_redemption_clean": _by_day(lake["silver.coupon_redemption_clean"]),
-        "dwh.fact_sales_transaction": _by_day(lake["dwh.fact_sales_transaction"].join(days, "DayKey"), "DayNumber"),
-        "dwh.fact_coupon_redemption": _by_day(lake["dwh.fact_coupon_redemption"].join(days, "DayKey"), "DayNumber"),
-        "dm_marketing.dm_daily_sales": _by_day(lake["dm_marketing.dm_daily_sales"], "DayNumber"),
+        "bronze.transaction_data_raw": by_column("bronze.transaction_data_raw", "day_no"),
+        "bronze.coupon_redemption_raw": by_column("bronze.coupon_redemption_raw", "day_no"),
+        "silver.transaction_clean": by_column("silver.transaction_clean", "day_no"),
+        "silver.coupon_redemption_clean": by_column("silver.coupon_redemption_clean", "day_no"),
+        "dwh.fact_sales_transaction": lake["dwh.fact_sales_transaction"].join(days, "DayKey"),
+        "dwh.fact_coupon_redemption": lake["dwh.fact_coupon_redemption"].join(days, "DayKey"),
+        "dm_marketing.dm_daily_sales": by_column("dm_marketing.dm_daily_sales", "DayNumber"),
     }
 
 
@@ -206,19 +206,21 @@ def _load(load_id: str) -> Column:
 
 def _load_log(lake: Lake) -> DataFrame:
     """Loads of all daily batches and of the snapshot, from one count over the stacked tables."""
+    day = "ProcessDay"
     daily = daily_tables(lake)
     daily["rejected_transactions"] = silver.invalid_transactions(daily["bronze.transaction_data_raw"])
     daily["rejected_redemptions"] = silver.invalid_redemptions(daily["bronze.coupon_redemption_raw"])
-    whole = {n: lake[n].withColumn("BatchID", F.lit(SNAPSHOT)) for n in _SNAPSHOT_ONLY}
-    counted = materialise(control.count_loads({**daily, **whole}), "load-counts")
+    no_day = F.lit(None).cast("decimal(10,0)")
+    whole = {n: lake[n].withColumn(day, no_day) for n in _SNAPSHOT_ONLY}
+    counted = materialise(control.count_loads({**daily, **whole}, day), "load-counts")
     total = counted.groupBy("What").agg(F.sum("Rows").alias("Rows")).withColumn("BatchID", F.lit(SNAPSHOT))
-    per_day = control.counts_beside(daily_batches(lake), counted, list(daily))
-    per_snapshot = control.counts_beside(_snapshot_batch(lake), total, [*daily, *whole])
-    day = F.col("ProcessDay")
+    per_day = control.counts_beside(daily_batches(lake), counted, day, list(daily))
+    per_snapshot = control.counts_beside(_snapshot_batch(lake), total, "BatchID", [*daily, *whole])
+    value = F.col(day)
     return control.log_rows(
-        per_day.withColumn("ProcessValue", day), [_load(i) for i in _DAILY_LOADS]
+        per_day.withColumn("ProcessValue", value), [_load(i) for i in _DAILY_LOADS]
     ).unionByName(
-        control.log_rows(per_snapshot.withColumn("ProcessValue", day), [_load(i) for i in _LOAD_SOURCES])
+        control.log_rows(per_snapshot.withColumn("ProcessValue", value), [_load(i) for i in _LOAD_SOURCES])
     )
 
 
@@ -249,7 +251,8 @@ def all_checks() -> dict:
 
 def _dq_log(lake: Lake) -> DataFrame:
     snapshot = quality.run_checks(all_checks().values(), check_tables(lake), SNAPSHOT)
-    daily = evaluate(daily_checks(), daily_tables(lake), by=("BatchID",)).withColumns(
+    per_day = evaluate(daily_checks(), daily_tables(lake), by=("ProcessDay",))
+    daily = per_day.withColumn("BatchID", batch_id(F.col("ProcessDay"))).withColumns(
         {"DQLogID": F.concat_ws("_", "BatchID", "CheckID"), "ETLTime": F.current_timestamp()}
     )
     return snapshot.unionByName(conform(daily, AUDIT["data_quality_log"]))
