@@ -11,7 +11,7 @@ from tillworks.functions.rowops import batch_id, batch_verdict, load_status, wee
 from tillworks.operators.merge import seed_missing, upsert
 from tillworks.operators.reconcile import side_by_side
 from tillworks.plans.views import check_blocks, check_summary, load_failed, load_summary
-from tillworks.schema import AUDIT, CONTROL, conform
+from tillworks.schema import AUDIT, CONTROL, ROWS, conform
 
 SUCCESS_STATUSES = ("SUCCESS", "SUCCESS_WITH_WARNING")
 INITIAL, INCREMENTAL = "INITIAL", "INCREMENTAL"
@@ -175,8 +175,9 @@ LOADS = {
 }
 
 
-def load_columns(load: Load, **columns: Column) -> Column:
-    """One load as a struct: what it is, and the given counts (0 where not given)."""
+def load_columns(load: Load, process_value: Column, **columns: Column) -> Column:
+    """One load as a struct: what it is, the day or week it covers, and the given counts (0 where
+    not given)."""
     counts = ("SourceRowCount", "InsertedRowCount", "RejectedRowCount", "UnchangedRowCount")
     return F.struct(
         F.lit(load.id).alias("_id"),
@@ -186,14 +187,15 @@ def load_columns(load: Load, **columns: Column) -> Column:
         F.lit(load.strategy).alias("LoadStrategy"),
         F.lit(load.when_empty).alias("_when_empty"),
         F.lit(load.counts_rows).alias("_counts_rows"),
+        process_value.cast(ROWS).alias("ProcessValue"),
         *[columns.get(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
     )
 
 
 def log_rows(counted: DataFrame, loads: list[Column]) -> DataFrame:
     """Closed log rows: each row of `counted` (one per batch, with BatchID and, optionally,
-    ProcessDate, ProcessValue and StartTime) times each load of `loads`."""
-    kept = [c for c in ("BatchID", "ProcessDate", "ProcessValue", "StartTime") if c in counted.columns]
+    ProcessDate and StartTime) times each load of `loads`."""
+    kept = [c for c in ("BatchID", "ProcessDate", "StartTime") if c in counted.columns]
     rows = counted.select(*kept, F.explode(F.array(*loads)).alias("_load")).select(*kept, "_load.*")
     source, inserted = F.col("SourceRowCount"), F.col("InsertedRowCount")
     rejected, unchanged = F.col("RejectedRowCount"), F.col("UnchangedRowCount")

@@ -201,7 +201,7 @@ def _load(load_id: str) -> Column:
     if rejected_name:
         rejected = F.col(rejected_name)
         columns |= {"RejectedRowCount": rejected, "UnchangedRowCount": source - rejected - inserted}
-    return control.load_columns(spec, **columns)
+    return control.load_columns(spec, F.col("ProcessDay"), **columns)
 
 
 def _load_log(lake: Lake) -> DataFrame:
@@ -216,12 +216,8 @@ def _load_log(lake: Lake) -> DataFrame:
     total = counted.groupBy("What").agg(F.sum("Rows").alias("Rows")).withColumn("BatchID", F.lit(SNAPSHOT))
     per_day = control.counts_beside(daily_batches(lake), counted, day, list(daily))
     per_snapshot = control.counts_beside(_snapshot_batch(lake), total, "BatchID", [*daily, *whole])
-    value = F.col(day)
-    return control.log_rows(
-        per_day.withColumn("ProcessValue", value), [_load(i) for i in _DAILY_LOADS]
-    ).unionByName(
-        control.log_rows(per_snapshot.withColumn("ProcessValue", value), [_load(i) for i in _LOAD_SOURCES])
-    )
+    daily_rows = control.log_rows(per_day, [_load(i) for i in _DAILY_LOADS])
+    return daily_rows.unionByName(control.log_rows(per_snapshot, [_load(i) for i in _LOAD_SOURCES]))
 
 
 # Checks that make sense per day-loaded table, evaluated for all daily batches at once.
