@@ -42,8 +42,7 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 def only_when_running(df: DataFrame, control: DataFrame, batch: str) -> DataFrame:
     """Rows of `df` if the batch is RUNNING, else none: the gate in front of every insert."""
     running = control.filter((F.col("BatchID") == batch) & (F.col("BatchStatus") == "RUNNING"))
-    gate = running.select(F.lit(batch).alias("_batch")).distinct()
-    return df.withColumn("_batch", F.lit(batch)).join(gate, "_batch", "left_semi").drop("_batch")
+    return df.filter(running.agg(F.count("*") > 0).scalar())
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -90,8 +89,9 @@ def unknown_member(spark: SparkSession, dimension: str) -> DataFrame:
 
 def seed_unknown(current: DataFrame, dimension: str) -> DataFrame:
     """Add the unknown member if the dimension does not have it yet."""
-    seed = unknown_member(current.sparkSession, dimension)
-    return current.unionByName(seed.join(current, SURROGATE_KEY[dimension], "left_anti"))
+    present = current.filter(F.col(SURROGATE_KEY[dimension]) == UNKNOWN_KEY)
+    seed = unknown_member(current.sparkSession, dimension).filter(present.agg(F.count("*") == 0).scalar())
+    return current.unionByName(seed)
 
 
 def _one_per_key(source: DataFrame, dimension: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillworks.functions.rowops import day_name, day_to_date, month_name, ratio, roi_band
+from tillworks.operators.distinct import with_distinct_counts
 from tillworks.operators.numbering import ntile
 from tillworks.operators.ranges import explode_weeks
 from tillworks.schema import RATE
@@ -26,6 +27,10 @@ OTHER_GROUP = "Kampanyasız"
 PERCENT = "decimal(20,2)"
 
 
+def _baskets_and_customers() -> dict[str, Column]:
+    return {"basket_count": F.col("basket_id"), "customer_count": F.col("household_key")}
+
+
 def used_campaign() -> Column:
     """Discounts are stored as zero or negative amounts, so any non-zero value is a use."""
     return F.coalesce(F.col("coupon_match_disc"), F.lit(0)) != 0
@@ -133,11 +138,11 @@ def customer_behaviour(transactions: DataFrame) -> DataFrame:
 def campaign_timing(transactions: DataFrame, base_date: str = BASE_DATE) -> DataFrame:
     """Daily sales with and without campaign use, with weekday and month names."""
     status = F.when(used_campaign(), WITH_CAMPAIGN).otherwise(WITHOUT_CAMPAIGN)
-    daily = transactions.groupBy("day_no", "week_no", status.alias("campaign_status")).agg(
-        F.countDistinct("basket_id").alias("basket_count"),
-        F.sum("net_sales_value").alias("net_sales"),
-        F.avg("net_sales_value").alias("avg_line_value"),
-        F.countDistinct("household_key").alias("customer_count"),
+    daily = with_distinct_counts(
+        transactions,
+        {"day_no": F.col("day_no"), "week_no": F.col("week_no"), "campaign_status": status},
+        [F.sum("net_sales_value").alias("net_sales"), F.avg("net_sales_value").alias("avg_line_value")],
+        _baskets_and_customers(),
     )
     date = day_to_date(F.col("day_no"), base_date)
     return daily.withColumns(
@@ -150,14 +155,17 @@ def campaign_timing(transactions: DataFrame, base_date: str = BASE_DATE) -> Data
 
 
 def store_performance(transactions: DataFrame) -> DataFrame:
-    stores = transactions.groupBy("store_id").agg(
-        F.countDistinct("basket_id").alias("basket_count"),
-        F.countDistinct("household_key").alias("customer_count"),
-        F.sum("net_sales_value").alias("total_sales"),
-        F.avg("net_sales_value").alias("avg_line_value"),
-        F.count_if(used_campaign()).alias("campaign_transactions"),
-        F.count("basket_id").alias("total_transactions"),
-        F.sum("coupon_match_disc").alias("total_discount"),
+    stores = with_distinct_counts(
+        transactions,
+        {"store_id": F.col("store_id")},
+        [
+            F.sum("net_sales_value").alias("total_sales"),
+            F.avg("net_sales_value").alias("avg_line_value"),
+            F.count_if(used_campaign()).alias("campaign_transactions"),
+            F.count("basket_id").alias("total_transactions"),
+            F.sum("coupon_match_disc").alias("total_discount"),
+        ],
+        _baskets_and_customers(),
     )
     return stores.withColumns(
         {
@@ -175,18 +183,17 @@ def category_baskets(transactions: DataFrame, dim_product: DataFrame) -> DataFra
     categories = dim_product.filter("IsCurrent").select(
         F.col("ProductID").alias("product_id"), F.col("CommodityDescription").alias("category")
     )
-    grouped = (
-        transactions.join(categories, "product_id")
-        .groupBy("category")
-        .agg(
-            F.countDistinct("basket_id").alias("basket_count"),
-            F.countDistinct("household_key").alias("customer_count"),
+    grouped = with_distinct_counts(
+        transactions.join(categories, "product_id"),
+        {"category": F.col("category")},
+        [
             F.sum("net_sales_value").alias("total_sales"),
             F.avg("net_sales_value").alias("avg_item_value"),
             F.sum("quantity").alias("total_quantity"),
             F.count_if(used_campaign()).alias("promotion_count"),
             F.count("*").alias("transaction_count"),
-        )
+        ],
+        _baskets_and_customers(),
     )
     share = ratio(F.col("promotion_count") * 100, F.col("transaction_count"), PERCENT)
     return grouped.withColumn("promotion_rate", share)

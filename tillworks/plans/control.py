@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillworks.functions.rowops import batch_id, batch_verdict, load_status, week_of_day
-from tillworks.operators.merge import seed_missing, upsert
+from tillworks.operators.merge import seed_missing
 from tillworks.operators.reconcile import side_by_side
 from tillworks.plans.views import check_blocks, check_summary, load_failed, load_summary
 from tillworks.schema import AUDIT, CONTROL, ROWS, conform
@@ -96,7 +96,8 @@ def open_batch(
         F.lit(triggered_by).alias("TriggeredBy"),
         F.current_timestamp().alias("ETLTime"),
     )
-    return upsert(control, conform(row, CONTROL["etl_batch_control"]), "BatchID")
+    others = control.filter(F.col("BatchID") != batch.strip())
+    return others.unionByName(conform(row, CONTROL["etl_batch_control"]))
 
 
 def seed_watermarks(current: DataFrame) -> DataFrame:

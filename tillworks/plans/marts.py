@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillworks.functions.rowops import known, ratio
+from tillworks.operators.distinct import with_distinct_counts
 from tillworks.schema import MART_MONEY, MARTS, RATE, conform
 from tillworks.sources.csvfiles import slice_of
 
@@ -19,53 +20,15 @@ def _stamped(df: DataFrame, batch: str, process_date: str) -> DataFrame:
     )
 
 
-_SUMS = {
-    "TotalQuantity": "Quantity",
-    "GrossSalesAmount": "GrossSalesAmount",
-    "TotalDiscountAmount": "TotalDiscountAmount",
-    "NetSalesAmount": "NetSalesAmount",
-}
+def _sales_sums() -> list[Column]:
+    sums = ("GrossSalesAmount", "TotalDiscountAmount", "NetSalesAmount")
+    return [F.sum("Quantity").alias("TotalQuantity"), *[F.sum(c).alias(c) for c in sums]]
 
 
-def basket_totals(sales: DataFrame, *keys: str, latest: tuple[str, ...] = ()) -> DataFrame:
-    """Sums, baskets and baskets with a coupon per key, and the highest `latest` columns. Lines are first summed per basket, so a
-    distinct basket count is a plain count and the work of a hot key is spread over its baskets."""
-    baskets = sales.groupBy(*keys, "BasketID").agg(
-        *[F.sum(column).alias(name) for name, column in _SUMS.items()],
-        F.max(F.col("HasCoupon") == "Y").alias("_coupon"),  # a flag, not text: stays a hash aggregate
-        *[F.max(c).alias(c) for c in latest],
-    )
-    return baskets.groupBy(*keys).agg(
-        F.count("BasketID").alias("BasketCount"),
-        *[F.sum(name).alias(name) for name in _SUMS],
-        F.count_if(F.col("_coupon") & F.col("BasketID").isNotNull()).alias("CouponTransactionCount"),
-        *[F.max(c).alias(c) for c in latest],
-    )
-
-
-def member_counts(sales: DataFrame, key: str, members: dict[str, str]) -> DataFrame:
-    """Number of known members of several dimensions per key.
-
-    Several countDistinct in one aggregate repeat every row, with all its sums, once per count.
-    Here only (key, dimension, member) is repeated, made distinct, and counted."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("_what"), F.col(c).alias("_member")) for n, c in members.items()])
-    )
-    distinct = (
-        sales.select(key, pairs.alias("_pair"))
-        .select(key, "_pair.*")
-        .filter(known("_member").isNotNull())
-        .distinct()
-    )
-    return distinct.groupBy(key).agg(*[F.count_if(F.col("_what") == n).alias(n) for n in members])
-
-
-def _with_member_counts(
-    sales: DataFrame, key: str, members: dict[str, str], latest: tuple[str, ...] = ()
-) -> DataFrame:
-    totals = basket_totals(sales, key, latest=latest)
-    joined = totals.join(member_counts(sales, key, members), key, "left")
-    return joined.withColumns({n: F.coalesce(n, F.lit(0)) for n in members})
+def _baskets() -> dict[str, Column]:
+    """Distinct baskets, and those with a coupon."""
+    with_coupon = F.when(F.col("HasCoupon") == "Y", F.col("BasketID"))
+    return {"BasketCount": F.col("BasketID"), "CouponTransactionCount": with_coupon}
 
 
 def _discount_rate() -> Column:
@@ -76,8 +39,17 @@ def daily_sales(
     sales: DataFrame, dim_day: DataFrame, batch: str, process_date: str, day: int | None = None
 ) -> DataFrame:
     """Sales of each day. Distinct members are counted without the unknown one."""
-    members = {"HouseholdCount": "HouseholdKey", "ProductCount": "ProductKey", "StoreCount": "StoreKey"}
-    grouped = _with_member_counts(sales, "DayKey", members, latest=("WeekNumber",))
+    grouped = with_distinct_counts(
+        sales,
+        {"DayKey": F.col("DayKey")},
+        [F.max("WeekNumber").alias("WeekNumber"), *_sales_sums()],
+        {
+            **_baskets(),
+            "HouseholdCount": known("HouseholdKey"),
+            "ProductCount": known("ProductKey"),
+            "StoreCount": known("StoreKey"),
+        },
+    )
     days = slice_of(dim_day.select("DayKey", "DayNumber"), "DayNumber", day)
     rows = grouped.join(days, "DayKey", "left" if day is None else "inner").withColumns(
         {
@@ -90,8 +62,12 @@ def daily_sales(
 
 def product_sales(sales: DataFrame, dim_product: DataFrame, batch: str, process_date: str) -> DataFrame:
     """Sales of each product. Grouped by key first; the attributes join the small result."""
-    members = {"HouseholdCount": "HouseholdKey", "StoreCount": "StoreKey"}
-    grouped = _with_member_counts(sales, "ProductKey", members)
+    grouped = with_distinct_counts(
+        sales,
+        {"ProductKey": F.col("ProductKey")},
+        _sales_sums(),
+        {**_baskets(), "HouseholdCount": known("HouseholdKey"), "StoreCount": known("StoreKey")},
+    )
     attributes = dim_product.select(
         "ProductKey", "ProductID", "Department", "Brand", "CommodityDescription"
     )
@@ -139,8 +115,11 @@ def campaign_performance(
 
 def promotion_sales(sales: DataFrame, week: int | None = None) -> DataFrame:
     """Sales per product, store and week."""
-    totals = basket_totals(slice_of(sales, "WeekNumber", week), "ProductKey", "StoreKey", "WeekNumber")
-    return totals.drop("CouponTransactionCount")
+    return (
+        slice_of(sales, "WeekNumber", week)
+        .groupBy("ProductKey", "StoreKey", "WeekNumber")
+        .agg(F.countDistinct("BasketID").alias("BasketCount"), *_sales_sums())
+    )
 
 
 def promotions_with_sales(promotions: DataFrame, sales: DataFrame, week: int | None = None) -> DataFrame:
