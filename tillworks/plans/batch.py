@@ -7,12 +7,13 @@ before the layer runs, the result after it, so a layer that dies stays visible a
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tillworks.operators.checks import Check, References, SameValue
 from tillworks.operators.merge import merge_dimension, only_when_running, read_batches, replace_by_batch
 from tillworks.operators.reconcile import side_by_side
 from tillworks.operators.versions import read_latest, write_next
@@ -29,6 +30,7 @@ from tillworks.schema import (
     SOURCES,
     SURROGATE_KEY,
 )
+from tillworks.session import at_the_same_time
 from tillworks.sources.csvfiles import read_source, slice_of
 
 SCHEMAS: dict[str, T.StructType] = {
@@ -90,11 +92,18 @@ class Warehouse:
         """Replace the batch's rows, if the batch is running."""
         self.replace(table, only_when_running(rows, self.read(CONTROL_TABLE), batch.id), batch)
 
+    def load_all(self, layer: str, built: dict[str, DataFrame], batch: Batch) -> None:
+        at_the_same_time(partial(self.load, f"{layer}.{table}", rows, batch) for table, rows in built.items())
+
     def dims(self) -> dict[str, DataFrame]:
         return {name: self.read(f"dwh.{name}") for name in SURROGATE_KEY}
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {name: self.read(name) for name in SCHEMAS}
+    def tables(self, checks: Iterable[Check]) -> dict[str, DataFrame]:
+        """The tables that the checks read."""
+        names = {c.table for c in checks}
+        names |= {c.source for c in checks if isinstance(c, SameValue)}
+        names |= {other for c in checks if isinstance(c, References) for _, other, _ in c.links}
+        return {name: self.read(name) for name in names}
 
 
 def next_batch(warehouse: Warehouse, source_folder: str, process_date: str, triggered_by: str = "operator") -> Batch | None:
@@ -129,7 +138,8 @@ def run_batch(warehouse: Warehouse, source_folder: str, batch: Batch) -> str:
         counts = load(warehouse, batch, source_folder) if layer == "BRONZE" else load(warehouse, batch)
         _log(warehouse, batch, layer, _finished(warehouse, batch, counts))
         scope = (batch.id,) if layer == "SILVER" else (batch.id, batch.day, batch.week)
-        results = quality.run_checks(checks[layer](*scope).values(), warehouse.tables(), batch.id)
+        wanted = list(checks[layer](*scope).values())
+        results = quality.run_checks(wanted, warehouse.tables(wanted), batch.id)
         warehouse.replace(DQ_LOG, results.drop("LayerName"), batch, LayerName=layer)
     return _close(warehouse, batch)
 
@@ -140,14 +150,16 @@ Loaded = dict[str, tuple[DataFrame, str, DataFrame | None]]
 
 def _bronze(warehouse: Warehouse, batch: Batch, source_folder: str) -> Loaded:
     day_slices = {"transaction_data": ("day_no", batch.day), "coupon_redempt": ("day_no", batch.day), "causal_data": ("week_no", batch.week)}
-    loaded: Loaded = {}
-    for source in SOURCES:
+
+    def load(source: str) -> tuple[DataFrame, str, None]:
         rows = read_source(warehouse.spark, f"{source_folder}/{source}.csv", source)
         if source in day_slices:
             rows = slice_of(rows, *day_slices[source])
         table = f"bronze.{BRONZE_TABLE[source]}"
         warehouse.load(table, bronze.to_bronze(rows, source, batch.id, batch.process_date), batch)
-        loaded[source] = (rows, table, None)
+        return rows, table, None
+
+    loaded = dict(zip(SOURCES, at_the_same_time(partial(load, s) for s in SOURCES), strict=True))
     return {
         "BRONZE_TRANSACTION": loaded["transaction_data"],
         "BRONZE_COUPON_REDEMPTION": loaded["coupon_redempt"],
@@ -171,8 +183,7 @@ def _silver(warehouse: Warehouse, batch: Batch) -> Loaded:
         "coupon_product_clean": silver.coupon_product_clean(raw("coupon_raw"), *scope),
         "promotion_weekly_clean": silver.promotion_weekly_clean(raw("causal_data_raw"), *scope, batch.week),
     }
-    for table, rows in built.items():
-        warehouse.load(f"silver.{table}", rows, batch)
+    warehouse.load_all("silver", built, batch)
     return {
         "SILVER_TRANSACTION": (sales, "silver.transaction_clean", silver.invalid_transactions(sales, batch.day)),
         "SILVER_COUPON_REDEMPTION": (
@@ -195,15 +206,21 @@ def _dwh(warehouse: Warehouse, batch: Batch) -> Loaded:
         "dim_coupon": dims.coupon_source(clean("coupon_product_clean"), redeemed),
         "dim_day": dims.day_source(sales, redeemed),
     }
-    for name, source in sources.items():
+
+    def merge(name: str) -> None:
         path = warehouse.path(f"dwh.{name}")
         current = read_latest(warehouse.spark, path, DIMENSIONS[name])
-        write_next(merge_dimension(current, source, name, batch.id), path)
+        write_next(merge_dimension(current, sources[name], name, batch.id), path)
+
+    at_the_same_time(partial(merge, name) for name in sources)
     members = warehouse.dims()
-    warehouse.load("dwh.fact_sales_transaction", facts.sales_fact(sales, members), batch)
-    warehouse.load("dwh.fact_coupon_redemption", facts.redemption_fact(redeemed, members), batch)
-    warehouse.load("dwh.fact_campaign_target", facts.target_fact(targets, members), batch)
-    warehouse.load("dwh.fact_promotion_weekly", facts.promotion_fact(promotions, members), batch)
+    built = {
+        "fact_sales_transaction": facts.sales_fact(sales, members),
+        "fact_coupon_redemption": facts.redemption_fact(redeemed, members),
+        "fact_campaign_target": facts.target_fact(targets, members),
+        "fact_promotion_weekly": facts.promotion_fact(promotions, members),
+    }
+    warehouse.load_all("dwh", built, batch)
     return {
         "DWH_FACT_SALES": (sales, "dwh.fact_sales_transaction", None),
         "DWH_FACT_COUPON_REDEMPTION": (redeemed, "dwh.fact_coupon_redemption", None),
@@ -227,8 +244,7 @@ def _marts(warehouse: Warehouse, batch: Batch) -> Loaded:
             promotions, sales, members["dim_product"], members["dim_store"], *scope, batch.week
         ),
     }
-    for table, rows in built.items():
-        warehouse.load(f"dm_marketing.{table}", rows, batch)
+    warehouse.load_all("dm_marketing", built, batch)
     return {
         "DM_DAILY_SALES": (sales, "dm_marketing.dm_daily_sales", None),
         "DM_PRODUCT_SALES": (sales, "dm_marketing.dm_product_sales", None),

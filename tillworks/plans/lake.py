@@ -7,7 +7,10 @@ lakehouse are. Tables belong to the running application and are never shared wit
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from functools import partial
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,10 +19,14 @@ from tillworks.operators.checks import evaluate
 from tillworks.operators.merge import merge_dimension
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
 from tillworks.schema import AUDIT, BRONZE_TABLE, CONTROL, SURROGATE_KEY, conform
-from tillworks.session import materialise, scratch_path
+from tillworks.session import at_the_same_time, materialise, scratch_path
 from tillworks.sources import csvfiles
 from tillworks.sources.derived import DERIVED, FIRST_ORDER_DATE
 
+# Layers in load order; the tables of one layer do not depend on each other.
+LAYERS = ("bronze.", "silver.", "dwh.dim_", "dwh.fact_", "dm_marketing.")
+_NEED_EVERYTHING = ("audit.", "control.")
+
 SNAPSHOT = "RM_SNAPSHOT"
 PROCESS_DATE = "2024-01-01"
 
@@ -31,13 +38,21 @@ class Lake:
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
+        self._locks: dict[str, RLock] = defaultdict(RLock)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            build = _BUILDERS[name]
-            self._tables[name] = materialise(build(self), name)
+        with self._locks[name]:
+            if name not in self._tables:
+                if name.startswith(_NEED_EVERYTHING):
+                    for layer in LAYERS:
+                        self.build(layer)
+                self._tables[name] = materialise(_BUILDERS[name](self), name)
         return self._tables[name]
 
+    def build(self, layer: str) -> None:
+        """Build a layer's tables at the same time."""
+        at_the_same_time([partial(self.__getitem__, n) for n in _BUILDERS if n.startswith(layer)])
+
     def source(self, name: str) -> DataFrame:
         return DERIVED[name](self.spark, self.folder)
 
@@ -312,11 +327,6 @@ _BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
 
 
 
-def table_names() -> list[str]:
-    """All tables, in an order in which each follows those it depends on."""
-    return list(_BUILDERS)
-
-
 _LAKES: dict[tuple[str, str], Lake] = {}
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +50,10 @@ def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_the_same_time(actions: Iterable[Callable[[], Any]], at_once: int = 8) -> list[Any]:
+    """Run independent Spark actions at the same time, so that small loads share the cluster
+    instead of waiting for each other. Results come in order; the first error is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(action) for action in actions]]
