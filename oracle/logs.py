@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ctes import CAUSAL, HOUSEHOLD, PRODUCT, CAMPAIGN, TARGET, COUPON, RED_VALID, TX_VALID, exact, null_hash
+from oracle.ctes import CAMPAIGN, CAUSAL, COUPON, HOUSEHOLD, PRODUCT, RED_VALID, TARGET, TX_VALID, exact, null_hash
 from tillworks.operators.checks import NotEmpty, References, RowRule, SameValue, Unique
 from tillworks.plans import quality
 

@@ -2,22 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ctes import (
-    CAMPAIGN,
-    CAUSAL,
-    COUPON,
-    HOUSEHOLD,
-    PRODUCT,
-    RED,
-    RED_VALID,
-    TARGET,
-    TX,
-    TX_VALID,
-    exact,
-    null_hash,
-    share,
-    with_ctes,
-)
+from oracle.ctes import RED_VALID, TX_VALID, exact, with_ctes
 from oracle.logs import EXTRA, SNAPSHOT, SNAPSHOT_CHECKS, check_sql
 from tillworks.plans.registry import QUERIES
 from tillworks.plans.tiles import TILES

@@ -7,21 +7,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tillworks.functions.rowops import known, record_hash, total_discount
+from tillworks.functions.rowops import record_hash, total_discount
 from tillworks.operators import merge
+from tillworks.operators.checks import References, evaluate
+from tillworks.operators.dedup import latest_by_key, latest_copy
 from tillworks.operators.reconcile import counts, side_by_side
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
-from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, all_checks, daily_batches, dimension_source, lake_of
-from tillworks.plans.lake import running_batches
+from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, all_checks, dimension_source, lake_of, running_batches
 from tillworks.plans.tiles import TILES, tile
 from tillworks.schema import (
-    AUDIT,
     BRONZE_TABLE,
     CONTROL,
     DIMENSION_COLUMNS,
     NATURAL_KEY,
     SOURCES,
     SURROGATE_KEY,
+    conform,
     source_columns,
 )
 from tillworks.session import materialise, scratch_path
@@ -213,8 +214,6 @@ def m5_seed_watermarks(lake: Lake) -> DataFrame:
                 }
             )
         )
-    from tillworks.schema import conform
-
     present_rows = conform(progress[0].unionByName(progress[1]), CONTROL["source_watermark"])
     return control.seed_watermarks(present_rows)
 
@@ -312,8 +311,6 @@ def t7_deduplicated_transactions(lake: Lake) -> DataFrame:
 
 @query(_REDEMPTION)
 def t8_deduplicated_redemptions(lake: Lake) -> DataFrame:
-    from tillworks.operators.dedup import latest_copy
-
     return latest_copy(t5_valid_redemptions(lake), source_columns("coupon_redempt"))
 
 
@@ -489,8 +486,6 @@ def j14_batches_with_logs(lake: Lake) -> DataFrame:
 
 @query("CheckName CheckedRowCount FailedRowCount CheckStatus")
 def j15_reference_probe(lake: Lake) -> DataFrame:
-    from tillworks.operators.checks import References, evaluate
-
     checks = [c for c in quality.dwh_checks().values() if isinstance(c, References)]
     return evaluate(checks, lake.layer("dwh"))
 
@@ -676,8 +671,6 @@ def w1_latest_by_hash(lake: Lake) -> DataFrame:
 
 @query("household_key campaign_id description")
 def w2_latest_by_key(lake: Lake) -> DataFrame:
-    from tillworks.operators.dedup import latest_by_key
-
     targets = lake["bronze.campaign_target_raw"].select("household_key", "campaign_id", "description", "ETLTime")
     return latest_by_key(targets, ["household_key", "campaign_id"], ["ETLTime"])
 
