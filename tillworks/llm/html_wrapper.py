@@ -55,6 +55,7 @@ _NOISE = re.compile(
     r"related|recommended|recommendations|widget|pagination|pager|toolbar|copyright|legal|disclaimer|skip-?link|tags|toc)(?:$|[-_ ])",
     re.I,
 )
+_HEADER = re.compile(r"[.\-_]header(?:$|[.\-_])", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|$)|"
     r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -67,6 +68,10 @@ _TEXT = "#text"
 _FEW_PAGES = 8  # with fewer pages, texts that are alike may be so by chance
 
 
+class Linked(str):
+    """A text that lies in links altogether."""
+
+
 class Node:
     """An element of a page: its key (tag and names), children in order, texts as strings."""
 
@@ -92,19 +97,22 @@ def parse(page: str) -> Node:
     root = Node("", "")
     stack = [root]
     held: list[str] = []
-    inline_noise = 0
+    links, plain = 0, False  # open links; whether some of the held text is outside of them
 
     def flush() -> None:
+        nonlocal plain
         if held:
             text = _SPACES.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
             if text:
-                stack[-1].children.append(text)
+                stack[-1].children.append(text if plain else Linked(text))
+        plain = False
 
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             held.append(page[at : m.start()])
+            plain = plain or (not links and not held[-1].isspace())
         at = m.end()
         if m[3] is None:  # comments, declarations and raw elements
             continue
@@ -112,6 +120,8 @@ def parse(page: str) -> Node:
         if tag not in _BLOCKS:
             if tag == "br":
                 held.append(" ")
+            elif tag == "a":
+                links = 0 if closing else 1
             continue
         if closing:
             if any(n.tag == tag for n in stack[1:]):
@@ -139,7 +149,9 @@ def parse(page: str) -> Node:
         stack[-1].children.append(node)
         if tag not in _VOID and not m[4].endswith("/"):
             stack.append(node)
-    held.append(page[at:] if "<" not in page[at:] else page[at:].split("<", 1)[0] if re.match(r"<[a-zA-Z/!]", page[at:][page[at:].find("<") :]) else page[at:])
+    rest = re.match(r"[^<]*(?:<(?![a-zA-Z/!?])[^<]*)*", page[at:])[0]  # without a tag that is cut off
+    held.append(rest)
+    plain = plain or not links
     flush()
     return root
 
@@ -240,7 +252,7 @@ def _members(items: list[dict]) -> dict[str, dict]:
     return out
 
 
-def _noisy(key: str, tag: str, inside: bool) -> bool:
+def _noisy(key: str, tag: str) -> bool:
     names = key[len(tag) + 1 :].split(".") if "." in key else []
     if tag in _NEVER or "~hidden" in names:
         return True
@@ -265,7 +277,7 @@ class Wrapper:
             for i in _members(items).values():
                 if i["kind"] == "tag":
                     tag = i["key"].split(".")[0]
-                    if not _noisy(i["key"], tag, False):
+                    if not _noisy(i["key"], tag):
                         if tag in _SCOPES:
                             found.add(tag)
                         look(i["items"])
@@ -280,7 +292,7 @@ class Wrapper:
                     return True
             else:
                 tag = i["key"].split(".")[0]
-                if not _noisy(i["key"], tag, inside) and self._has_slot(i["items"], inside or not self.scoped or tag == self.scoped):
+                if not _noisy(i["key"], tag) and self._has_slot(i["items"], inside or not self.scoped or tag == self.scoped):
                     return True
         return False
 
@@ -294,25 +306,23 @@ class Wrapper:
         return "\n".join(blocks)
 
     def _uses_scope(self, node: Node) -> bool:
-        return any(not isinstance(c, str) and ((c.tag == self.scoped and not _noisy(c.key, c.tag, False)) or (not _noisy(c.key, c.tag, False) and self._uses_scope(c))) for c in node.children)
+        return any(not isinstance(c, str) and ((c.tag == self.scoped and not _noisy(c.key, c.tag)) or (not _noisy(c.key, c.tag) and self._uses_scope(c))) for c in node.children)
 
     def _walk(self, node: Node, items: list[dict], inside: bool, scope: str, blocks: list[str], heading_only: bool) -> None:
         known = _members(items)
         for c in node.children:
             if isinstance(c, str):
-                if inside and not (heading_only and node.tag not in _HEADINGS) and not self._is_fixed(c, known.get(_TEXT)):
+                menu = isinstance(c, Linked) and not scope  # outside of an article, links alone are a menu
+                if inside and not menu and not (heading_only and node.tag not in _HEADINGS) and not self._is_fixed(c, known.get(_TEXT)):
                     blocks.append(c)
                 continue
-            if _noisy(c.key, c.tag, inside):
-                continue
-            if c.tag == "header" and not inside:
+            # a header outside the article is the page's; inside, its headings belong to the text
+            header = c.tag == "header" or (_HEADER.search(c.key) is not None and c.tag not in _NEVER)
+            if (header and not (inside and scope)) or (not header and _noisy(c.key, c.tag)):
                 continue
             item = known.get(c.key)
             within = inside or c.tag == scope
-            # a header outside the article is the page's; inside, its headings belong to the text
-            only = heading_only or (c.tag == "header" and within)
-            if c.tag == "header" and not scope:
-                continue
+            only = heading_only or header
             self._walk(c, item["items"] if item else [], within, scope, blocks, only)
 
 

@@ -15,20 +15,25 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillworks.llm.common import text_of, word_count
 from tillworks.session import materialise
 
-FINE, COARSE, BUNDLES = 250, 8, 4096
+FINE, COARSE, BUNDLES = 250, 32, 4096
 #: Bytes come first, as their balance is the law that is promised.
 MEASURE_WEIGHTS = {"bytes": 4.0, "tokens": 1.0, "rows": 1.0}
 _SLOT_RUN = 2000  # rows numbered in one window group
 
 
 def place(items: np.ndarray, shards: int, weights: np.ndarray) -> np.ndarray:
-    """The shard of each item (rows of measures): largest first, ties by position and lowest shard."""
+    """The shard of each item (rows of measures, bytes first): largest first, ties by position.
+
+    Of the shards with room for the item's bytes, the one where the dot product of the item with the
+    residual capacity is highest (ties: the lowest); if none has room, the one with most room."""
     total = items.sum(axis=0)
     scaled = items / np.where(total > 0, total / shards, 1) * np.sqrt(weights)
     residual = np.tile(np.sqrt(weights) * (total > 0), (shards, 1))
     out = np.zeros(len(items), "i4")
     for i in np.argsort(-scaled.max(axis=1), kind="stable"):
-        out[i] = at = int(np.argmax(residual @ scaled[i]))
+        room = residual[:, 0] >= scaled[i, 0]
+        fit = np.where(room, residual @ scaled[i], -np.inf) if room.any() else residual[:, 0]
+        out[i] = at = int(np.argmax(fit))
         residual[at] -= scaled[i]
     return out
 

@@ -26,10 +26,10 @@ from tillworks.session import materialise
 BITS = 64
 BUDGET = 3
 SHINGLE = 3
-UNIT = 1024  # leaves of a unit, when it needs no further split
+UNIT = 1 << 16  # leaves of a unit that needs no further split
 _SPLIT_BITS = 4
 _LEAST_PER_SUBTREE = 64
-_FRONTIER = 200_000  # node pairs traversed at once
+_FRONTIER = 1 << 16  # node pairs traversed at once
 
 
 def fingerprint(text: bytes, size: int = SHINGLE, seed: int = 42) -> int:
@@ -68,21 +68,40 @@ def linked(unit: np.ndarray, kind: np.ndarray, fp: np.ndarray, budget: int) -> t
     """Spanning edges (positions u, v) of the pairs within `budget` in each unit.
 
     Rows are sorted by (unit, kind, fp). Kind 0 rows form one trie that is joined with itself;
-    kinds 1 and 2 are two tries that are joined with each other."""
+    kinds 1 and 2 are two tries that are joined with each other.
+
+    A trie joined with itself gives, for each inner node, the pair of its children, one bit apart.
+    The deepest pairs come first. A pair of nodes whose leaves all have one label already is pruned
+    too: it can't join anything, so a ball of near copies does not cost all its pairs."""
     n = len(fp)
-    bits = np.zeros((BITS, n + 1), "i4")  # ones before each position, from the highest bit on
+    if not n:
+        return np.zeros(0, "i8"), np.zeros(0, "i8")
+    ones = np.zeros((BITS, n + 1), "i4")  # ones before each position, from the highest bit on
     for level in range(BITS):
-        np.cumsum((fp >> np.uint64(BITS - 1 - level)) & np.uint64(1), out=bits[level, 1:])
-    new = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]) | (kind[1:] != kind[:-1])]) if n else np.zeros(0, "i8")
+        np.cumsum((fp >> np.uint64(BITS - 1 - level)) & np.uint64(1), out=ones[level, 1:])
+    new = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]) | (kind[1:] != kind[:-1])])
     stop = np.r_[new[1:], n]
-    own = (kind[new] == 0) & (stop - new > 1)
-    cross = np.flatnonzero((kind[new[:-1]] == 1) & (kind[new[1:]] == 2) & (unit[new[:-1]] == unit[new[1:]])) if n else []
-    a = np.r_[new[own], new[cross]].astype("i8")
-    b = np.r_[stop[own], stop[cross]].astype("i8")
-    c = np.r_[new[own], new[1:][cross]].astype("i8") if n else a
-    d = np.r_[stop[own], stop[1:][cross]].astype("i8") if n else b
-    stack = [(0, a, b, c, d, np.zeros(len(a), "i4"))]
     label = np.arange(n)
+    a, b = new[kind[new] == 0], stop[kind[new] == 0]
+    levels = []
+    for level in range(BITS):  # down the tries that are joined with themselves
+        more = b - a > 1
+        a, b = a[more], b[more]
+        m = b - (ones[level, b] - ones[level, a])
+        both = (a < m) & (m < b)
+        levels.append((a[both], m[both], m[both], b[both]))
+        a, b = np.concatenate([a, m]), np.concatenate([m, b])
+    for level in range(BITS - 1, -1, -1):
+        _traverse(ones, fp, label, level + 1, *levels[level], 1, budget)
+    cross = np.flatnonzero((kind[new[:-1]] == 1) & (kind[new[1:]] == 2) & (unit[new[:-1]] == unit[new[1:]]))
+    _traverse(ones, fp, label, 0, new[cross], stop[cross], new[cross + 1], stop[cross + 1], 0, budget)
+    found = np.flatnonzero(label != np.arange(n))
+    return found, label[found]
+
+
+def _traverse(ones, fp, label, level, a, b, c, d, errors: int, budget: int) -> None:
+    """Go down from the pairs of nodes with leaves a..b-1 and c..d-1, and join what links."""
+    stack = [(level, a, b, c, d, np.full(len(a), errors, "i4"))]
     while stack:
         level, a, b, c, d, errors = stack.pop()
         if len(a) > _FRONTIER:
@@ -90,6 +109,13 @@ def linked(unit: np.ndarray, kind: np.ndarray, fp: np.ndarray, budget: int) -> t
                 cut = slice(at, at + _FRONTIER)
                 stack.append((level, a[cut], b[cut], c[cut], d[cut], errors[cut]))
             continue
+        if not len(a):
+            continue
+        # leaves a..b-1 have one label if no label changes among them
+        changes = np.cumsum(np.r_[False, label[1:] != label[:-1]]) if len(a) > 16 else None
+        if changes is not None:
+            open_ = (changes[b - 1] != changes[a]) | (changes[d - 1] != changes[c]) | (label[a] != label[c])
+            a, b, c, d, errors = (x[open_] for x in (a, b, c, d, errors))
         alone = (b - a == 1) & (d - c == 1)
         if alone.any():
             u, v = a[alone], c[alone]
@@ -98,22 +124,12 @@ def linked(unit: np.ndarray, kind: np.ndarray, fp: np.ndarray, budget: int) -> t
             a, b, c, d, errors = (x[~alone] for x in (a, b, c, d, errors))
         if not len(a) or level == BITS:
             continue
-        ones = bits[level]
-        m, k = b - (ones[b] - ones[a]), d - (ones[d] - ones[c])  # where the ones begin
-        same = a == c
-        other = ~same
-        parts = [
-            (a, m, c, k, errors),
-            (m, b, k, d, errors),
-            (a, m, k, d, errors + 1),
-            (m[other], b[other], c[other], k[other], errors[other] + 1),
-        ]
+        before = ones[level]
+        m, k = b - (before[b] - before[a]), d - (before[d] - before[c])  # where the ones begin
+        parts = [(a, m, c, k, errors), (m, b, k, d, errors), (a, m, k, d, errors + 1), (m, b, c, k, errors + 1)]
         a, b, c, d, errors = (np.concatenate(x) for x in zip(*parts, strict=True))
-        # nodes without leaves, pairs over the budget, and a leaf with itself
-        keep = (a < b) & (c < d) & (errors <= budget) & ~((a == c) & (b - a == 1) & (d - c == 1))
+        keep = (a < b) & (c < d) & (errors <= budget)
         stack.append((level + 1, a[keep], b[keep], c[keep], d[keep], errors[keep]))
-    found = np.flatnonzero(label != np.arange(n))
-    return found, label[found]
 
 
 def _join(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
@@ -132,6 +148,7 @@ def _join(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
 def _unit_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by unit; whole units are joined as they fill up."""
     held: list[np.ndarray] = []
+    most = 1 << 17  # rows joined at once, or one unit
 
     def joined(rows: list[np.ndarray]) -> pa.RecordBatch:
         unit, kind, fp = rows
@@ -146,7 +163,7 @@ def _unit_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
         if len(held[0]):
             ends = int(np.searchsorted(held[0], held[0][-1]))  # the last unit may go on
-            if ends:
+            if ends and len(held[0]) > most:
                 yield joined([x[:ends] for x in held])
                 held = [x[ends:].copy() for x in held]
     if held and len(held[0]):
