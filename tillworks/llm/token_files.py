@@ -28,8 +28,8 @@ MAGIC = b"TWIDS\0\1\0"
 END_ID = 0
 #: The dictionary's only: size, and the sample it is trained on.
 DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_BYTES = 65_536, 512, 8_192
-FILE_BYTES = 64 << 20  # a file is closed after the document that passes this
-_CACHE = 300_000  # segments whose ids a worker remembers
+FILE_BYTES = 32 << 20  # a file is closed after the document that passes this
+_CACHE = 200_000  # segments whose ids a worker remembers
 #: White space as in the tokenizer's own pattern.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Cuts where the pattern always cuts too: before the last blank of a run, around other white space.
