@@ -33,11 +33,9 @@ def spare(taken: Iterable[str], name: str) -> str:
 
 
 def bounded_sample(docs: DataFrame, rows: int) -> list[str]:
-    """The texts of the `rows` documents with the smallest hashed ids: for fitting a dictionary only."""
-    picked = (
-        docs.select(F.col("doc_id").alias("i"), text_of().alias("t"))
-        .filter(F.length("t") > 0)
-        .orderBy(F.xxhash64("i"), F.col("i"), F.xxhash64("t"))
-        .limit(rows)
-    )
-    return [r["t"] for r in picked.collect()]
+    """The texts of at most `rows` documents, those with the smallest hashed ids: for fitting a
+    dictionary only. Ids are picked first, so that no other text leaves the executors."""
+    ids = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    picked = [r[0] for r in ids.collect()]
+    found = docs.filter(F.col("doc_id").isin(picked)).select("doc_id", text_of().alias("t")).filter(F.length("t") > 0)
+    return [r["t"] for r in found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("t")).limit(rows).collect()]

@@ -14,6 +14,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +30,19 @@ END_ID = 0
 #: The dictionary's only: size, and the sample it is trained on.
 DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_BYTES = 65_536, 512, 8_192
 FILE_BYTES = 32 << 20  # a file is closed after the document that passes this
-_CACHE = 200_000  # segments whose ids a worker remembers
+_CACHE = 180_000  # segments whose ids a worker remembers, twice
+_LINED = 200  # new segments of one text
 #: White space as in the tokenizer's own pattern.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Cuts where the pattern always cuts too: before the last blank of a run, around other white space.
 _SEGMENTS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
+_IS_WHITE = re.compile(f"[{_WHITE}]")
 
 
 class Encoder:
     """Ids of texts as little-endian bytes. Segments that the tokenizer never joins are encoded by
-    the tokenizers library once and remembered; a text is the concatenation of its segments."""
+    the tokenizers library and remembered in two generations; when the younger is full it becomes
+    the older, so frequent segments stay. A text is the concatenation of its segments."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -46,18 +50,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        (self.line_end,) = self.tokenizer.encode("\n").ids
+
+    def _learn(self, new: list[str]) -> None:
+        # A line end between words is a token by itself, so one text can hold many segments.
+        white = {s for s in new if _IS_WHITE.match(s[-1])}
+        lined = [s for s in new if s not in white]
+        for at in range(0, len(lined), _LINED):
+            part = lined[at : at + _LINED]
+            (found,) = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            data, cuts = ids.tobytes(), (np.flatnonzero(ids == self.line_end) * 4).tolist()
+            if len(cuts) + 1 != len(part):
+                raise ValueError("this tokenizer joins line ends")
+            self.known.update(zip(part, [data[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)], strict=True))
+        rest = list(white)
+        for s, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.known[s] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        segments = [_SEGMENTS.findall(t) for t in texts]
         if len(self.known) > _CACHE:
-            self.known.clear()
-        known = self.known
-        new = list({s for found in segments for s in found if s not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[s] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[s] for s in found]) for found in segments]
+            self.known, self.older = {}, self.known
+        segments = [_SEGMENTS.findall(t) for t in texts]
+        missing = set().union(*segments).difference(self.known)
+        again = [s for s in missing if s in self.older]
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        self._learn(list(missing.difference(again)))
+        known = self.known.__getitem__
+        return [b"".join(map(known, found)) for found in segments]
+
+
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One a worker, for all of its tasks."""
+    return Encoder(path)
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -85,7 +112,7 @@ def _put(folder: str, name: str, parts: list[bytes]) -> None:
             out.write(part)
 
 
-def _small_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _small_batches(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about `size` bytes, so that what a task holds is bounded."""
     for batch in batches:
         rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
@@ -97,7 +124,7 @@ def _writer(folder: str, tokenizer_path: str, dictionary: bytes) -> Callable:
     digest = hashlib.sha256(dictionary).digest()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encode = encoder(tokenizer_path).encode
         press = zstandard.ZstdCompressor(dict_data=_dictionary(dictionary))
         end = struct.pack("<I", END_ID)
         ids, frames, counts, part, number, held = [], [], [], None, 0, 0
@@ -118,7 +145,7 @@ def _writer(folder: str, tokenizer_path: str, dictionary: bytes) -> Callable:
         for batch in _small_batches(batches):
             texts = batch.column(1).to_pylist()
             part = batch.column(2)[0].as_py()
-            for doc, data in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+            for doc, data in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
                 ids.append(doc)
                 frames.append(press.compress(data + end))
                 counts.append(len(data) // 4 + 1)
