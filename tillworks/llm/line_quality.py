@@ -60,8 +60,8 @@ def repeated_words(ws: Column) -> Column:
             lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
         )
 
-    return F.when(F.size(ws) < 4, 0).otherwise(
-        _let(_let(F.sort_array(windows(ws)), repeats), covered)
+    return _let(
+        ws, lambda w: F.when(F.size(w) < 4, 0).otherwise(_let(_let(F.sort_array(windows(w)), repeats), covered))
     )
 
 
@@ -86,38 +86,36 @@ def line_fails(line: Column) -> Column:
     return _let(words(line), rules)
 
 
-def measured(docs: DataFrame, out: str) -> DataFrame:
-    """`docs` and a struct column `out` with the base counts, the verdict and the cleaned text."""
-    text = text_of()
-    ws, ls = spare(docs.columns, "ws"), spare([*docs.columns, out], "ls")
+def judged(text: Column) -> Column:
+    """A struct with the base counts, the verdict and the cleaned text.
+
+    What is used more than once is bound by `_let`: were it a column of its own, a filter that the
+    optimizer pushes below would put it into the functions that run for every element."""
+
+    def counts(w: Column, lines: Column) -> Column:
+        written = F.transform(F.filter(lines, lambda l: l["chars"] > 0), lambda l: l["line"])
+        good = F.filter(lines, lambda l: ~l["bad"])
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.translate(text, ASCII_SPACE, "")).cast("long").alias("word_chars"),
+            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            _let(written, lambda l: F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
+            repeated_words(w).cast("long").alias("n_repeat_words"),
+            F.size(F.filter(lines, lambda l: l["bad"])).cast("long").alias("lines_dropped"),
+            F.aggregate(lines, F.lit(0), lambda a, l: a + F.when(l["bad"], l["chars"]).otherwise(0)).cast("long").alias("chars_dropped"),
+            F.array_join(F.transform(good, lambda l: l["line"]), "\n").alias("clean"),
+        )
+
+    def verdict(c: Column) -> Column:
+        base = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+        enough = c["chars_dropped"] <= MOST_LOST * c["word_chars"]
+        return c.withField("base_failed", base).withField("kept", ~base & enough)
+
     lines = F.transform(
         F.split(text, "\n"),
-        lambda l: F.struct(l.alias("line"), (F.length(F.translate(l, ASCII_SPACE, ""))).alias("chars"), line_fails(l).alias("bad")),
-    )
-    n_words = F.size(ws).cast("long")
-    word_chars = F.length(F.translate(text, ASCII_SPACE, "")).cast("long")
-    written = F.filter(F.transform(F.col(ls), lambda l: F.when(l["chars"] > 0, l["line"])), lambda l: l.isNotNull())
-    lost = F.aggregate(ls, F.lit(0), lambda a, l: a + F.when(l["bad"], l["chars"]).otherwise(0))
-    good = F.filter(ls, lambda l: ~l["bad"])
-    counts = F.struct(
-        n_words.alias("n_words"),
-        word_chars.alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        _let(written, lambda l: F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col(ws)).cast("long").alias("n_repeat_words"),
-        (F.size(ls) - F.size(good)).cast("long").alias("lines_dropped"),
-        lost.cast("long").alias("chars_dropped"),
-        F.array_join(F.transform(good, lambda l: l["line"]), "\n").alias("clean"),
-    )
-    base = (F.col(f"{out}.n_words") < 50) | (100 * F.col(f"{out}.n_repeat_words") > 50 * F.col(f"{out}.n_words"))
-    enough = F.col(f"{out}.chars_dropped") <= MOST_LOST * F.col(f"{out}.word_chars")
-    return (
-        docs.withColumn(ws, words(text))
-        .withColumn(ls, lines)
-        .withColumn(out, counts)
-        .withColumn(out, F.col(out).withField("base_failed", base).withField("kept", ~base & enough))
-        .drop(ws, ls)
+        lambda l: F.struct(l.alias("line"), F.length(F.translate(l, ASCII_SPACE, "")).alias("chars"), line_fails(l).alias("bad")),
     )
+    return _let(_let(words(text), lambda w: _let(lines, lambda l: counts(w, l))), verdict)
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -125,7 +123,7 @@ def quality(docs: DataFrame) -> DataFrame:
 
     Null or empty text has no words and fails the base. Repeated rows are judged alike; an empty
     table gives an empty result."""
-    rows = measured(docs.select("doc_id", "text"), "q")
+    rows = docs.select("doc_id", judged(text_of()).alias("q"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lines_dropped", "chars_dropped")
     return rows.select("doc_id", *[F.col(f"q.{n}").alias(n) for n in names])
 
@@ -134,7 +132,9 @@ def clean(docs: DataFrame) -> DataFrame:
     """The kept rows of `docs` with their failing lines taken out (and n_chars, if there, counted
     anew); the other columns as they are."""
     q = spare(docs.columns, "q")
-    kept = measured(docs, q).filter(F.col(f"{q}.kept"))
+    # a row for each kept document, from one evaluation: a filter would be pushed below and judge twice
+    found = F.filter(F.array(judged(text_of())), lambda x: x["kept"])
+    kept = docs.withColumn(q, F.explode(found))
     new = {"text": F.col(f"{q}.clean")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(f"{q}.clean").cast(docs.schema["n_chars"].dataType)
