@@ -18,6 +18,8 @@ import math
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,9 @@ from tillworks.llm.common import text_of
 from tillworks.llm.token_files import _small_batches
 from tillworks.llm.unigram import UNIT, Vocabulary
 
-_CACHE = 3_000_000  # edges whose lattice a worker remembers
-_BATCH_BYTES = 2 << 20  # of text, drawn together
+_CACHE = 4_000_000  # edges whose lattice a worker remembers
+_BATCH_BYTES = 1 << 20  # of text, drawn together
+_BETWEEN = "\uffff"
 
 
 def _uniform(key: np.ndarray) -> np.ndarray:
@@ -60,33 +63,62 @@ class Lattices:
         self.row_start = array("q", [0])
         self.key, self.chance, self.start, self.piece = array("d"), array("d"), array("i"), array("i")
 
-    def add(self, segment: str) -> None:
-        rows = len(self.row_start) - 1
-        self.first_row[segment] = rows
-        self.row_start.append(len(self.key))  # position 0 has no edges
-        forward = [0.0]
-        for end, edges in enumerate(self.vocabulary.edges(segment)[1:], 1):
-            logs = [forward[s] + self.temperature * score / UNIT for s, _, score in edges]
-            top = max(logs)
-            total = sum([math.exp(x - top) for x in logs])
-            forward.append(top + math.log(total))
-            sofar = 0.0
-            for (s, piece, _), x in zip(edges, logs, strict=True):
-                p = math.exp(x - top) / total
-                sofar += p
-                self.key.append(rows + end + min(sofar, 1.0))
-                self.chance.append(p)
-                self.start.append(s)
-                self.piece.append(piece)
-            self.key[-1] = rows + end + 1.0
-            self.row_start.append(len(self.key))
+    def add(self, new: list[str]) -> None:
+        """The lattices of new segments, in one pass over all of them joined by a character of no
+        piece: position p of a segment that begins at b there is row b + p."""
+        first = len(self.row_start) - 1
+        lengths = np.array([len(s) for s in new], "i8")
+        begin = np.concatenate([[0], np.cumsum(lengths + 1)])
+        rows = int(begin[-1])
+        self.first_row.update(zip(new, (begin[:-1] + first).tolist(), strict=True))
+        begin_of = np.repeat(begin[:-1], lengths + 1)
+        found = np.fromiter(chain.from_iterable(self.vocabulary.ids.iter(_BETWEEN.join(new))), "i8").reshape(-1, 2)
+        end, piece = found[:, 0] + 1, found[:, 1]
+        size = self.vocabulary.sizes[piece]
+        single = np.zeros(rows, bool)
+        single[end[size == 1]] = True
+        single[begin[:-1]] = True
+        alone = np.flatnonzero(~single)  # characters that are no piece of their own: unknown, after the pieces
+        end = np.concatenate([end, alone])
+        piece = np.concatenate([piece, np.full(len(alone), -1)])
+        start = end - np.concatenate([size, np.ones(len(alone), "i8")])
+        score = np.where(piece >= 0, self.vocabulary.score_of[piece], self.vocabulary.unknown_score) * (self.temperature / UNIT)
+        order = np.argsort(end, kind="stable")
+        end, piece, start, score = end[order], piece[order], start[order], score[order]
+        row_start = np.searchsorted(end, np.arange(rows + 1))
+        chance, key = np.empty(len(end)), np.empty(len(end))
+        forward = np.zeros(rows)
+        depth = end - begin_of[end] if len(end) else end
+        by_depth = np.argsort(depth, kind="stable")
+        cuts = np.flatnonzero(np.diff(depth[by_depth], prepend=-1))
+        for lo, hi in zip(cuts, [*cuts[1:], len(by_depth)], strict=True):  # all rows of one position
+            at = by_depth[lo:hi]
+            heads = np.flatnonzero(np.diff(end[at], prepend=-1))
+            counts = np.diff(np.r_[heads, len(at)])
+            logs = forward[start[at]] + score[at]
+            top = np.maximum.reduceat(logs, heads)
+            share = np.exp(logs - np.repeat(top, counts))
+            total = np.add.reduceat(share, heads)
+            forward[end[at[heads]]] = top + np.log(total)
+            share /= np.repeat(total, counts)
+            chance[at] = share
+            upto = np.cumsum(share)
+            upto -= np.repeat(upto[heads] - share[heads], counts)
+            upto[np.r_[heads[1:], len(at)] - 1] = 1.0
+            key[at] = first + end[at] + np.minimum(upto, 1.0)
+        before = len(self.key)
+        self.key.frombytes(key.tobytes())
+        self.chance.frombytes(chance.tobytes())
+        self.start.frombytes((start - begin_of[start]).astype("i4").tobytes() if len(start) else b"")
+        self.piece.frombytes(piece.astype("i4").tobytes())
+        self.row_start.frombytes((row_start[1:] + before).astype("i8").tobytes())
 
     def rows_of(self, segments: list[str]) -> np.ndarray:
         known = self.first_row
-        for s in dict.fromkeys(segments):
-            if s not in known:
-                self.add(s)
-        return np.array([known[s] for s in segments], "i8")
+        new = [s for s in dict.fromkeys(segments) if s not in known]
+        if new:
+            self.add(new)
+        return np.fromiter(map(known.__getitem__, segments), "i8", len(segments))
 
 
 def _draw(views, row0: np.ndarray, at: np.ndarray, base: np.ndarray, sample: int, offset: np.ndarray):
@@ -147,6 +179,12 @@ class Sampler:
         return out
 
 
+@lru_cache(1)
+def _sampler(path: str, k: int, temperature: float, seed: int) -> Sampler:
+    """One a worker, for all of its tasks."""
+    return Sampler(path, k, temperature, seed)
+
+
 def _search(sampler: Sampler, views, segments, row0, sizes, offset, free, base, lo: int, hi: int):
     """The best-first search of one text, whose segments are lo..hi-1."""
     vocabulary, chance = sampler.vocabulary, views["chance"]
@@ -260,7 +298,7 @@ _SCHEMA = "rank int, ids array<int>, n_pieces int, ids_crc32 long, log_prob doub
 
 def _encode(path: str, k: int, temperature: float, seed: int) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(path, k, temperature, seed)
+        sampler = _sampler(path, k, temperature, seed)
         for batch in _small_batches(batches, _BATCH_BYTES):
             texts = batch.column(1).to_pylist()
             keys = batch.column(2).to_pylist()

@@ -8,6 +8,7 @@ the tokenizer's strict comparison does. No path is kept. Counts of segments are
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -65,9 +66,15 @@ class Counter:
         return sum([known[s] for s in segments])
 
 
+@lru_cache(1)
+def _counter(path: str) -> Counter:
+    """One a worker, for all of its tasks."""
+    return Counter(path)
+
+
 def _count(path: str) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = _counter(path)
         for batch in batches:
             counts = [counter.of_text(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["doc_id", "n_tokens"])

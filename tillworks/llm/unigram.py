@@ -13,6 +13,7 @@ import struct
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 
 UNIT = 1024  # scores are whole multiples of 1/UNIT
 _NORMAL, _USER, _UNUSED, _BYTE = 1, 4, 5, 6  # piece types of the file format
@@ -67,7 +68,7 @@ class Vocabulary:
         self.bytes_of: list[bytes] = []  # what an id decodes to, blanks as SPACE
         self.byte_ids = [0] * 256
         self.unknown = 0
-        matcher = ahocorasick.Automaton()
+        matcher, ids = ahocorasick.Automaton(), ahocorasick.Automaton()
         normal = []
         for number, _, value, _ in _fields(self.model):
             if number != 1:
@@ -93,10 +94,16 @@ class Vocabulary:
                 normal.append(self.scores[i])
             if kind in (_NORMAL, _USER):
                 matcher.add_word(piece, (len(piece), i))
+                ids.add_word(piece, i)
         matcher.make_automaton()
-        self.matcher = matcher
+        ids.make_automaton()
+        self.matcher, self.ids = matcher, ids
+        self.sizes = np.array([len(p) for p in self.pieces], "i8")
+        self.score_of = np.array(self.scores, "i8")
         self.unknown_score = min(normal) - _UNK_PENALTY * UNIT
         held = set("".join(p for p, b in zip(self.pieces, self.bytes_of, strict=True) if b))
+        if "\uffff" in held:
+            raise ValueError("no character is left to stand between segments")
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("pieces that go on after a blank can't be cut there")
         alone = "".join(re.escape(c) for c in "\n\t\r" if c not in held)
