@@ -447,7 +447,7 @@ _BODIES: dict[str, str] = {
     "n15_store_performance": "stores",
     "n16_category_baskets": "categories",
     "n17_older_daily_kpi": "v_daily",
-    "n17_older_top_products": "SELECT * FROM v_products WHERE NetSalesRank <= 10",
+    "n17_older_top_products": "v_products",
 }
 
 _DATASETS = {

@@ -117,3 +117,24 @@ def test_reject_reason_is_the_first_broken_rule(spark, row, reason):
     rejected = [x["RejectReason"] for x in silver.invalid_transactions(rows, 7).collect()]
     assert rejected == ([reason] if reason else [])
     assert silver.valid_transactions(rows, 7).count() == (0 if reason else 1)
+
+
+def test_files_with_other_headers_raise(spark, tmp_path):
+    from tillworks.schema import SOURCES
+    from tillworks.sources import csvfiles
+
+    names = list(SOURCES["coupon_redempt"])
+    for file, order in (("a", names), ("b", names[::-1])):
+        (tmp_path / f"{file}.csv").write_text(",".join(order) + "\n" + ",".join("1" for _ in order) + "\n")
+    with pytest.raises(Exception, match="header"):
+        csvfiles.scan(spark, str(tmp_path), "coupon_redempt").collect()
+
+
+def test_one_record_with_two_process_dates_is_one(spark):
+    day = spark.range(2).selectExpr(
+        *[f"cast(1 as string) as {c}" for c in silver.TRANSACTION_COLUMNS],
+        "date_add(date'2024-01-01', cast(id as int)) as ProcessDate",
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) as ETLTime",
+    )
+    rows = silver.deduplicated_transactions(day).collect()
+    assert len(rows) == 1 and str(rows[0]["ProcessDate"]) == "2024-01-02"

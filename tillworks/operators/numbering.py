@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillworks.session import materialise
 
+_FEW = 100_000  # rows of two columns that are small enough to broadcast
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's position in its lower 33 bits
 
 
@@ -35,11 +36,8 @@ def global_row_number(df: DataFrame, *order: Column | str, name: str = "row_numb
     for part, rows in counts:
         offsets.append((part, before))
         before += rows
-    if len(offsets) < 2:
-        numbered = placed.withColumn("_before", F.lit(0))
-    else:
-        starts = df.sparkSession.createDataFrame(offsets, "_part int, _before bigint")
-        numbered = placed.join(F.broadcast(starts), "_part")
+    starts = df.sparkSession.createDataFrame(offsets, "_part int, _before bigint")
+    numbered = placed.join(F.broadcast(starts), "_part")
     return numbered.withColumn(name, F.col("_before") + F.col("_position") + 1).drop(
         "_part", "_position", "_before"
     )
@@ -52,7 +50,10 @@ def global_dense_rank(df: DataFrame, within: str, value: str, name: str) -> Data
     numbered = global_row_number(
         df.select(within, value).distinct(), F.col(within).asc(), F.col(value).desc(), name="_n"
     )
-    first = numbered.groupBy(within).agg(F.min("_n").alias("_first"))
+    # one row per value of `within`: few, unless counted otherwise, and then a plain join
+    first = materialise(numbered.groupBy(within).agg(F.min("_n").alias("_first")), "first-numbers")
+    if first.count() <= _FEW:
+        first = F.broadcast(first)
     ranks = numbered.join(first, within).select(
         F.col(within).alias("_within"),
         F.col(value).alias("_value"),

@@ -49,9 +49,10 @@ def invalid_transactions(bronze: DataFrame, day: int | None = None) -> DataFrame
 
 
 def deduplicated_transactions(valid: DataFrame) -> DataFrame:
-    """One row per record. The hash covers all source columns, so equal hash means equal columns;
-    grouping by the columns keeps the 64-character hash out of the shuffle."""
-    latest = latest_copy(valid, [*TRANSACTION_COLUMNS, "ProcessDate"])
+    """One row per record, whatever its process dates. The hash covers all source columns, so equal
+    hash means equal columns; grouping by these keeps the 64-character hash out of the shuffle."""
+    rows = valid.select(*TRANSACTION_COLUMNS, "ProcessDate", "ETLTime")
+    latest = latest_by_key(rows, TRANSACTION_COLUMNS, ["ETLTime"])
     return latest.withColumn("RecordHash", record_hash(*TRANSACTION_COLUMNS))
 
 

@@ -10,12 +10,14 @@ from tillworks.schema import SOURCES
 
 
 def scan(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Every field as text, with the file it came from. The header is matched by name, not read
-    twice for inference; a short or long line is kept (PERMISSIVE)."""
+    """Every field as text, with the file it came from. The order of the columns is that of the
+    first file's header; a file whose header differs raises, so no field is read under another
+    name. A short or long line is kept (PERMISSIVE)."""
     header = spark.read.option("header", True).csv(path).columns  # first line of one file only
     by_name = {h.lower(): h for h in SOURCES[source]}
     schema = T.StructType([T.StructField(by_name.get(h.lower(), h), T.StringType()) for h in header])
-    rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    options = {"header": True, "mode": "PERMISSIVE", "enforceSchema": False}
+    rows = spark.read.schema(schema).options(**options).csv(path)
     return rows.select(*SOURCES[source], F.col("_metadata.file_path").alias("SourceFile"))
 
 

@@ -38,16 +38,8 @@ def _week(day: Column) -> Column:
     return F.floor((day - 1) / 7) + 1
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """A fact file of few splits would be hashed and written by few tasks; one round-robin pass
-    gives every core a part. Input with enough splits, as any large one has, is left as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     lines = _read(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *columns)
-    lines = _spread(lines)
     orders = _plain(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.withColumn("day_no", _day("o_orderdate", FIRST_ORDER_DATE))
