@@ -121,6 +121,16 @@ class Lattices:
         return np.fromiter(map(known.__getitem__, segments), "i8", len(segments))
 
 
+def _upto(key, edge: np.ndarray, last: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The first edge from `edge` to `last` whose key is above the target, or the last one. Rows hold
+    few edges, so stepping through them touches less memory than a search over all rows."""
+    on = np.flatnonzero((key[edge] <= target) & (edge < last))
+    while len(on):
+        edge[on] += 1
+        on = on[(key[edge[on]] <= target[on]) & (edge[on] < last[on])]
+    return edge
+
+
 def _draw(views, row0: np.ndarray, at: np.ndarray, base: np.ndarray, sample: int, offset: np.ndarray):
     """Free paths, drawn backwards from position `at` of segments whose rows begin at `row0`.
 
@@ -131,8 +141,7 @@ def _draw(views, row0: np.ndarray, at: np.ndarray, base: np.ndarray, sample: int
     while len(who):
         row = row0[who] + at
         u = _uniform(_keys(base[who], sample, offset[who] + at))
-        edge = np.minimum(np.searchsorted(key, row + u, side="right"), row_start[row + 1] - 1)
-        edge = np.maximum(edge, row_start[row])
+        edge = _upto(key, row_start[row], row_start[row + 1] - 1, row + u)
         segments.append(who)
         edges.append(edge)
         at = start[edge].astype("i8")
