@@ -30,7 +30,7 @@ from tillworks.llm.common import text_of
 from tillworks.llm.token_files import _small_batches
 from tillworks.llm.unigram import UNIT, Vocabulary
 
-_CACHE = 4_000_000  # edges whose lattice a worker remembers
+_CACHE = 8_000_000  # edges whose lattice a worker remembers
 _BATCH_BYTES = 1 << 20  # of text, drawn together
 _BETWEEN = "\uffff"
 
