@@ -19,7 +19,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -115,10 +115,13 @@ class Lattices:
 
     def rows_of(self, segments: list[str]) -> np.ndarray:
         known = self.first_row
-        new = [s for s in dict.fromkeys(segments) if s not in known]
-        if new:
-            self.add(new)
-        return np.fromiter(map(known.__getitem__, segments), "i8", len(segments))
+        rows = np.fromiter(map(known.get, segments, repeat(-1)), "i8", len(segments))
+        missing = np.flatnonzero(rows < 0).tolist()
+        if missing:
+            new = [segments[i] for i in missing]
+            self.add(list(dict.fromkeys(new)))
+            rows[missing] = [known[s] for s in new]
+        return rows
 
 
 def _upto(key, edge: np.ndarray, last: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -134,24 +137,25 @@ def _upto(key, edge: np.ndarray, last: np.ndarray, target: np.ndarray) -> np.nda
 def _draw(views, row0: np.ndarray, at: np.ndarray, base: np.ndarray, sample: int, offset: np.ndarray):
     """Free paths, drawn backwards from position `at` of segments whose rows begin at `row0`.
 
-    Returns (segment, edge) of each step, steps of a segment in backward order."""
+    Returns the edges of all segments, backward within each, and where each segment's begin."""
     key, row_start, start = views["key"], views["row_start"], views["start"]
+    count = np.zeros(len(row0), "i8")
     who, at = np.flatnonzero(at > 0), at[at > 0]
-    segments, edges = [], []
+    steps = []
     while len(who):
         row = row0[who] + at
         u = _uniform(_keys(base[who], sample, offset[who] + at))
         edge = _upto(key, row_start[row], row_start[row + 1] - 1, row + u)
-        segments.append(who)
-        edges.append(edge)
+        count[who] += 1
+        steps.append((who, edge))
         at = start[edge].astype("i8")
         more = at > 0
         who, at = who[more], at[more]
-    if not segments:
-        return np.zeros(0, "i8"), np.zeros(0, "i8")
-    segments, edges = np.concatenate(segments), np.concatenate(edges)
-    order = np.argsort(segments, kind="stable")
-    return segments[order], edges[order]
+    first = np.concatenate([[0], np.cumsum(count)])
+    edges = np.empty(first[-1], "i8")
+    for n, (who, edge) in enumerate(steps):
+        edges[first[who] + n] = edge
+    return edges, first
 
 
 class Sampler:
@@ -165,22 +169,18 @@ class Sampler:
     def sample(self, keys: list[str], texts: list[str]) -> list[list[tuple[list[int], float, float, float]]]:
         if len(self.lattices.key) > _CACHE:
             self.lattices.clear()
-        cut = [self.vocabulary.cut(t) for t in texts]
+        cut = [self.vocabulary.cut(t)[::-1] for t in texts]  # paths are built from the end
         segments = [s for c in cut for s in c]
         first = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype("i8")
         row0 = self.lattices.rows_of(segments)
-        sizes = np.array([len(s) for s in segments], "i8")
-        offset = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(sizes) else sizes
+        sizes = np.fromiter(map(len, segments), "i8", len(segments))
         of = np.repeat(np.arange(len(texts)), np.diff(first))
-        begin = np.array([offset[f] if f < len(offset) else 0 for f in first[:-1]], "i8")
-        offset = offset - begin[of] if len(of) else offset  # positions count within the text
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        offset = upto[first[1:]][of] - upto[1:]  # positions count within the text
         base = np.array([xxhash.xxh64_intdigest(k.encode(), self.seed) for k in keys], "u8")
         lattice = self.lattices
         views = {"key": np.frombuffer(lattice.key), "chance": np.frombuffer(lattice.chance), "row_start": np.frombuffer(lattice.row_start, "i8"), "start": np.frombuffer(lattice.start, "i4"), "piece": np.frombuffer(lattice.piece, "i4")}
-        free = []  # for each sample: edges of all segments, backward within each, and where each begins
-        for j in range(self.k):
-            who, edge = _draw(views, row0, sizes, base[of], j + 1, offset)
-            free.append((edge, np.searchsorted(who, np.arange(len(segments) + 1))))
+        free = [_draw(views, row0, sizes, base[of], j + 1, offset) for j in range(self.k)]
         out = []
         for d in range(len(texts)):
             lo, hi = int(first[d]), int(first[d + 1])
@@ -195,89 +195,76 @@ def _sampler(path: str, k: int, temperature: float, seed: int) -> Sampler:
 
 
 def _search(sampler: Sampler, views, segments, row0, sizes, offset, free, base, lo: int, hi: int):
-    """The best-first search of one text, whose segments are lo..hi-1."""
-    vocabulary, chance = sampler.vocabulary, views["chance"]
+    """The best-first search of one text, whose segments are lo..hi-1, the last one first."""
+    chance, row_start, start = views["chance"], views["row_start"], views["start"]
     if lo == hi:
         return [([], 0.0, 0.0, 0.0)] if sampler.k else []
 
-    def beginning(j: int, upto: int):
-        """Free edges of sample j in segments lo..upto-1, last segment first, backward within each."""
+    def beginning(j: int, after: int):
+        """Free edges of sample j in segments after..hi-1, backward within each, and their segments."""
         edge, where = free[j]
-        parts = edge[where[lo] : where[upto]]
-        owner = np.repeat(np.arange(lo, upto), np.diff(where[lo : upto + 1]))
-        order = np.argsort(-owner, kind="stable")
-        return parts[order], owner[order]
+        return edge[where[after] : where[hi]], np.repeat(np.arange(after, hi), np.diff(where[after : hi + 1]))
 
     number = 0
 
-    def regions(path, owner, logs, from_at: int, excluded: tuple, best: float, who: int):
+    def row_of(path, owner, at: int) -> int:
+        """The row where the path's edge number `at` ends."""
+        inside = at > 0 and owner[at - 1] == owner[at]
+        return int(row0[owner[at]] + (start[path[at - 1]] if inside else sizes[owner[at]]))
+
+    def regions(path, owner, p, logs, from_at: int, excluded: tuple, best: float, who: int):
         """Regions of what is left of (path up to from_at, before which all is free): at each later
-        position the taken edge is excluded."""
+        position the taken edge is excluded. The chance of an only edge is 1, which leaves nothing."""
         nonlocal number
-        # log-probability of what was chosen before each position
-        chosen = np.concatenate([[0.0], np.cumsum(logs)])[:-1][from_at:]
-        lost = chance[path[from_at:]].copy()
+        left = 1.0 - p[from_at:]
         if excluded:
-            lost[0] += chance[list(excluded)].sum()
-        with np.errstate(divide="ignore"):
-            mass = chosen + np.log(np.maximum(1.0 - lost, 0.0))
-        # rounding must not make a region of nothing, where all edges are excluded
-        ends = row_ends[who]
-        count = ends["count"][from_at:] - 1
-        count[0] -= len(excluded)
-        mass[count <= 0] = -np.inf
+            left[0] -= chance[list(excluded)].sum()
+            row = row_of(path, owner, from_at)
+            # rounding must not make a region of nothing, where all edges are excluded
+            if row_start[row + 1] - row_start[row] <= len(excluded) + 1:
+                left[0] = 0.0
+        # log-probability of what was chosen before each position
+        chosen = np.cumsum(logs)[from_at:] - logs[from_at:]
         u = _uniform(_keys(base, 1000 + who, np.arange(from_at, len(path))))
         with np.errstate(divide="ignore"):
-            gumbel = -np.logaddexp(-best, -(mass - np.log(-np.log(u))))
+            gumbel = chosen + np.log(np.maximum(left, 0.0) / -np.log(u))
         top = min(sampler.k + 1, len(gumbel))
-        # of one path's regions no more than k + 1 can ever be taken
-        for i in np.argpartition(-gumbel, top - 1)[:top]:
+        # of one path's regions no more than k + 1 can ever be taken; the cut below keeps their order
+        for i in np.argpartition(-gumbel, top - 1)[:top].tolist():
             if gumbel[i] > -np.inf:
                 number += 1
                 skip = (int(path[from_at + i]),) + (excluded if i == 0 else ())
-                heapq.heappush(heap, (-float(gumbel[i]), number, who, from_at + int(i), skip))
-
-    row_start, start = views["row_start"], views["start"]
-
-    def ends_of(path, owner):
-        """Position in its segment where each edge ends, and how many edges end there."""
-        at = np.empty(len(path), "i8")
-        new = np.r_[True, owner[1:] != owner[:-1]]
-        at[new] = sizes[owner[new]]
-        at[~new] = start[path[:-1]][~new[1:]]
-        row = row0[owner] + at
-        return {"at": at, "count": row_start[row + 1] - row_start[row]}
+                score = float(np.logaddexp(-best, -gumbel[i]))
+                heapq.heappush(heap, (score, number, who, from_at + i, skip))
 
     heap: list = []
-    path, owner = beginning(0, hi)
-    paths, row_ends, found = [(path, owner)], [], []
-    logs = np.log(chance[path])
-    row_ends.append(ends_of(path, owner))
+    path, owner = beginning(0, lo)
+    p = chance[path]
+    logs = np.log(p)
     best = float(-np.log(-np.log(_uniform(_keys(base, 999, np.zeros(1, "u8")))))[0])
-    found.append((path, owner, float(logs.sum()), best))
-    regions(path, owner, logs, 0, (), best, 0)
+    found = [(path, owner, float(logs.sum()), best)]
+    regions(path, owner, p, logs, 0, (), best, 0)
     while heap and len(found) < sampler.k:
         score, _, who, at, skip = heapq.heappop(heap)
-        path, owner = paths[who]
+        path, owner = found[who][:2]
         j = len(found)
         segment = int(owner[at])
-        end = int(row_ends[who]["at"][at])
-        row = row0[segment] + end
+        row = row_of(path, owner, at)
+        end = row - int(row0[segment])
         edges = np.arange(row_start[row], row_start[row + 1])
         edges = edges[~np.isin(edges, skip)]
         weight = np.cumsum(chance[edges])
         u = float(_uniform(_keys(base, 2000 + j, np.array([end + offset[segment]])))[0])
         taken = int(edges[min(int(np.searchsorted(weight, u * weight[-1], side="right")), len(edges) - 1)])
         one = np.array([segment])
-        _, inside = _draw(views, row0[one], start[[taken]].astype("i8"), np.array([base], "u8"), j + 1, offset[one])
-        before, before_owner = beginning(j, segment)
+        inside, _ = _draw(views, row0[one], start[[taken]].astype("i8"), np.array([base], "u8"), j + 1, offset[one])
+        before, before_owner = beginning(j, segment + 1)
         path = np.concatenate([path[:at], [taken], inside, before]).astype("i8")
         owner = np.concatenate([owner[:at], np.full(1 + len(inside), segment), before_owner]).astype("i8")
-        logs = np.log(chance[path])
-        paths.append((path, owner))
-        row_ends.append(ends_of(path, owner))
+        p = chance[path]
+        logs = np.log(p)
         found.append((path, owner, float(logs.sum()), -score))
-        regions(path, owner, logs, at, skip, -score, j)
+        regions(path, owner, p, logs, at, skip, -score, j)
     threshold = -heap[0][0] if heap else -math.inf
     out = []
     for path, owner, log_prob, g in found:
@@ -286,20 +273,20 @@ def _search(sampler: Sampler, views, segments, row0, sizes, offset, free, base,
         inclusion = 0.0 if spread > 36 else math.log(-math.expm1(-math.exp(spread))) if spread > -700 else spread
         ids = views["piece"][path][::-1]
         if (ids < 0).any():
-            ids = _with_bytes(vocabulary, segments, views, path[::-1], owner[::-1], ids)
+            ids = _with_bytes(sampler.vocabulary, segments, views, path[::-1], owner[::-1], ids)
         out.append((ids, log_prob, g, inclusion))
     return out
 
 
 def _with_bytes(vocabulary: Vocabulary, segments, views, path, owner, ids) -> np.ndarray:
     """Ids with each unknown character as its bytes."""
-    out, at = [], 0
-    for i in np.flatnonzero(ids < 0).tolist():
-        out.append(ids[at:i])
-        character = segments[owner[i]][views["start"][path[i]]]
-        out.append(np.array([vocabulary.byte_ids[b] for b in character.encode()], "i4"))
-        at = i + 1
-    return np.concatenate([*out, ids[at:]])
+    at = np.flatnonzero(ids < 0)
+    unknown = [segments[o][f].encode() for o, f in zip(owner[at].tolist(), views["start"][path[at]].tolist(), strict=True)]
+    times = np.ones(len(ids), "i8")
+    times[at] = [len(b) for b in unknown]
+    out = np.repeat(ids, times)
+    out[out < 0] = np.asarray(vocabulary.byte_ids, "i4")[np.frombuffer(b"".join(unknown), "u1")]
+    return out
 
 
 _SCHEMA = "rank int, ids array<int>, n_pieces int, ids_crc32 long, log_prob double, perturbed double, log_inclusion double, round_trip boolean"

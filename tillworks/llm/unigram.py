@@ -135,7 +135,7 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """Pieces joined, bytes as UTF-8, SPACE as a blank, without the blank in front."""
-        raw = b"".join([self.bytes_of[i] for i in ids])
+        raw = b"".join(map(self.bytes_of.__getitem__, ids))
         return raw.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
 
     def as_unigram_model(self) -> bytes:
