@@ -412,6 +412,10 @@ _BODIES: dict[str, str] = {
         "SELECT *, CASE CheckStatus WHEN 'FAIL' THEN 1 WHEN 'WARN' THEN 2 WHEN 'PASS' THEN 3 ELSE 4 END AS place "
         "FROM snapshot_checks WHERE LayerName = 'DWH'"
     ),
+    "qr1_mart_detail": (
+        "SELECT *, CASE CheckStatus WHEN 'FAIL' THEN 1 WHEN 'WARN' THEN 2 WHEN 'PASS' THEN 3 ELSE 4 END AS place "
+        "FROM snapshot_checks WHERE LayerName = 'DM'"
+    ),
     "qr1_status_counts": "SELECT LayerName, CheckStatus, count(*) AS CheckCount FROM dq_log GROUP BY 1, 2",
     "qr1_critical_failures": f"SELECT count(*) AS CriticalFailureCount FROM dq_log WHERE {_BLOCKING}",
     "qr2_duplicate_targets": (

@@ -62,3 +62,8 @@ def test_distinct_counts_do_not_repeat_the_sums(spark):
     for name in ("a1_daily_sales", "a2_product_sales", "n14_campaign_timing", "n15_store_performance", "n16_category_baskets"):
         plan = plan_of(QUERIES[name][0](lake))
         assert "Expand" not in plan and "SortAggregate" not in plan
+
+
+def test_aggregates_beside_each_other_read_a_table_once(spark):
+    plan = plan_of(QUERIES["a18_source_bounds"][0](lake_of(spark, SMALL)))
+    assert plan.count("FileScan") == 2

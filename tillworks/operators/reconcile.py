@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 def side_by_side(values: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
     """One row with one column per named aggregate, each taken over its own table.
 
-    Each aggregate yields one row; the rows are stacked and folded by max."""
-    rows = []
+    The aggregates of one DataFrame are taken in one pass over it; each DataFrame yields one row,
+    and the rows are stacked and folded by max."""
+    tables: dict[int, tuple[DataFrame, list[Column]]] = {}
     for name, (df, aggregate) in values.items():
-        rows.append(df.agg(aggregate.alias(name)))
+        tables.setdefault(id(df), (df, []))[1].append(aggregate.alias(name))
+    rows = [df.agg(*aggregates) for df, aggregates in tables.values()]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
     return stacked.agg(*[F.max(name).alias(name) for name in values])
 

@@ -940,6 +940,12 @@ def qr1_detail(lake: Lake) -> DataFrame:
     return quality.detail_report(snapshot, "DWH").withColumn("place", views.status_order())
 
 
+@query("TableName CheckName CheckStatus place")
+def qr1_mart_detail(lake: Lake) -> DataFrame:
+    snapshot = lake["audit.data_quality_log"].filter(F.col("BatchID") == SNAPSHOT)
+    return quality.detail_report(snapshot, "DM").withColumn("place", views.status_order())
+
+
 @query("LayerName CheckStatus CheckCount")
 def qr1_status_counts(lake: Lake) -> DataFrame:
     return quality.status_report(lake["audit.data_quality_log"])
