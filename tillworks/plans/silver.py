@@ -49,10 +49,10 @@ def invalid_transactions(bronze: DataFrame, day: int | None = None) -> DataFrame
 
 
 def deduplicated_transactions(valid: DataFrame) -> DataFrame:
-    """One row per record, whatever its process dates. The hash covers all source columns, so equal
-    hash means equal columns; grouping by these keeps the 64-character hash out of the shuffle."""
-    rows = valid.select(*TRANSACTION_COLUMNS, "ProcessDate", "ETLTime")
-    latest = latest_by_key(rows, TRANSACTION_COLUMNS, ["ETLTime"])
+    """One row per record, with the latest process date and load time of its copies. The hash covers
+    all source columns, so equal hash means equal columns; grouping by these keeps the 64-character
+    hash out of the shuffle, and two plain maxima keep the aggregate from sorting."""
+    latest = valid.groupBy(*TRANSACTION_COLUMNS).agg(*[F.max(c).alias(c) for c in ("ProcessDate", "ETLTime")])
     return latest.withColumn("RecordHash", record_hash(*TRANSACTION_COLUMNS))
 
 
