@@ -203,6 +203,14 @@ def test_odd_pages(spark):
     assert html_wrapper.main_texts(pages(spark, []).limit(0)).count() == 0
 
 
+def test_texts_that_begin_alike_are_not_fixed(spark):
+    lead = "Vienna, 1 May. " * 40  # 600 characters that all pages share
+    for body in ("<article><h1>Head {n}</h1><div>{t}<br>end</div></article>", "<article><h1>Head {n}</h1><pre>{t}</pre></article>", "<body><h1>Head {n}</h1><p>{t}</p>"):
+        rows = [(i, "http://lead.example.com/", body.format(n=i, t=f"{lead}News {i}."), "") for i in range(20)]
+        for r in html_wrapper.main_texts(pages(spark, rows)).collect():
+            assert f"{lead}News {r['page_id']}." in r["text"]
+
+
 def test_wrapper_is_union_free_and_does_not_grow():
     build = lambda body: html_wrapper.of_page(html_wrapper.parse(body).children)
     one = html_wrapper.align(build("<ul><li>a<li>b</ul><p>x"), build("<ul><li>c</ul><h2>h</h2><p>y"))

@@ -13,6 +13,7 @@ with each other. A page is then read along its host's wrapper, which says which
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -157,15 +158,20 @@ def parse(page: str) -> Node:
 
 
 # A wrapper is a list of items. An item is a dictionary:
-#   kind "tag": key, opt, rep, items (its content); kind "text": const (its text, or None for a slot), opt, rep;
-#   kind "group": items (each optional and repeated) that recur in any number. n counts pages.
+#   kind "tag": key, opt, rep, items (its content); kind "text": const (digest of its whole text, or None for a slot), opt, rep;
+#   kind "group": items (each optional and repeated) that recur in any number. p counts pages.
+
+
+def digest_of(text: str) -> str:
+    """Stands for the whole text, so that texts which differ anywhere make a slot."""
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def of_page(children: list) -> list[dict]:
     items = []
     for c in children:
         if isinstance(c, str):
-            items.append({"kind": "text", "const": c[:200], "opt": 0, "rep": 0, "n": len(c), "p": 1})
+            items.append({"kind": "text", "const": digest_of(c), "opt": 0, "rep": 0, "p": 1})
         else:
             items.append({"kind": "tag", "key": c.key, "opt": 0, "rep": 0, "items": of_page(c.children), "p": 1})
     return fold(items)
@@ -188,7 +194,7 @@ def _merge_item(a: dict, b: dict, same_page: bool = False) -> dict:
         return {"kind": "group", "items": list(members.values()), "opt": a["opt"] | b["opt"], "rep": 1, "p": pages}
     if a["kind"] == "text":
         const = a["const"] if a["const"] == b["const"] else None
-        return {"kind": "text", "const": const, "opt": a["opt"] | b["opt"], "rep": a["rep"] | b["rep"], "n": max(a["n"], b["n"]), "p": pages}
+        return {"kind": "text", "const": const, "opt": a["opt"] | b["opt"], "rep": a["rep"] | b["rep"], "p": pages}
     return {"kind": "tag", "key": a["key"], "opt": a["opt"] | b["opt"], "rep": a["rep"] | b["rep"], "items": align(a["items"], b["items"]), "p": pages}
 
 
@@ -297,7 +303,7 @@ class Wrapper:
         return False
 
     def _is_fixed(self, text: str, item: dict | None) -> bool:
-        return self.fixed and item is not None and item["const"] is not None and item["p"] >= _FEW_PAGES and text[:200] == item["const"]
+        return self.fixed and item is not None and item["const"] is not None and item["p"] >= _FEW_PAGES and digest_of(text) == item["const"]
 
     def extract(self, root: Node) -> str:
         blocks: list[str] = []
