@@ -211,6 +211,23 @@ def test_texts_that_begin_alike_are_not_fixed(spark):
             assert f"{lead}News {r['page_id']}." in r["text"]
 
 
+@pytest.mark.parametrize("n", [2, 7, 8, 1000])
+def test_equal_bodies_stay_on_any_number_of_pages(spark, n):
+    rows = []
+    for host, page in SYNDICATED.items():
+        rows += [(i, f"http://{host}.example.com/", page.format(n=i), "") for i in range(n)]
+    for r in html_wrapper.main_texts(pages(spark, rows)).collect():
+        lead = ["Facts"] if "article" in r["url"] else []
+        assert r["text"].split("\n") == [f"Title {r['page_id']}", *lead, "Body one, that many papers print.", "Body two."], r["url"]
+
+
+SYNDICATED = {
+    "article": "<body><div>Our site since 1999</div><article><h1>Title {n}</h1><table><tr><th>Facts</table><p>Body one, that many papers print.<p>Body two.</article>",
+    "div": "<body><div>Our site since 1999</div><div id=x><h1>Title {n}</h1><p>Body one, that many papers print.<p>Body two.</div>",
+    "pre": "<body><div>Our site since 1999</div><div id=x><h1>Title {n}</h1><pre>Body one, that many papers print.</pre><p>Body two.</div>",
+}
+
+
 def test_wrapper_is_union_free_and_does_not_grow():
     build = lambda body: html_wrapper.of_page(html_wrapper.parse(body).children)
     one = html_wrapper.align(build("<ul><li>a<li>b</ul><p>x"), build("<ul><li>c</ul><h2>h</h2><p>y"))

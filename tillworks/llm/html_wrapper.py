@@ -34,6 +34,7 @@ _BLOCKS = frozenset(
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSED_BY_BLOCK = frozenset({"p"})
+_PARTS = _HEADINGS | {"p", "pre", "blockquote", "li", "dd", "dt", "figcaption", "caption"}
 #: Elements that end an open one of the same list below the given parents.
 _SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -66,7 +67,6 @@ _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([
 _DIGITS = re.compile(r"\d+")
 _SPACES = re.compile(r"\s+")
 _TEXT = "#text"
-_FEW_PAGES = 8  # with fewer pages, texts that are alike may be so by chance
 
 
 class Linked(str):
@@ -159,7 +159,8 @@ def parse(page: str) -> Node:
 
 # A wrapper is a list of items. An item is a dictionary:
 #   kind "tag": key, opt, rep, items (its content); kind "text": const (digest of its whole text, or None for a slot), opt, rep;
-#   kind "group": items (each optional and repeated) that recur in any number. p counts pages.
+#   kind "group": items (each optional and repeated) that recur in any number. p counts pages, c a text's characters
+#   over all pages, and l those of them that lie in links.
 
 
 def digest_of(text: str) -> str:
@@ -171,7 +172,7 @@ def of_page(children: list) -> list[dict]:
     items = []
     for c in children:
         if isinstance(c, str):
-            items.append({"kind": "text", "const": digest_of(c), "opt": 0, "rep": 0, "p": 1})
+            items.append({"kind": "text", "const": digest_of(c), "opt": 0, "rep": 0, "c": len(c), "l": len(c) * isinstance(c, Linked), "p": 1})
         else:
             items.append({"kind": "tag", "key": c.key, "opt": 0, "rep": 0, "items": of_page(c.children), "p": 1})
     return fold(items)
@@ -194,7 +195,7 @@ def _merge_item(a: dict, b: dict, same_page: bool = False) -> dict:
         return {"kind": "group", "items": list(members.values()), "opt": a["opt"] | b["opt"], "rep": 1, "p": pages}
     if a["kind"] == "text":
         const = a["const"] if a["const"] == b["const"] else None
-        return {"kind": "text", "const": const, "opt": a["opt"] | b["opt"], "rep": a["rep"] | b["rep"], "p": pages}
+        return {"kind": "text", "const": const, "opt": a["opt"] | b["opt"], "rep": a["rep"] | b["rep"], "c": a["c"] + b["c"], "l": a["l"] + b["l"], "p": pages}
     return {"kind": "tag", "key": a["key"], "opt": a["opt"] | b["opt"], "rep": a["rep"] | b["rep"], "items": align(a["items"], b["items"]), "p": pages}
 
 
@@ -268,13 +269,19 @@ def _noisy(key: str, tag: str) -> bool:
 
 
 class Wrapper:
-    """Reads pages along the regular expression inferred for their host."""
+    """Reads pages along the regular expression inferred for their host.
+
+    The article slot is the host's article or main element; without one, the element that is not
+    repeated and holds most of the host's text outside of links, as far down as one does. Template
+    texts are outside of it, stand once on a page, and are the same on all pages, of which there are
+    at least two that differ. The number of pages does not matter otherwise."""
 
     def __init__(self, items: list[dict], pages: int):
         self.items, self.pages = items, pages
         self.scoped = self._has_scope(items)
-        # fixed texts are template texts only if the pages differ elsewhere
-        self.fixed = pages >= _FEW_PAGES and self._has_slot(items, False)
+        self.slot = self._article_slot(items)
+        # pages without any difference may be one page that is there twice
+        self.fixed = self._has_slot(items)
 
     def _has_scope(self, items: list[dict]) -> str:
         found = set()
@@ -291,35 +298,55 @@ class Wrapper:
         look(items)
         return "article" if "article" in found else "main" if "main" in found else ""
 
-    def _has_slot(self, items: list[dict], inside: bool) -> bool:
+    def _plain(self, item: dict) -> int:
+        """Characters outside of links and of what names call no text."""
+        if item["kind"] == "text":
+            return item["c"] - item["l"]
+        if item["kind"] == "tag" and _noisy(item["key"], item["key"].split(".")[0]):
+            return 0
+        return sum(map(self._plain, item["items"]))
+
+    def _article_slot(self, items: list[dict]) -> dict | None:
+        """The item that holds most of the host's text; None if it is spread over the page."""
+        slot, whole = None, sum(map(self._plain, items))
+        while True:
+            # a paragraph or heading that holds most of the text is a part of the article, not the whole
+            inner = [i for i in items if i["kind"] == "tag" and not i["rep"] and i["key"].split(".")[0] not in _PARTS and 2 * self._plain(i) > whole]
+            if not inner:
+                return slot
+            slot, items = inner[0], inner[0]["items"]
+
+    def _has_slot(self, items: list[dict]) -> bool:
         for i in _members(items).values():
             if i["kind"] == "text":
-                if inside and i["const"] is None:
-                    return True
-            else:
-                tag = i["key"].split(".")[0]
-                if not _noisy(i["key"], tag) and self._has_slot(i["items"], inside or not self.scoped or tag == self.scoped):
+                if i["const"] is None:
                     return True
+            elif not _noisy(i["key"], i["key"].split(".")[0]) and self._has_slot(i["items"]):
+                return True
         return False
 
     def _is_fixed(self, text: str, item: dict | None) -> bool:
-        return self.fixed and item is not None and item["const"] is not None and item["p"] >= _FEW_PAGES and digest_of(text) == item["const"]
+        return self.fixed and item is not None and not item["rep"] and item["p"] > 1 and item["const"] is not None and digest_of(text) == item["const"]
 
     def extract(self, root: Node) -> str:
         blocks: list[str] = []
         scope = self.scoped if self._uses_scope(root) else ""
-        self._walk(root, self.items, not scope, scope, blocks, False)
+        self._walk(root, self.items, not scope, scope, blocks, False, not scope and self.slot is not None)
         return "\n".join(blocks)
 
     def _uses_scope(self, node: Node) -> bool:
         return any(not isinstance(c, str) and ((c.tag == self.scoped and not _noisy(c.key, c.tag)) or (not _noisy(c.key, c.tag) and self._uses_scope(c))) for c in node.children)
 
-    def _walk(self, node: Node, items: list[dict], inside: bool, scope: str, blocks: list[str], heading_only: bool) -> None:
+    def _walk(self, node: Node, items: list[dict], inside: bool, scope: str, blocks: list[str], heading_only: bool, outside: bool) -> None:
+        """Add the node's main text; `outside`: template texts may stand here, as no item around it
+        is repeated or the article slot."""
         known = _members(items)
         for c in node.children:
             if isinstance(c, str):
-                menu = isinstance(c, Linked) and not scope  # outside of an article, links alone are a menu
-                if inside and not menu and not (heading_only and node.tag not in _HEADINGS) and not self._is_fixed(c, known.get(_TEXT)):
+                item = known.get(_TEXT)
+                # outside of an article, links alone are a menu
+                menu = isinstance(c, Linked) and not scope
+                if inside and not menu and not (heading_only and node.tag not in _HEADINGS) and not (outside and self._is_fixed(c, item)):
                     blocks.append(c)
                 continue
             # a header outside the article is the page's; inside, its headings belong to the text
@@ -329,7 +356,8 @@ class Wrapper:
             item = known.get(c.key)
             within = inside or c.tag == scope
             only = heading_only or header
-            self._walk(c, item["items"] if item else [], within, scope, blocks, only)
+            template = outside and item is not None and item is not self.slot and not item["rep"]
+            self._walk(c, item["items"] if item else [], within, scope, blocks, only, template)
 
 
 def host_of(url: str | None) -> str:
