@@ -228,6 +228,17 @@ SYNDICATED = {
 }
 
 
+def test_names_are_hints_in_an_article(spark):
+    part = "<div class='market-share'><p>Share grew by {n}.<p>And {n} again.</div><div class=legal><p>Court case {n}.</div>"
+    noise = "<div class=share>Share this page</div><div class=tags><a href=/t{n}>tag {n}</a> <a href=/u>u</a></div><div class=ad>Buy {n}</div>"
+    within = {"article": "<article><h1>T {n}</h1><p>First {n}.%s</article>", "div": "<div id=x><h1><a href=/{n}>T {n}</a></h1><p>First {n}.%s</div>"}
+    for host, page in within.items():
+        rows = [(i, f"http://{host}.example.com/", (page % (part + noise)).format(n=i), "") for i in range(9)]
+        for r in html_wrapper.main_texts(pages(spark, rows)).collect():
+            n = r["page_id"]
+            assert r["text"].split("\n") == [f"T {n}", f"First {n}.", f"Share grew by {n}.", f"And {n} again.", f"Court case {n}."], host
+
+
 def test_wrapper_is_union_free_and_does_not_grow():
     build = lambda body: html_wrapper.of_page(html_wrapper.parse(body).children)
     one = html_wrapper.align(build("<ul><li>a<li>b</ul><p>x"), build("<ul><li>c</ul><h2>h</h2><p>y"))

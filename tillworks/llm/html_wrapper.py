@@ -57,6 +57,8 @@ _NOISE = re.compile(
     r"related|recommended|recommendations|widget|pagination|pager|toolbar|copyright|legal|disclaimer|skip-?link|tags|toc)(?:$|[-_ ])",
     re.I,
 )
+#: Names that parts of an article may have as well.
+_WEAK = re.compile(r"(?:^|[-_ ])(?:legal|notices?|alert|share|sharing|tags|toc|side(?!-?bar)|promotion|search|social|disclaimer|related|subscribe|login)(?:$|[-_ ])", re.I)
 _HEADER = re.compile(r"[.\-_]header(?:$|[.\-_])", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|$)|"
@@ -259,13 +261,19 @@ def _members(items: list[dict]) -> dict[str, dict]:
     return out
 
 
-def _noisy(key: str, tag: str) -> bool:
+def _noisy(key: str, tag: str, weak: bool = True) -> bool:
+    """Whether the tag or names call it no text; `weak` counts names that may also be an article's."""
     names = key[len(tag) + 1 :].split(".") if "." in key else []
     if tag in _NEVER or "~hidden" in names:
         return True
     if tag in ("article", "main", "body", "html"):
         return False
-    return any(_NOISE.search(n) for n in names)
+    return any(_NOISE.search(n if weak else _WEAK.sub("-", n)) for n in names)
+
+
+def _size(item: dict, kind: str) -> int:
+    """Characters of the item over all pages: `c` all, `l` in links."""
+    return item[kind] if item["kind"] == "text" else sum(_size(i, kind) for i in item["items"])
 
 
 class Wrapper:
@@ -274,7 +282,9 @@ class Wrapper:
     The article slot is the host's article or main element; without one, the element that is not
     repeated and holds most of the host's text outside of links, as far down as one does. Template
     texts are outside of it, stand once on a page, and are the same on all pages, of which there are
-    at least two that differ. The number of pages does not matter otherwise."""
+    at least two that differ. The number of pages does not matter otherwise. Names alone drop an
+    element unless it is a part of the article and the name is one that such parts may have: then
+    it goes if it is a template text or if most of it, over all pages, lies in links."""
 
     def __init__(self, items: list[dict], pages: int):
         self.items, self.pages = items, pages
@@ -302,7 +312,7 @@ class Wrapper:
         """Characters outside of links and of what names call no text."""
         if item["kind"] == "text":
             return item["c"] - item["l"]
-        if item["kind"] == "tag" and _noisy(item["key"], item["key"].split(".")[0]):
+        if item["kind"] == "tag" and _noisy(item["key"], item["key"].split(".")[0], False):
             return 0
         return sum(map(self._plain, item["items"]))
 
@@ -328,36 +338,51 @@ class Wrapper:
     def _is_fixed(self, text: str, item: dict | None) -> bool:
         return self.fixed and item is not None and not item["rep"] and item["p"] > 1 and item["const"] is not None and digest_of(text) == item["const"]
 
+    def _is_template(self, item: dict) -> bool:
+        """Whether all texts of the item are the same on all pages, of which there are some."""
+        if item["kind"] == "text":
+            return self.fixed and item["const"] is not None and item["p"] > 1 and not item["rep"]
+        return all(map(self._is_template, item["items"]))
+
+    def _left_out(self, node: Node, item: dict | None, part: bool) -> bool:
+        if not part or _noisy(node.key, node.tag, False):
+            return _noisy(node.key, node.tag)
+        if not _noisy(node.key, node.tag):
+            return False
+        # by its name no text: the expression decides
+        return item is None or 2 * _size(item, "l") > _size(item, "c") or self._is_template(item)
+
     def extract(self, root: Node) -> str:
         blocks: list[str] = []
         scope = self.scoped if self._uses_scope(root) else ""
-        self._walk(root, self.items, not scope, scope, blocks, False, not scope and self.slot is not None)
+        self._walk(root, self.items, not scope, scope, blocks, False, not scope and self.slot is not None, False)
         return "\n".join(blocks)
 
     def _uses_scope(self, node: Node) -> bool:
         return any(not isinstance(c, str) and ((c.tag == self.scoped and not _noisy(c.key, c.tag)) or (not _noisy(c.key, c.tag) and self._uses_scope(c))) for c in node.children)
 
-    def _walk(self, node: Node, items: list[dict], inside: bool, scope: str, blocks: list[str], heading_only: bool, outside: bool) -> None:
+    def _walk(self, node: Node, items: list[dict], inside: bool, scope: str, blocks: list[str], heading_only: bool, outside: bool, part: bool) -> None:
         """Add the node's main text; `outside`: template texts may stand here, as no item around it
-        is repeated or the article slot."""
+        is repeated or the article slot; `part`: it lies in the article."""
         known = _members(items)
         for c in node.children:
             if isinstance(c, str):
                 item = known.get(_TEXT)
-                # outside of an article, links alone are a menu
-                menu = isinstance(c, Linked) and not scope
+                # links alone are a menu, but for headings in the article and what is mostly no links on other pages
+                menu = isinstance(c, Linked) and not scope and not (part and (node.tag in _HEADINGS or (item is not None and 2 * item["l"] <= item["c"])))
                 if inside and not menu and not (heading_only and node.tag not in _HEADINGS) and not (outside and self._is_fixed(c, item)):
                     blocks.append(c)
                 continue
             # a header outside the article is the page's; inside, its headings belong to the text
             header = c.tag == "header" or (_HEADER.search(c.key) is not None and c.tag not in _NEVER)
-            if (header and not (inside and scope)) or (not header and _noisy(c.key, c.tag)):
-                continue
             item = known.get(c.key)
             within = inside or c.tag == scope
+            of_article = part or (within if scope else item is not None and item is self.slot)
+            if (header and not (inside and scope)) or (not header and self._left_out(c, item, of_article)):
+                continue
             only = heading_only or header
             template = outside and item is not None and item is not self.slot and not item["rep"]
-            self._walk(c, item["items"] if item else [], within, scope, blocks, only, template)
+            self._walk(c, item["items"] if item else [], within, scope, blocks, only, template, of_article)
 
 
 def host_of(url: str | None) -> str:
