@@ -428,6 +428,21 @@ def test_near_groups(spark):
     assert sorted(kept) == sorted({r["component_id"] for r in rows.values()})
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):
+    draw = random.Random(8)
+    unlike = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in range(7)]
+    rows = [
+        *((None, t) for t in unlike[:3]),  # alone, without an id
+        (5, unlike[3]), (5, unlike[4]),  # alone, with one id
+        (None, unlike[5]), (9, unlike[5]), (9, unlike[5]),  # a null id's copies
+        (None, unlike[6]), (None, unlike[6]),  # copies without an id
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in simhash.drop_near_copies(docs).collect()]
+    expected = [*((None, t) for t in unlike[:3]), (5, unlike[3]), (5, unlike[4]), (9, unlike[5]), (None, unlike[6])]
+    assert Counter(kept) == Counter(expected)
+
+
 def test_units_are_split_without_losing_links(spark, monkeypatch):
     draw = random.Random(2)
     # dense in 16 of the bits

@@ -53,15 +53,18 @@ def fingerprint(text: bytes, size: int = SHINGLE, seed: int = 42) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.array([fingerprint(t.as_py()) for t in batch.column(1)], "u8").view("i8")
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["id", "fp"])
+        *others, texts = batch.columns
+        prints = np.array([fingerprint(t.as_py()) for t in texts], "u8").view("i8")
+        yield pa.RecordBatch.from_arrays([*others, pa.array(prints, pa.int64())], names=[*["id", "row"][: len(others)], "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id as id, fp) of each row: the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """(doc_id as id, fp) of each row: the fingerprint as a signed 64-bit number; with the column
+    `row`, a long, (id, row, fp)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pairs = docs.select(F.col("doc_id").alias("id"), text_of().cast("binary").alias("t"))
-    return pairs.mapInArrow(_fingerprints, f"id {kind}, fp long")
+    others = [F.col("doc_id").alias("id"), *([F.col(row).alias("row")] if row else [])]
+    shape = f"id {kind}, row long, fp long" if row else f"id {kind}, fp long"
+    return docs.select(*others, text_of().cast("binary").alias("t")).mapInArrow(_fingerprints, shape)
 
 
 def linked(unit: np.ndarray, kind: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +256,14 @@ def near_groups(docs: DataFrame, budget: int = BUDGET, unit: int = UNIT) -> Data
     only count if there is no other). Null or empty text has fingerprint zero and links like any
     other. Equal fingerprints are one leaf, so copies are not paired. An empty table gives an empty
     result; other columns are ignored."""
-    rows = materialise(fingerprints(docs), "simhash-rows")
+    return _labelled(fingerprints(docs), budget, unit).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _labelled(rows: DataFrame, budget: int, unit: int) -> DataFrame:
+    """`rows` (with id and fp) with root, the least fingerprint reachable, and component_id."""
+    rows = materialise(rows, "simhash-rows")
     prints = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-prints")
     units = _split(materialise(_units(prints.select("fp"), prints.count(), budget), "trie-units"), budget, unit)
     edges = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_unit_edges, "u long, v long")
@@ -261,25 +271,24 @@ def near_groups(docs: DataFrame, budget: int = BUDGET, unit: int = UNIT) -> Data
     rooted = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialise(rooted, "simhash-roots")
     least = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of"), "simhash-least")
-    labels = materialise(rooted.join(least, F.col("root") == F.col("of")).select(F.col("fp").alias("print"), "component_id"), "simhash-labels")
-    return rows.join(labels, F.col("fp") == F.col("print")).select(
-        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    labels = materialise(rooted.join(least, F.col("root") == F.col("of")).select(F.col("fp").alias("print"), "root", "component_id"), "simhash-labels")
+    return rows.join(labels, F.col("fp") == F.col("print")).drop("print")
 
 
 def drop_near_copies(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     """`docs` with one row of each component, the one with the smallest doc_id; all columns stay.
 
-    Of rows that repeat this doc_id, the one with the smallest other values stays."""
-    groups = near_groups(docs, budget)
-    stay = materialise(
-        groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), 1)).alias("same"))
-        .select("component_id", "same"),
-        "simhash-stay",
-    )
-    id_, same = spare(docs.columns, "id"), spare(docs.columns, "same")
-    side = stay.select(F.col("component_id").alias(id_), F.col("same").alias(same))
-    kept = docs.join(side, F.col("doc_id").eqNullSafe(F.col(id_)))
+    Components are told apart by their root fingerprint, so rows without a doc_id, or with the same
+    one, in several components do not touch each other; null ids only count if a component has no
+    other. Of a component's rows that repeat its smallest doc_id, the one with the smallest other
+    values stays."""
+    row, of, same = (spare(docs.columns, n) for n in ("row", "of", "same"))
+    written = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    labelled = _labelled(fingerprints(written, row), budget, UNIT)
+    least = materialise(labelled.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("root").alias("of"), F.col("row").alias("stays")), "simhash-stay")
+    counts = least.groupBy("of").agg(F.count(F.lit(1)).alias("n")).select(F.col("of").alias("counted"), "n")
+    side = least.join(counts, F.col("of") == F.col("counted")).select(F.col("stays").alias(spare([*docs.columns, row], "stays")), F.col("of").alias(of), F.col("n").alias(same))
+    kept = written.join(side, F.col(row) == F.col(side.columns[0]))
     one = kept.filter(F.col(same) == 1).select(*docs.columns)
-    many = kept.filter(F.col(same) > 1).groupBy(id_).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    many = kept.filter(F.col(same) > 1).groupBy(of).agg(F.min(F.struct(*docs.columns)).alias("kept")).select("kept.*")
     return one.unionAll(many)
