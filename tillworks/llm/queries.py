@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillworks.llm import (
+    bpe,
     exact_dedup,
     html_wrapper,
+    importance,
     line_quality,
+    merkle,
     mixing,
     secret_scan,
     segmentation,
@@ -24,6 +27,7 @@ from tillworks.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.audited(docs, merkle.without_line_ends(docs))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_ids,
         op9_quality_rules,
         op10_secrets,
+        op11_merkle,
+        op12_importance,
+        op13_byte_bpe,
     )
 }
 
