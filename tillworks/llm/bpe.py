@@ -68,8 +68,8 @@ WITH RECURSIVE step(n, g, tok) AS (
      SELECT s.n, s.g, coalesce(a.id, s.tok) AS tok, b.g IS NOT NULL AS gone
      FROM step s JOIN least l ON l.word = s.g >> 32
      LEFT JOIN chosen a ON a.g = s.g LEFT JOIN chosen b ON b.g = s.g - 1)
-   SELECT n + 1, g - moved, tok
-   FROM (SELECT *, count(*) FILTER (gone) OVER (PARTITION BY g >> 32 ORDER BY g) AS moved FROM marked) WHERE NOT gone)
+   SELECT n + 1, g - moved::BIGINT, tok
+   FROM (SELECT *, sum(gone::INT) OVER (PARTITION BY g >> 32 ORDER BY g ROWS UNBOUNDED PRECEDING) AS moved FROM marked) WHERE NOT gone)
 )"""
 _LAST = """,
 last AS (SELECT g >> 32 AS word, max(n) AS n FROM step GROUP BY 1)
