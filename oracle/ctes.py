@@ -75,7 +75,7 @@ SALES_SUMS = (
 COUPON_BASKETS = "count(DISTINCT CASE WHEN HasCoupon = 'Y' THEN BasketID END) AS CouponTransactionCount"
 
 
-def _known(key: str, name: str) -> str:
+def known(key: str, name: str) -> str:
     return f"count(DISTINCT nullif({key}, -1)) AS {name}"
 
 
@@ -240,15 +240,15 @@ CTES: dict[str, str] = {
         SELECT *, {exact("NetSalesAmount", "BasketCount", 4)} AS AverageBasketAmount,
                {share("TotalDiscountAmount", "GrossSalesAmount")} AS DiscountRate
         FROM (SELECT f.DayKey, DayNumber, max(f.WeekNumber) AS WeekNumber, count(DISTINCT BasketID) AS BasketCount,
-                     {_known("HouseholdKey", "HouseholdCount")}, {_known("ProductKey", "ProductCount")},
-                     {_known("StoreKey", "StoreCount")}, {SALES_SUMS}, {COUPON_BASKETS}
+                     {known("HouseholdKey", "HouseholdCount")}, {known("ProductKey", "ProductCount")},
+                     {known("StoreKey", "StoreCount")}, {SALES_SUMS}, {COUPON_BASKETS}
               FROM fact_sales f LEFT JOIN dim_day d ON d.DayKey = f.DayKey GROUP BY f.DayKey, DayNumber)""",
     "dm_product": f"""
         SELECT *, {share("NetSalesAmount", "TotalQuantity", 4)} AS AverageUnitNetSales,
                {share("TotalDiscountAmount", "GrossSalesAmount")} AS DiscountRate
         FROM (SELECT f.ProductKey, ProductID, Department, Brand, CommodityDescription,
-                     count(DISTINCT BasketID) AS BasketCount, {_known("HouseholdKey", "HouseholdCount")},
-                     {_known("StoreKey", "StoreCount")}, {SALES_SUMS}, {COUPON_BASKETS}
+                     count(DISTINCT BasketID) AS BasketCount, {known("HouseholdKey", "HouseholdCount")},
+                     {known("StoreKey", "StoreCount")}, {SALES_SUMS}, {COUPON_BASKETS}
               FROM fact_sales f LEFT JOIN dim_product p ON p.ProductKey = f.ProductKey GROUP BY ALL)""",
     "campaign_targets": "SELECT CampaignKey, count(*) AS TargetHouseholdCount FROM fact_target GROUP BY 1",
     "campaign_redemptions": """

@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from oracle.ctes import CAMPAIGN, CAUSAL, COUPON, HOUSEHOLD, PRODUCT, RED_VALID, TARGET, TX_VALID, exact, null_hash
-from tillworks.operators.checks import NotEmpty, References, RowRule, SameValue, Unique
-from tillworks.plans import quality
+from oracle.ctes import (
+    CAMPAIGN,
+    CAUSAL,
+    COUPON,
+    COUPON_BASKETS,
+    HOUSEHOLD,
+    PRODUCT,
+    RED_VALID,
+    SALES_SUMS,
+    TARGET,
+    TX_VALID,
+    exact,
+    known,
+    null_hash,
+    share,
+)
+from oracle.rules import BY_KEY, CHECKS, DAILY, check_sql
 
 SNAPSHOT = "RM_SNAPSHOT"
 BATCH = "printf('RM_DAILY_D%04d', {})"
@@ -21,6 +35,26 @@ EXTRA: dict[str, str] = {
                (SELECT min(week_no) FROM causal_source)
                    + (day_no - (SELECT min(day_no) FROM tx_source)) // 7 AS ProcessWeek
         FROM (SELECT DISTINCT day_no FROM tx_source)""",
+    # the marts whose daily rows are not parts of the snapshot's
+    "dm_product_by_day": f"""
+        SELECT *, {share("NetSalesAmount", "TotalQuantity", 4)} AS AverageUnitNetSales,
+               {share("TotalDiscountAmount", "GrossSalesAmount")} AS DiscountRate
+        FROM (SELECT DayNumber AS ProcessDay, f.ProductKey, count(DISTINCT BasketID) AS BasketCount,
+                     {known("HouseholdKey", "HouseholdCount")}, {known("StoreKey", "StoreCount")}, {SALES_SUMS}, {COUPON_BASKETS}
+              FROM fact_sales f JOIN dim_day d ON d.DayKey = f.DayKey GROUP BY 1, 2)""",
+    "redeemed_by_day": """
+        SELECT DayNumber AS ProcessDay, CampaignKey, count(DISTINCT HouseholdKey) AS RedeemingHouseholdCount,
+               sum(RedemptionCount) AS RedemptionCount, count(DISTINCT CouponKey) AS DistinctCouponCount
+        FROM fact_redemption f JOIN dim_day d ON d.DayKey = f.DayKey GROUP BY 1, 2""",
+    "dm_campaign_by_day": f"""
+        SELECT *, {exact("RedeemingHouseholdCount", "TargetHouseholdCount", 6, scale=0)} AS RedemptionRate
+        FROM (SELECT b.ProcessDay, c.CampaignKey, coalesce(TargetHouseholdCount, 0) AS TargetHouseholdCount,
+                     coalesce(RedeemingHouseholdCount, 0) AS RedeemingHouseholdCount,
+                     coalesce(RedemptionCount, 0) AS RedemptionCount, coalesce(DistinctCouponCount, 0) AS DistinctCouponCount
+              FROM batches b CROSS JOIN dim_campaign c
+              LEFT JOIN campaign_targets t ON t.CampaignKey = c.CampaignKey
+              LEFT JOIN redeemed_by_day r ON r.CampaignKey = c.CampaignKey AND r.ProcessDay = b.ProcessDay
+              WHERE c.CampaignKey <> -1 AND (t.CampaignKey IS NOT NULL OR r.CampaignKey IS NOT NULL))""",
 }
 
 # --- load log ---------------------------------------------------------------------------------
@@ -36,15 +70,14 @@ _BY_DAY = {
     "n_redemptions": "SELECT DayNumber AS day FROM fact_redemption f JOIN dim_day d ON d.DayKey = f.DayKey",
     "n_daily": "SELECT DayNumber AS day FROM dm_daily",
 }
-_WHOLE = {
-    "n_target_clean": "target_clean",
-    "n_promotion_clean": "promotion_clean",
-    "n_targets": "fact_target",
-    "n_promotions": "fact_promotion",
-    "n_products": "dm_product",
-    "n_campaigns": "dm_campaign",
-    "n_promotion_mart": "dm_promotion",
+_BY_WEEK = {
+    "n_promotion_clean": "SELECT week_no AS day FROM promotion_clean",
+    "n_promotions": "SELECT WeekNumber AS day FROM fact_promotion",
+    "n_promotion_mart": "SELECT WeekNumber AS day FROM dm_promotion",
 }
+# rows of the snapshot, and of a batch: whole tables, or marts of their own per day
+_WHOLE = {"n_target_clean": "target_clean", "n_targets": "fact_target"}
+_OWN_MART = {"n_products": ("dm_product", "dm_product_by_day"), "n_campaigns": ("dm_campaign", "dm_campaign_by_day")}
 # id, layer, source name, target, strategy, source rows, inserted rows, rejected rows, status when empty, counts rows
 _LOADS = (
     ("BRONZE_TRANSACTION", "BRONZE", "transaction_data", "bronze.transaction_data_raw", "INCREMENTAL_DAY_RELOAD", "n_tx_raw", "n_tx_raw", None, "FAILED", True),
@@ -84,144 +117,54 @@ def _load_rows(load: tuple, counts: str) -> str:
     )
 
 
+_PER_BATCH = {
+    **{n: (sql, "ProcessDay") for n, sql in _BY_DAY.items()},
+    **{n: (sql, "ProcessWeek") for n, sql in _BY_WEEK.items()},
+    **{n: (f"SELECT ProcessDay AS day FROM {daily}", "ProcessDay") for n, (_, daily) in _OWN_MART.items()},
+}
 EXTRA["daily_counts"] = (
     "SELECT b.BatchID, b.ProcessDay, "
-    + ", ".join(f"coalesce({n}, 0) AS {n}" for n in _BY_DAY)
+    + ", ".join([f"coalesce({n}, 0) AS {n}" for n in _PER_BATCH] + [f"(SELECT count(*) FROM {t}) AS {n}" for n, t in _WHOLE.items()])
     + " FROM batches b "
     + " ".join(
-        f"LEFT JOIN (SELECT day, count(*) AS {n} FROM ({sql}) GROUP BY 1) x{n} ON x{n}.day = b.ProcessDay"
-        for n, sql in _BY_DAY.items()
+        f"LEFT JOIN (SELECT day, count(*) AS {n} FROM ({sql}) GROUP BY 1) x{n} ON x{n}.day = b.{column}"
+        for n, (sql, column) in _PER_BATCH.items()
     )
 )
 EXTRA["snapshot_counts"] = f"SELECT '{SNAPSHOT}' AS BatchID, " + ", ".join(
-    [f"(SELECT count(*) FROM ({sql})) AS {n}" for n, sql in _BY_DAY.items()]
-    + [f"(SELECT count(*) FROM {table}) AS {n}" for n, table in _WHOLE.items()]
+    [f"(SELECT count(*) FROM ({sql})) AS {n}" for n, sql in {**_BY_DAY, **_BY_WEEK}.items()]
+    + [f"(SELECT count(*) FROM {table}) AS {n}" for n, table in {**_WHOLE, **{n: t for n, (t, _) in _OWN_MART.items()}}.items()]
 )
 EXTRA["load_log"] = " UNION ALL ".join(
-    [_load_rows(load, "daily_counts") for load in _LOADS[:7]]
-    + [_load_rows(load, "snapshot_counts") for load in _LOADS]
+    _load_rows(load, counts) for counts in ("daily_counts", "snapshot_counts") for load in _LOADS
 )
 
 # --- checks -----------------------------------------------------------------------------------
-_TABLES = {
-    "bronze.transaction_data_raw": "tx_raw",
-    "bronze.coupon_redemption_raw": "red_raw",
-    "bronze.product_raw": "product_raw",
-    "bronze.household_demographic_raw": "household_raw",
-    "bronze.campaign_desc_raw": "campaign_raw",
-    "bronze.campaign_target_raw": "target_raw",
-    "bronze.coupon_raw": "coupon_raw",
-    "bronze.causal_data_raw": "causal_raw",
-    "silver.transaction_clean": "tx_clean",
-    "silver.coupon_redemption_clean": "red_clean",
-    "silver.product_clean": "product_clean",
-    "silver.household_demographic_clean": "household_clean",
-    "silver.campaign_clean": "campaign_clean",
-    "silver.campaign_target_clean": "target_clean",
-    "silver.coupon_product_clean": "coupon_clean",
-    "silver.promotion_weekly_clean": "promotion_clean",
-    "dwh.dim_product": "dim_product",
-    "dwh.dim_household": "dim_household",
-    "dwh.dim_campaign": "dim_campaign",
-    "dwh.dim_store": "dim_store",
-    "dwh.dim_coupon": "dim_coupon",
-    "dwh.dim_day": "dim_day",
-    "dwh.fact_sales_transaction": "fact_sales",
-    "dwh.fact_coupon_redemption": "fact_redemption",
-    "dwh.fact_campaign_target": "fact_target",
-    "dwh.fact_promotion_weekly": "fact_promotion",
-    "dm_marketing.dm_daily_sales": "dm_daily",
-    "dm_marketing.dm_product_sales": "dm_product",
-    "dm_marketing.dm_campaign_performance": "dm_campaign",
-    "dm_marketing.dm_promotion_performance": "dm_promotion",
-    "audit.etl_table_load_log": f"(SELECT * FROM load_log WHERE BatchID = '{SNAPSHOT}')",
-}
-
-
-def _bad(check: RowRule) -> str:
-    return "RecordHash IS NULL" if check.name.endswith("_lineage") else check.bad
-
-
-def _where(check: NotEmpty | Unique | RowRule | References | SameValue) -> str:
-    return f" WHERE {check.where}" if check.where else ""
+EXTRA["daily_checks"] = " UNION ALL ".join(check_sql(line[0], DAILY) for line in CHECKS)
+EXTRA["snapshot_checks"] = " UNION ALL ".join(check_sql(line[0]) for line in CHECKS)
+EXTRA["dq_log"] = "SELECT * FROM snapshot_checks UNION ALL SELECT * FROM daily_checks"
 
 
-def _row(check: object, batch: str, checked: str, passed: str, failed: str, rate: str, source: str) -> str:
-    return (
-        f"SELECT {batch} || '_{check.id}' AS DQLogID, {batch} AS BatchID, '{check.layer}' AS LayerName, "
-        f"'{check.table}' AS TableName, '{check.name}' AS CheckName, '{check.category}' AS CheckCategory, "
-        f"'{check.severity}' AS SeverityLevel, CAST({checked} AS BIGINT) AS CheckedRowCount, "
-        f"CAST({passed} AS BIGINT) AS PassedRowCount, CAST({failed} AS BIGINT) AS FailedRowCount, "
-        f"CAST({rate} AS DECIMAL(18,6)) AS FailureRate, "
-        f"CASE WHEN {failed} = 0 THEN 'PASS' ELSE '{check.on_failure}' END AS CheckStatus FROM ({source})"
-    )
+def late_day_checks() -> str:
+    """The day and week rules of every batch, where every 97th product, household or day comes late."""
 
+    def late(key: str, relation: str, own: str, by: str, column: str) -> str:
+        rows = f"SELECT *, {own} + CASE WHEN coalesce({by}, 1) % 97 = 0 THEN 1 ELSE 0 END AS g FROM {relation}"
+        ident = BY_KEY[key]
+        line = (*ident[:7], ("rule", relation, f"{own} IS NULL OR {own} <> g", False))
+        return check_sql(key, {relation: (rows, column)}, line)
 
-def check_sql(check: object) -> str:
-    """One log row of the snapshot batch."""
-    batch, table = f"'{SNAPSHOT}'", _TABLES[check.table]
-    if isinstance(check, NotEmpty):
-        missing = f"CASE WHEN n >= {check.at_least} THEN 0 ELSE 1 END"
-        passed = f"CASE WHEN n >= {check.at_least} THEN n ELSE 0 END"
-        return _row(check, batch, "n", passed, missing, missing, f"SELECT count(*) AS n FROM {table}{_where(check)}")
-    if isinstance(check, Unique):
-        grouped = f"SELECT count(*) AS c FROM {table}{_where(check)} GROUP BY {', '.join(check.keys)}"
-        source = f"SELECT coalesce(sum(c), 0) AS n, count(*) FILTER (c > 1) AS bad FROM ({grouped})"
-        return _row(check, batch, "n", "NULL", "bad", "NULL", source)
-    if isinstance(check, RowRule):
-        source = f"SELECT count(*) AS n, count(*) FILTER ({_bad(check)}) AS bad FROM {table}{_where(check)}"
-        empty = "1" if check.empty_fails else "0"
-        failed = f"CASE WHEN n = 0 THEN {empty} ELSE bad END"
-        return _row(check, batch, "n", "n - bad", failed, exact("bad", "n", 6, scale=0, empty=empty), source)
-    if isinstance(check, References):
-        joins, missing = "", []
-        for i, (column, other, key) in enumerate(check.links):
-            joins += f" LEFT JOIN {_TABLES[other]} r{i} ON r{i}.{key} = f.{column}"
-            missing.append(f"r{i}.{key} IS NULL")
-        source = f"SELECT count(*) AS n, count(*) FILTER ({' OR '.join(missing)}) AS bad FROM {table} f{joins}"
-        return _row(check, batch, "n", "n - bad", "bad", exact("bad", "n", 6, scale=0), source)
-    value = "count(*)" if check.value == "1" else f"coalesce(sum({check.value}), 0)"
-    expected = "count(*)" if check.source_value == "1" else f"coalesce(sum({check.source_value}), 0)"
-    source = (
-        f"SELECT (SELECT {expected} FROM {_TABLES[check.source]}) AS a, (SELECT {value} FROM {table}) AS b"
-    )
-    if check.amount:
-        failed = "CASE WHEN abs(a - b) < 0.01 THEN 0 ELSE 1 END"
-        return _row(check, batch, "1", f"1 - {failed}", failed, failed, source)
-    return _row(
-        check, batch, "a", "CASE WHEN a = b THEN a ELSE 0 END", "abs(a - b)", exact("abs(a - b)", "a", 6, scale=0), source
+    return " UNION ALL ".join(
+        (
+            late("qb11", "tx_raw", "day_no", "product_id", "ProcessDay"),
+            late("qb12", "red_raw", "day_no", "household_key", "ProcessDay"),
+            late("qb13", "causal_raw", "week_no", "product_id", "ProcessWeek"),
+            late("qm5", "dm_daily", "DayNumber", "DayNumber", "ProcessDay"),
+            late("qm6", "dm_promotion", "WeekNumber", "ProductID", "ProcessWeek"),
+        )
     )
 
 
-_DAY_OF = {
-    "tx_raw": f"SELECT *, {BATCH.format('day_no')} AS BatchID FROM tx_raw",
-    "tx_clean": f"SELECT *, {BATCH.format('day_no')} AS BatchID FROM tx_clean",
-    "fact_sales": f"SELECT f.*, {BATCH.format('DayNumber')} AS BatchID FROM fact_sales f JOIN dim_day d ON d.DayKey = f.DayKey",
-    "dm_daily": f"SELECT *, {BATCH.format('DayNumber')} AS BatchID FROM dm_daily",
-}
-
-
-def _daily_check_sql(check: RowRule | Unique) -> str:
-    table = _DAY_OF[_TABLES[check.table]]
-    if isinstance(check, Unique):
-        grouped = f"SELECT BatchID, {', '.join(check.keys)}, count(*) AS c FROM ({table}) GROUP BY ALL"
-        source = f"SELECT BatchID, sum(c) AS n, count(*) FILTER (c > 1) AS bad FROM ({grouped}) GROUP BY 1"
-        return _row(check, "BatchID", "n", "NULL", "bad", "NULL", source)
-    source = f"SELECT BatchID, count(*) AS n, count(*) FILTER ({check.bad}) AS bad FROM ({table}) GROUP BY 1"
-    return _row(check, "BatchID", "n", "n - bad", "bad", exact("bad", "n", 6, scale=0), source)
-
-
-SNAPSHOT_CHECKS = {
-    **quality.bronze_checks(),
-    **quality.silver_checks(),
-    **quality.dwh_checks(),
-    **quality.mart_checks(),
-}
-_DAILY_KEYS = ("qb9", "qb16", "qs1", "qs9", "qw16", "qw24", "qm7", "qm11")
-EXTRA["daily_checks"] = " UNION ALL ".join(_daily_check_sql(SNAPSHOT_CHECKS[k]) for k in _DAILY_KEYS)
-EXTRA["snapshot_checks"] = " UNION ALL ".join(check_sql(c) for c in SNAPSHOT_CHECKS.values())
-EXTRA["dq_log"] = "SELECT * FROM snapshot_checks UNION ALL SELECT * FROM daily_checks"
-
 # --- verdicts ---------------------------------------------------------------------------------
 _BLOCKS = "CheckStatus = 'FAIL' AND SeverityLevel IN ('ERROR', 'CRITICAL')"
 EXTRA["load_summary"] = """

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from oracle.ctes import RED_VALID, TX_VALID, exact, with_ctes
-from oracle.logs import EXTRA, SNAPSHOT, SNAPSHOT_CHECKS, check_sql
+from oracle.logs import BATCH, EXTRA, SNAPSHOT, late_day_checks
+from oracle.rules import NAMES, check_sql
 from tillworks.plans.registry import QUERIES
 from tillworks.plans.tiles import TILES
 
@@ -73,6 +74,67 @@ _RED_REASON = """
     CASE WHEN household_key IS NULL THEN 'HOUSEHOLD_KEY_NULL' WHEN day_no IS NULL THEN 'DAY_NULL'
          WHEN coupon_upc IS NULL THEN 'COUPON_UPC_NULL' END AS RejectReason"""
 
+# the same with deliveries: late by a day, values lost, and the day that the batch is for
+_TX_REASONS_BY_BATCH = f"""
+    SELECT BatchID, RejectReason, count(*) AS rows FROM (
+        SELECT r.BatchID, CASE WHEN basket_id IS NULL THEN 'BASKET_ID_NULL' WHEN product_id IS NULL THEN 'PRODUCT_ID_NULL'
+               WHEN day_no IS NULL THEN 'DAY_NULL' WHEN day_no <> ProcessDay THEN 'WRONG_PROCESS_DAY'
+               WHEN quantity IS NULL THEN 'QUANTITY_NULL' WHEN quantity <= 0 THEN 'INVALID_QUANTITY'
+               WHEN sales_value IS NULL THEN 'SALES_VALUE_NULL' WHEN sales_value < 0 THEN 'NEGATIVE_SALES_VALUE' END AS RejectReason
+        FROM (SELECT {BATCH.format("day_no + CASE WHEN product_id % 97 = 0 THEN 1 ELSE 0 END")} AS BatchID, basket_id,
+                     CASE WHEN trans_time % 101 <> 1 THEN product_id END AS product_id,
+                     CASE WHEN trans_time % 101 <> 2 THEN day_no END AS day_no,
+                     CASE WHEN trans_time % 101 <> 3 THEN quantity END AS quantity,
+                     CASE WHEN trans_time % 101 <> 4 THEN sales_value END AS sales_value FROM tx_source) r
+        JOIN batches b ON b.BatchID = r.BatchID)
+    WHERE RejectReason IS NOT NULL GROUP BY 1, 2""".strip()
+_RED_REASONS_BY_BATCH = f"""
+    SELECT BatchID, RejectReason, count(*) AS rows FROM (
+        SELECT r.BatchID, CASE WHEN household_key IS NULL THEN 'HOUSEHOLD_KEY_NULL' WHEN day_no IS NULL THEN 'DAY_NULL'
+               WHEN coupon_upc IS NULL THEN 'COUPON_UPC_NULL' WHEN day_no <> ProcessDay THEN 'WRONG_PROCESS_DAY' END AS RejectReason
+        FROM (SELECT {BATCH.format("day_no + CASE WHEN household_key % 97 = 0 THEN 1 ELSE 0 END")} AS BatchID, household_key,
+                     CASE WHEN campaign_id <> 5 THEN day_no END AS day_no,
+                     CASE WHEN campaign_id <> 11 THEN coupon_upc END AS coupon_upc FROM red_source) r
+        JOIN batches b ON b.BatchID = r.BatchID)
+    WHERE RejectReason IS NOT NULL GROUP BY 1, 2""".strip()
+
+# layer: (table, relation, rule that a row breaks, condition on which the column is blanked)
+_BLANKED = {
+    "silver": (
+        ("transaction_clean", "tx_clean", "basket_id DECIMAL(20,0) NOT NULL", "trans_time % 97 = 0"),
+        ("transaction_clean", "tx_clean", "day_no DECIMAL(10,0) NOT NULL", "trans_time % 89 = 0"),
+        ("transaction_clean", "tx_clean", "product_id DECIMAL(10,0) NOT NULL", "trans_time % 83 = 0"),
+        ("coupon_redemption_clean", "red_clean", "household_key DECIMAL(10,0) NOT NULL", "campaign_id = 5"),
+        ("coupon_redemption_clean", "red_clean", "coupon_upc DECIMAL(20,0) NOT NULL", "campaign_id = 7"),
+        ("product_clean", "product_clean", "product_id DECIMAL(10,0) NOT NULL", "product_id % 97 = 0"),
+        ("household_demographic_clean", "household_clean", "household_key DECIMAL(10,0) NOT NULL", "household_key % 97 = 0"),
+        ("campaign_clean", "campaign_clean", "campaign_id DECIMAL(10,0) NOT NULL", "campaign_id = 5"),
+        ("campaign_target_clean", "target_clean", "household_key DECIMAL(10,0) NOT NULL", "household_key % 97 = 0"),
+        ("campaign_target_clean", "target_clean", "campaign_id DECIMAL(10,0) NOT NULL", "campaign_id = 5"),
+        ("coupon_product_clean", "coupon_clean", "coupon_upc DECIMAL(20,0) NOT NULL", "campaign_id = 5"),
+        ("coupon_product_clean", "coupon_clean", "product_id DECIMAL(10,0) NOT NULL", "campaign_id = 7"),
+        ("promotion_weekly_clean", "promotion_clean", "product_id DECIMAL(10,0) NOT NULL", "week_no % 11 = 0"),
+        ("promotion_weekly_clean", "promotion_clean", "store_id DECIMAL(10,0) NOT NULL", "product_id % 97 = 0"),
+        ("promotion_weekly_clean", "promotion_clean", "week_no DECIMAL(10,0) NOT NULL", "week_no % 7 = 0"),
+    ),
+    "audit": (
+        ("etl_table_load_log", "load_log", "TargetTableName STRING NOT NULL", "LayerName = 'DM'"),
+        ("etl_table_load_log", "load_log", "LoadStatus STRING NOT NULL", "LayerName = 'DM'"),
+        ("data_quality_log", "dq_log", "SeverityLevel STRING NOT NULL", "LayerName = 'BRONZE'"),
+    ),
+    "control": (("etl_batch_control", "control", "BatchStatus STRING NOT NULL", "coalesce(ProcessDay % 97 = 0, FALSE)"),),
+}
+
+
+def _constraint_report(layer: str) -> str:
+    lines = _BLANKED[layer]
+    parts = [f"SELECT '{t}' AS TableName, '{rule}' AS rule, count(*) AS rows FROM {r} WHERE {lost}" for t, r, rule, lost in lines]
+    for table, relation in dict.fromkeys((t, r) for t, r, _, _ in lines):
+        kept = " AND ".join(f"NOT ({lost})" for t, _, _, lost in lines if t == table)
+        parts.append(f"SELECT '{table}', 'valid', count(*) FROM {relation} WHERE {kept}")
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE rows > 0"
+
+
 _EARLY = """
     SELECT p.*, CASE WHEN CAST(curr_size_of_product AS INTEGER) > 10 THEN curr_size_of_product END AS old_size,
            row_number() OVER (ORDER BY p.product_id) AS old_key
@@ -288,9 +350,7 @@ _BODIES: dict[str, str] = {
         "JOIN dim_product p ON p.ProductID = t.product_id WHERE IsCurrent GROUP BY 1"
     ),
     "j14_batches_with_logs": "overview",
-    "j15_reference_probe": " UNION ALL ".join(
-        check_sql(c) for c in SNAPSHOT_CHECKS.values() if c.layer == "DWH" and c.name.endswith("referential_integrity")
-    ),
+    "j15_reference_probe": " UNION ALL ".join(check_sql(key) for key in ("qw20", "qw21", "qw22", "qw23")),
     "a1_daily_sales": "dm_daily",
     "a2_product_sales": "dm_product",
     "a3_campaign_targets": "campaign_targets",
@@ -340,7 +400,10 @@ _BODIES: dict[str, str] = {
     "a19_last_successful_day": (
         "SELECT max(ProcessDay) AS LastSuccessfulDay FROM control WHERE BatchStatus IN ('SUCCESS', 'SUCCESS_WITH_WARNING')"
     ),
-    "w1_latest_by_hash": f"SELECT DISTINCT * FROM tx_raw WHERE {TX_VALID}",
+    "w1_latest_by_hash": (
+        "SELECT *, CASE WHEN product_id % 2 = 0 THEN '2023-12-31' ELSE '2024-01-01' END AS ProcessDate, "
+        f"CASE WHEN product_id % 2 = 0 THEN 1 ELSE 0 END AS load_hour FROM (SELECT DISTINCT * FROM tx_raw WHERE {TX_VALID})"
+    ),
     "w2_latest_by_key": "target_clean",
     "w3_product_rank": "v_products",
     "w4_quantity_rank": "v_products",
@@ -408,6 +471,14 @@ _BODIES: dict[str, str] = {
     ),
     "b7_wrong_days": "SELECT count(*) AS WrongProcessValueCount FROM tx_raw WHERE day_no <> 1",
     "qr1_daily_checks": "daily_checks",
+    "qr1_process_day_checks": late_day_checks(),
+    **{f"s12_{layer}_constraints": _constraint_report(layer) for layer in _BLANKED},
+    "s12_types": (
+        "SELECT * FROM (SELECT o_orderkey, concat_ws(', ', CASE WHEN o_orderkey % 2 <> 0 THEN 'o_orderpriority DECIMAL(10,0)' END, "
+        "CASE WHEN abs(o_totalprice) >= 99999.99995 THEN 'o_totalprice DECIMAL(9,4)' END) AS rules FROM orders) WHERE rules <> ''"
+    ),
+    "t4_reject_reasons_by_batch": _TX_REASONS_BY_BATCH,
+    "t6_reject_reasons_by_batch": _RED_REASONS_BY_BATCH,
     "qr1_detail": (
         "SELECT *, CASE CheckStatus WHEN 'FAIL' THEN 1 WHEN 'WARN' THEN 2 WHEN 'PASS' THEN 3 ELSE 4 END AS place "
         "FROM snapshot_checks WHERE LayerName = 'DWH'"
@@ -502,7 +573,5 @@ def oracle_sql() -> dict[str, str]:
     statements = {"s1_csv_scan": with_ctes(f"SELECT {_ALL_TEXT} FROM red_source")}
     statements |= {name: _select(name, body) for name, body in _BODIES.items()}
     statements |= {name: _select(name, _tile_sql(name)) for name in TILES}
-    for key, check in SNAPSHOT_CHECKS.items():
-        name = f"{key}_{check.name}"
-        statements[name] = _select(name, check_sql(check))
+    statements |= {name: _select(name, check_sql(key)) for name, key in NAMES.items()}
     return statements

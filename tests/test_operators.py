@@ -3,16 +3,18 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from tillworks.functions.rowops import known, record_hash
-from tillworks.operators import dedup, merge, numbering
+from tillworks.operators import checks as checks_module, dedup, merge, numbering
 from tillworks.operators.checks import NotEmpty, References, RowRule, SameValue, Unique, evaluate
+from tillworks.operators.constraints import enforced, split
 from tillworks.operators.distinct import with_distinct_counts
 from tillworks.operators.ranges import explode_weeks
 from tillworks.operators.reconcile import side_by_side
 from tillworks.operators.versions import read_latest, write_next
-from tillworks.schema import DIMENSIONS
+from tillworks.plans import marts, silver
+from tillworks.schema import DIMENSIONS, SOURCES
 from tillworks.session import scratch_path
 
 
@@ -255,11 +257,87 @@ def test_checks_on_an_empty_table(spark):
     }
 
 
-def test_checks_per_batch(spark):
-    rows = [("A", 1, 1), ("A", 1, 2), ("B", 1, -1)]
-    tables = {"t": spark.createDataFrame(rows, "batch string, k int, v int")}
-    checks = [c for c in CHECKS if c.name in ("unique_k", "positive")]
-    found = evaluate(checks, tables, by=("batch",)).collect()
-    assert {(r["batch"], r["CheckName"], r["CheckStatus"]) for r in found} == {
-        ("A", "unique_k", "FAIL"), ("B", "unique_k", "PASS"), ("A", "positive", "PASS"), ("B", "positive", "FAIL"),
+def test_checks_of_all_batches(spark):
+    """A table by day, one by week and one in whole, each checked for every batch; a batch without rows counts 0."""
+    batches = spark.createDataFrame([("A", 1, 1), ("B", 2, 1), ("C", 9, 2)], "BatchID string, day int, week int")
+    tables = {
+        "t": spark.createDataFrame([(1, 1, 5), (1, 1, 6), (2, 1, -1), (2, 7, 2)], "day int, k int, v int"),
+        "d": spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "week int, id int"),
+        "all": spark.createDataFrame([(1,), (1,)], "id int"),
+        "known": spark.createDataFrame([(1,)], "id int"),
+    }
+    checks = [
+        spec(NotEmpty, "any"),
+        spec(Unique, "unique_k", keys=("k",)),
+        spec(RowRule, "positive", bad="v <= 0"),
+        spec(RowRule, "own_day", bad="day <> 1"),
+        spec(References, "k_exists", links=(("k", "known", "id"),)),
+        spec(NotEmpty, "week_rows", table="d"),
+        spec(Unique, "unique_in_whole", table="all", keys=("id",)),
+        spec(SameValue, "as_many", source="d"),
+    ]
+    found = evaluate(checks, tables, batches, {"t": "day", "d": "week"}).collect()
+    got = {(r["BatchID"], r["CheckName"]): (r["CheckStatus"], int(r["CheckedRowCount"]), int(r["FailedRowCount"])) for r in found}
+    assert len(found) == len(got) == 3 * len(checks)
+    assert {k: v for k, v in got.items() if k[0] == "A"} == {
+        ("A", "any"): ("PASS", 2, 0), ("A", "unique_k"): ("FAIL", 2, 1), ("A", "positive"): ("PASS", 2, 0), ("A", "own_day"): ("PASS", 2, 0),
+        ("A", "k_exists"): ("PASS", 2, 0), ("A", "week_rows"): ("PASS", 2, 0),
+        ("A", "unique_in_whole"): ("FAIL", 2, 1), ("A", "as_many"): ("PASS", 2, 0),
     }
+    assert got["B", "unique_k"] == ("PASS", 2, 0) and got["B", "positive"] == ("FAIL", 2, 1) and got["B", "own_day"] == ("FAIL", 2, 2)
+    assert got["B", "k_exists"] == ("FAIL", 2, 1)
+    assert got["C", "any"] == ("FAIL", 0, 1) and got["C", "positive"] == ("PASS", 0, 0) and got["C", "week_rows"] == ("PASS", 1, 0)
+    assert got["C", "as_many"] == ("FAIL", 1, 1) and got["C", "unique_in_whole"] == ("FAIL", 2, 1)
+
+
+def test_keys_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(checks_module.F, "xxhash64", lambda *c: F.lit(7).cast("bigint"))
+    table = spark.createDataFrame([("a",), ("b",), ("b",), (None,), (None,), ("c",)], "k string")
+    (found,) = evaluate([spec(Unique, "u", keys=("k",))], {"t": table}).collect()
+    assert (found["CheckedRowCount"], found["FailedRowCount"]) == (6, 2)
+
+
+# --- declared schemas -------------------------------------------------------------------------
+SHOP = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("price", T.DecimalType(5, 2)), T.StructField("name", T.StringType(), False), T.StructField("note", T.StringType())])
+
+
+def test_rows_are_split_by_the_declared_schema(spark):
+    rows = [("1", "2.50", "a"), ("x", "2.50", "a"), (None, "1000", None), ("2", None, "b"), ("3", "no", "c")]
+    df = spark.createDataFrame(rows, "id string, price string, name string")
+    found = split(df, SHOP)
+    assert [f.dataType for f in found.schema][:4] == [f.dataType for f in SHOP]
+    assert [(r["id"], r["name"], r["BrokenRules"]) for r in found.collect()] == [
+        (1, "a", []),
+        (None, "a", ["id BIGINT NOT NULL"]),
+        (None, None, ["id BIGINT NOT NULL", "price DECIMAL(5,2)", "name STRING NOT NULL"]),
+        (2, "b", []),
+        (3, "c", ["price DECIMAL(5,2)"]),
+    ]
+
+
+def test_a_broken_rule_fails_the_write(spark):
+    good = spark.createDataFrame([(1, "a")], "id long, name string")
+    assert [tuple(r) for r in enforced(good, SHOP, "shop").collect()] == [(1, None, "a", None)]
+    bad = good.union(spark.createDataFrame([(2, None)], "id long, name string"))
+    with pytest.raises(Exception, match="shop: name STRING NOT NULL is broken"):
+        enforced(bad, SHOP, "shop").collect()
+
+
+def test_the_latest_copy_stays_whole(spark):
+    """The later load is for the earlier day: date and time of the result are those of one copy."""
+    columns = {c: F.lit(1).cast(t) for c, t in dict(SOURCES["transaction_data"].values()).items()}
+    copies = spark.createDataFrame([("2024-01-02", "2024-01-02 05:00:00"), ("2024-01-01", "2024-01-03 05:00:00")], "d string, t string")
+    valid = copies.select(*[c.alias(n) for n, c in columns.items()], F.col("d").cast("date").alias("ProcessDate"), F.col("t").cast("timestamp").alias("ETLTime"))
+    (row,) = silver.deduplicated_transactions(valid).collect()
+    assert (str(row["ProcessDate"]), str(row["ETLTime"])) == ("2024-01-01", "2024-01-03 05:00:00")
+
+
+def test_campaign_mart_of_every_day(spark):
+    dim = spark.createDataFrame([(-1, -1), (1, 10), (2, 20), (3, 30)], "CampaignKey long, CampaignID int")
+    targets = spark.createDataFrame([(1,), (1,), (2,)], "CampaignKey long")
+    redeemed = spark.createDataFrame([(5, 1, 7, 1, 1), (5, 1, 7, 2, 1), (6, 3, 8, 1, 1), (9, 1, 7, 1, 1)], "day int, CampaignKey long, HouseholdKey long, CouponKey long, RedemptionCount int")
+    redeemed = redeemed.withColumn("ProcessDay", F.col("day").cast("decimal(10,0)"))
+    days = spark.createDataFrame([(5,), (6,)], "d int").select(F.col("d").cast("decimal(10,0)").alias("ProcessDay"))
+    found = marts.campaign_performance_by_day(dim, targets, redeemed, days, "B", "2024-01-01").collect()
+    got = {(int(r["ProcessDay"]), r["CampaignKey"]): tuple(int(r[c]) for c in ("TargetHouseholdCount", "RedeemingHouseholdCount", "RedemptionCount", "DistinctCouponCount")) for r in found}
+    assert got == {(5, 1): (2, 1, 2, 2), (5, 2): (1, 0, 0, 0), (6, 1): (2, 0, 0, 0), (6, 2): (1, 0, 0, 0), (6, 3): (0, 1, 1, 1)}

@@ -3,6 +3,8 @@
 A check is a declaration. Checks are evaluated together: one aggregate over all stacked tables
 serves every row rule, emptiness check and reconciliation (each table scanned once per scope),
 one grouping serves every uniqueness check, and each reference check is one chain of joins.
+All batches are checked at once: a table is reduced to one row per group of its own grain (a day,
+a week, or the whole), and only these rows are given to the batches that the group belongs to.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillworks.operators.lookup import probe_keys
 from tillworks.schema import RATE, ROWS
+from tillworks.session import materialise
 
 # Categories and severities.
 RECONCILIATION = "RECONCILIATION"
@@ -124,8 +127,32 @@ def _plan_scans(checks: list[Check]) -> tuple[dict[str, _Scan], list[tuple]]:
     return scans, uses
 
 
-def _scan_metrics(checks: list[Check], tables: dict[str, DataFrame], by: list[str]) -> DataFrame | None:
-    """Row counts and summed values of all scans, from one aggregate over the stacked scans."""
+# --- batches ------------------------------------------------------------------------------------
+#: Rows of a table belong to all batches, or to those of a day or a week: its grain is the column of
+#: the table, and of the batches, that says which.
+WHOLE = None
+_GROUP = T.DecimalType(20, 0)
+
+
+def _group(grain: str | None) -> Column:
+    return (F.lit(0) if grain is WHOLE else F.col(grain)).cast(_GROUP).alias("_group")
+
+
+def _wanted(batches: DataFrame, uses: list[tuple], schema: str) -> DataFrame:
+    """Every batch times every use (a short declared list), with the group that it reads. The last
+    field of a use is its grain, empty for the whole table."""
+    fields = [f.split()[0] for f in schema.split(", ")]
+    each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(fields, use, strict=True)]) for use in uses]))
+    rows = batches.select(*batches.columns, each.alias("_use")).select(*batches.columns, "_use.*")
+    group = F.lit(0).cast(_GROUP)
+    for grain in sorted({use[-1] for use in uses} - {""}):
+        group = F.when(F.col("_grain") == grain, F.col(grain).cast(_GROUP)).otherwise(group)
+    return rows.withColumn("_group", group)
+
+
+def _scan_metrics(checks: list[Check], tables: dict[str, DataFrame], batches: DataFrame, grain: dict[str, str]) -> DataFrame | None:
+    """Row counts and summed values of all scans, from one aggregate over the stacked scans. A scan is
+    summed per group of its own grain; only these sums are then given to every batch."""
     scans, uses = _plan_scans(checks)
     if not scans:
         return None
@@ -135,78 +162,85 @@ def _scan_metrics(checks: list[Check], tables: dict[str, DataFrame], by: list[st
     def rows(name: str, scan: _Scan) -> DataFrame:
         slots = [F.expr(e) for e in scan.slots] + [F.lit(None)] * (width - len(scan.slots))
         return _scoped(tables[scan.table], scan.where).select(
-            *by,
             F.lit(name).alias("_scan"),
-            F.lit(1).alias("_one"),
+            _group(grain.get(scan.table)),
             *[c.cast(_VALUE).alias(v) for c, v in zip(slots, values, strict=True)],
         )
 
     stacked = _union([rows(name, scan) for name, scan in scans.items()])
-    spark = stacked.sparkSession
-    if not by:  # a scan without rows still has a result
-        none = spark.createDataFrame([(name,) for name in scans], "_scan string")
-        empty = [F.lit(None).cast(_VALUE).alias(v) for v in values]
-        stacked = stacked.unionByName(none.select("_scan", F.lit(0).alias("_one"), *empty))
-    summed = stacked.groupBy(*by, "_scan").agg(
-        F.sum("_one").alias("_rows"), *[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in values]
-    )
+    summed = stacked.groupBy("_scan", "_group").agg(F.count("*").alias("_rows"), *[F.sum(v).alias(v) for v in values])
     slots = F.posexplode(F.array(*values)).alias("_slot", "_value")
-    wanted = spark.createDataFrame(uses, "_scan string, _slot int, CheckID string, _side string")
+    wanted = [(scan, slot, check, side, grain.get(scans[scan].table) or "") for scan, slot, check, side in uses]
+    target, source = F.col("_side") == _TARGET_SIDE, F.col("_side") == _SOURCE_SIDE
     return (
-        summed.select(*by, "_scan", "_rows", slots)
-        .join(F.broadcast(wanted), ["_scan", "_slot"])
-        .groupBy(*by, "CheckID")
+        _wanted(batches, wanted, "_scan string, _slot int, CheckID string, _side string, _grain string")
+        .join(summed.select("_scan", "_group", "_rows", slots), ["_scan", "_slot", "_group"], "left")
+        .na.fill(0, ["_rows", "_value"])
+        .groupBy(*batches.columns, "CheckID")
         .agg(
-            F.max(F.when(F.col("_side") == _TARGET_SIDE, F.col("_rows"))).alias("_rows"),
-            F.max(F.when(F.col("_side") == _TARGET_SIDE, F.col("_value"))).alias("_value"),
-            F.max(F.when(F.col("_side") == _SOURCE_SIDE, F.col("_value"))).alias("_expected"),
+            F.max(F.when(target, F.col("_rows"))).alias("_rows"),
+            F.max(F.when(target, F.col("_value"))).alias("_value"),
+            F.max(F.when(source, F.col("_value"))).alias("_expected"),
         )
     )
 
 
-def _metrics(df: DataFrame, by: list[str], check: Column, rows: Column, value: Column) -> DataFrame:
-    return df.select(
-        *by,
-        check.alias("CheckID"),
-        rows.alias("_rows"),
-        value.cast(T.DecimalType(28, 4)).alias("_value"),
-        F.lit(None).cast(T.DecimalType(28, 4)).alias("_expected"),
+def _metrics(totals: DataFrame, checks: list[Check], batches: DataFrame, grain: dict[str, str]) -> DataFrame:
+    """(_check, _group, _rows, _bad) for every batch, 0 where a batch has no rows."""
+    wanted = [(c.id, grain.get(c.table) or "") for c in checks]
+    return (
+        _wanted(batches, wanted, "_check string, _grain string")
+        .join(totals, ["_check", "_group"], "left")
+        .na.fill(0, ["_rows", "_bad"])
+        .select(
+            *batches.columns,
+            F.col("_check").alias("CheckID"),
+            "_rows",
+            F.col("_bad").cast(T.DecimalType(28, 4)).alias("_value"),
+            F.lit(None).cast(T.DecimalType(28, 4)).alias("_expected"),
+        )
     )
 
 
-def _key_metrics(checks: list[Unique], tables: dict[str, DataFrame], by: list[str]) -> DataFrame | None:
-    """Rows and repeated keys of all uniqueness checks, from one pass over the stacked keys.
+def key_counts(checks: list[Unique], tables: dict[str, DataFrame], grain: dict[str, str]) -> DataFrame:
+    """(_check, _group, _rows, _bad): rows and repeated keys of all uniqueness checks.
 
-    Keys are counted per key before anything else, so copies of a hot key are combined early."""
-    if not checks:
-        return None
+    Two stages. First every row is counted by an 8-byte hash of its key, so no text key goes through
+    a shuffle, and copies of a hot key are combined early. Only the rows of repeated hashes are then
+    counted by the key itself, so keys that merely share a hash are told apart."""
 
     def keys(check: Check) -> DataFrame:
-        parts = [F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in check.keys]
+        hashed = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in check.keys])
         return _scoped(tables[check.table], check.where).select(
-            *by, F.lit(check.id).alias("_check"), F.concat_ws("\x01", *parts).alias("_key"), F.lit(1).alias("_one")
+            F.lit(check.id).alias("_check"), _group(grain.get(check.table)), hashed.alias("_hash"), *check.keys
         )
 
-    stacked = _union([keys(c) for c in checks])
-    if not by:
-        none = stacked.sparkSession.createDataFrame([(c.id,) for c in checks], "_check string")
-        stacked = stacked.unionByName(
-            none.select("_check", F.lit(None).cast("string").alias("_key"), F.lit(0).alias("_one"))
-        )
-    totals = (
-        stacked.groupBy(*by, "_check", "_key")
-        .agg(F.sum("_one").alias("_n"))
-        .groupBy(*by, "_check")
-        .agg(F.sum("_n").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_repeated"))
+    def text(check: Check) -> Column:
+        return F.concat_ws("\x01", *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in check.keys])
+
+    by_hash = ["_check", "_group", "_hash"]
+    counted = materialise(
+        _union([keys(c).select(*by_hash) for c in checks]).groupBy(*by_hash).agg(F.count("*").alias("_n")), "key-hashes"
+    )
+    repeated = materialise(counted.filter("_n > 1"), "repeated-hashes")
+    suspects = _union([keys(c).select(*by_hash, text(c).alias("_key")) for c in checks]).join(repeated.select(*by_hash), by_hash, "left_semi")
+    bad = (
+        suspects.groupBy(*by_hash, "_key")
+        .agg(F.count("*").alias("_n"))
+        .groupBy("_check", "_group")
+        .agg(F.lit(0).cast("bigint").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_bad"))
     )
-    return _metrics(totals, by, F.col("_check"), F.col("_rows"), F.col("_repeated"))
+    rows = counted.groupBy("_check", "_group").agg(F.sum("_n").alias("_rows"), F.lit(0).cast("bigint").alias("_bad"))
+    return rows.unionByName(bad).groupBy("_check", "_group").agg(F.sum("_rows").alias("_rows"), F.sum("_bad").alias("_bad"))
 
 
-def _reference_metrics(check: References, tables: dict[str, DataFrame]) -> DataFrame:
-    fact = _scoped(tables[check.table], check.where)
-    probed, missing = probe_keys(fact, [(c, tables[t], k) for c, t, k in check.links])
-    totals = probed.agg(F.count("*").alias("_rows"), F.count_if(missing).alias("_bad"))
-    return _metrics(totals, [], F.lit(check.id), F.col("_rows"), F.col("_bad"))
+def _reference_counts(check: References, tables: dict[str, DataFrame], grain: dict[str, str]) -> DataFrame:
+    """(_check, _group, _rows, _bad): rows per group, and those with a key that is nowhere to be found."""
+    group = _group(grain.get(check.table))
+    fact = _scoped(tables[check.table], check.where).select(group, *[c for c, _, _ in check.links])
+    probed, missing = probe_keys(fact, [(c, tables[t], k) for c, t, k in check.links], "_group")
+    totals = probed.groupBy("_group").agg(F.count("*").alias("_rows"), F.count_if(missing).alias("_bad"))
+    return totals.select(F.lit(check.id).alias("_check"), "_group", "_rows", "_bad")
 
 
 _SPEC = (
@@ -267,17 +301,25 @@ def _verdicts(metrics: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def evaluate(checks: Iterable[Check], tables: dict[str, DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per check (and per `by` group): counts, failure rate and status.
-
-    With `by`, every batch of a table is checked at once; references and reconciliations are for
-    a whole table only."""
-    checks, group = list(checks), list(by)
-    parts = [
-        _scan_metrics(checks, tables, group),
-        _key_metrics([c for c in checks if isinstance(c, Unique)], tables, group),
-        *[_reference_metrics(c, tables) for c in checks if isinstance(c, References)],
-    ]
+def evaluate(
+    checks: Iterable[Check], tables: dict[str, DataFrame], batches: DataFrame | None = None, grain: dict[str, str] | None = None
+) -> DataFrame:
+    """One row per check and batch: counts, failure rate and status, for all checks of all batches at once.
+
+    `batches` holds one row per batch; its columns stay. `grain` names, for each table that a batch has
+    only a part of, the column (of the table and of `batches`) by which its rows belong to batches; the
+    other tables are every batch's as a whole. Reconciliations may compare tables of different grain.
+    Without batches the tables are checked as they are."""
+    checks, grain = list(checks), grain or {}
+    group = batches.columns if batches is not None else []
+    each = batches if batches is not None else next(iter(tables.values())).sparkSession.range(1).select(F.lit(0).alias("_batch"))
+    keyed = [c for c in checks if isinstance(c, Unique)]
+    linked = [c for c in checks if isinstance(c, References)]
+    parts = [_scan_metrics(checks, tables, each, grain)]
+    if keyed:
+        parts.append(_metrics(key_counts(keyed, tables, grain), keyed, each, grain))
+    if linked:
+        parts.append(_metrics(_union([_reference_counts(c, tables, grain) for c in linked]), linked, each, grain))
     metrics = _union([p for p in parts if p is not None])
     specs = metrics.sparkSession.createDataFrame([_spec(c) for c in checks], _SPEC)
     return _verdicts(metrics.join(F.broadcast(specs), "CheckID"), group)

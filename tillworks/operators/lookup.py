@@ -22,10 +22,10 @@ def lookup_key(fact: DataFrame, column: str, dim: DataFrame, dimension: str) ->
     return joined.withColumn(key, F.coalesce("_key", F.lit(UNKNOWN_KEY))).drop("_nk", "_key")
 
 
-def probe_keys(fact: DataFrame, links: list[tuple[str, DataFrame, str]]) -> tuple[DataFrame, Column]:
-    """The fact's key columns joined to the tables they refer to, and the condition 'some key has
-    no row there'. A link is (column of the fact, other table, its unique key)."""
-    probed, misses = fact.select(*[column for column, _, _ in links]), []
+def probe_keys(fact: DataFrame, links: list[tuple[str, DataFrame, str]], *keep: str) -> tuple[DataFrame, Column]:
+    """The fact's key columns (and those to `keep`) joined to the tables they refer to, and the condition
+    'some key has no row there'. A link is (column of the fact, other table, its unique key)."""
+    probed, misses = fact.select(*keep, *[column for column, _, _ in links]), []
     for i, (column, other, key) in enumerate(links):
         members = other.select(F.col(key).alias(f"_found{i}"))
         probed = probed.join(members, F.col(column) == F.col(f"_found{i}"), "left")

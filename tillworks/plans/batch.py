@@ -11,36 +11,18 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillworks.operators.checks import Check, References, SameValue
+from tillworks.operators.constraints import enforced
 from tillworks.operators.merge import merge_dimension, only_when_running, read_batches, replace_by_batch
 from tillworks.operators.reconcile import side_by_side
 from tillworks.operators.versions import read_latest, write_next
 from tillworks.plans import bronze, control, dims, facts, marts, quality, silver
-from tillworks.schema import (
-    AUDIT,
-    BRONZE,
-    BRONZE_TABLE,
-    CONTROL,
-    DIMENSIONS,
-    FACTS,
-    MARTS,
-    SILVER,
-    SOURCES,
-    SURROGATE_KEY,
-)
+from tillworks.schema import BRONZE_TABLE, DIMENSIONS, SCHEMAS, SOURCES, SURROGATE_KEY
 from tillworks.session import at_the_same_time
 from tillworks.sources.csvfiles import read_source, slice_of
 
-SCHEMAS: dict[str, T.StructType] = {
-    **{f"bronze.{n}": s for n, s in BRONZE.items()},
-    **{f"silver.{n}": s for n, s in SILVER.items()},
-    **{f"dwh.{n}": s for n, s in {**DIMENSIONS, **FACTS}.items()},
-    **{f"dm_marketing.{n}": s for n, s in MARTS.items()},
-    **{f"control.{n}": s for n, s in CONTROL.items()},
-    **{f"audit.{n}": s for n, s in AUDIT.items()},
-}
 CONTROL_TABLE = "control.etl_batch_control"
 LOAD_LOG = "audit.etl_table_load_log"
 DQ_LOG = "audit.data_quality_log"
@@ -86,7 +68,8 @@ class Warehouse:
 
     def replace(self, table: str, rows: DataFrame, batch: Batch, **partition: str) -> None:
         column = "SourceBatchID" if "SourceBatchID" in SCHEMAS[table].fieldNames() else "BatchID"
-        replace_by_batch(rows, self.path(table), {column: batch.id, **partition})
+        checked = enforced(rows.withColumns({c: F.lit(v) for c, v in partition.items()}), SCHEMAS[table], table)
+        replace_by_batch(checked, self.path(table), {column: batch.id, **partition})
 
     def load(self, table: str, rows: DataFrame, batch: Batch) -> None:
         """Replace the batch's rows, if the batch is running."""
@@ -258,10 +241,8 @@ def _log(warehouse: Warehouse, batch: Batch, layer: str, rows: DataFrame) -> Non
     warehouse.replace(LOAD_LOG, rows.drop("LayerName"), batch, LayerName=layer)
 
 
-def _process_value(load_id: str, batch: Batch) -> int | None:
-    if "CAMPAIGN" in load_id:
-        return None
-    return batch.week if "PROMOTION" in load_id else batch.day
+def _process_value(load_id: str, batch: Batch) -> Column:
+    return control.process_value(load_id, F.lit(batch.day), F.lit(batch.week)).cast("decimal(20,0)")
 
 
 def _started(warehouse: Warehouse, batch: Batch, layer: str) -> DataFrame:
@@ -291,8 +272,7 @@ def _finished(warehouse: Warehouse, batch: Batch, loaded: Loaded) -> DataFrame:
         if f"{load_id}_rejected" in counted:
             rejected = F.col(f"{load_id}_rejected")
             columns |= {"RejectedRowCount": rejected, "UnchangedRowCount": read - rejected - written}
-        value = F.lit(_process_value(load_id, batch)).cast("decimal(20,0)")
-        closed.append(control.load_columns(control.LOADS[load_id], value, **columns))
+        closed.append(control.load_columns(control.LOADS[load_id], _process_value(load_id, batch), **columns))
     return control.log_rows(counts, closed)
 
 

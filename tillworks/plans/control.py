@@ -176,6 +176,13 @@ LOADS = {
 }
 
 
+def process_value(load_id: str, day: Column, week: Column) -> Column:
+    """What a load's progress is measured in: nothing for campaigns, else the week or the day."""
+    if "CAMPAIGN" in load_id:
+        return F.lit(None)
+    return week if "PROMOTION" in load_id else day
+
+
 def load_columns(load: Load, process_value: Column, **columns: Column) -> Column:
     """One load as a struct: what it is, the day or week it covers, and the given counts (0 where
     not given)."""
@@ -224,7 +231,7 @@ def log_rows(counted: DataFrame, loads: list[Column]) -> DataFrame:
     return conform(rows, AUDIT["etl_table_load_log"])
 
 
-def started_row(spark: SparkSession, load: Load, batch: str, process_date: str, value: int | None) -> DataFrame:
+def started_row(spark: SparkSession, load: Load, batch: str, process_date: str, value: Column) -> DataFrame:
     """Log row of a load that has begun and not yet ended."""
     zero = ("SourceRowCount", "InsertedRowCount", "UpdatedRowCount", "DeletedRowCount", "RejectedRowCount", "UnchangedRowCount")
     row = spark.range(1).select(
@@ -235,7 +242,7 @@ def started_row(spark: SparkSession, load: Load, batch: str, process_date: str,
         F.lit(load.target).alias("TargetTableName"),
         F.lit(load.strategy).alias("LoadStrategy"),
         F.lit(process_date).cast("date").alias("ProcessDate"),
-        F.lit(value).alias("ProcessValue"),
+        value.alias("ProcessValue"),
         F.current_timestamp().alias("StartTime"),
         *[F.lit(0).alias(c) for c in zero],
         F.lit("STARTED").alias("LoadStatus"),
@@ -244,19 +251,33 @@ def started_row(spark: SparkSession, load: Load, batch: str, process_date: str,
     return conform(row, AUDIT["etl_table_load_log"])
 
 
-def count_loads(tables: dict[str, DataFrame], by: str) -> DataFrame:
-    """(by, What, Rows): rows of every table per value of `by`. The tables are stacked and counted
-    in one grouping instead of one job and join per table."""
-    parts = [df.select(by, F.lit(name).alias("What")) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts).groupBy(by, "What").agg(F.count("*").alias("Rows"))
+def count_loads(tables: dict[str, DataFrame], grain: dict[str, str]) -> DataFrame:
+    """(What, Grain, Value, Rows): rows of every table per value of its grain column, or of the whole
+    table without one. The tables are stacked and counted in one grouping instead of one job per table."""
+    parts = [
+        df.select(
+            F.lit(name).alias("What"),
+            F.lit(grain.get(name, "")).alias("Grain"),
+            (F.col(grain[name]) if name in grain else F.lit(0)).cast(ROWS).alias("Value"),
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("What", "Grain", "Value").agg(F.count("*").alias("Rows"))
 
 
-def counts_beside(batches: DataFrame, counted: DataFrame, by: str, names: list[str]) -> DataFrame:
+def counts_beside(batches: DataFrame, counted: DataFrame, names: list[str], grain: dict[str, str]) -> DataFrame:
     """The batches with one count column per name, 0 where a batch has no rows."""
-    wide = counted.groupBy(by).agg(
-        *[F.coalesce(F.max(F.when(F.col("What") == n, F.col("Rows"))), F.lit(0)).alias(n) for n in names]
-    )
-    return batches.join(wide, by, "left").withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names})
+    for column in sorted({grain.get(n, "") for n in names}):
+        here = [n for n in names if grain.get(n, "") == column]
+        wide = (
+            counted.filter(F.col("Grain") == column)
+            .groupBy(F.col("Value").alias("_value"))
+            .agg(*[F.max(F.when(F.col("What") == n, F.col("Rows"))).alias(n) for n in here])
+        )
+        value = F.col(column).cast(ROWS) if column else F.lit(0).cast(ROWS)
+        joined = batches.withColumn("_of", value).join(wide, F.col("_of") == F.col("_value"), "left")
+        batches = joined.drop("_of", "_value").withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in here})
+    return batches
 
 
 # --- verdict ----------------------------------------------------------------------------------

@@ -15,7 +15,6 @@ from threading import RLock
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillworks.functions.rowops import batch_id, week_of_day
-from tillworks.operators.checks import evaluate
 from tillworks.operators.merge import merge_dimension
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
 from tillworks.schema import AUDIT, BRONZE_TABLE, CONTROL, SURROGATE_KEY, conform
@@ -141,7 +140,7 @@ def _promotion_performance(lake: Lake) -> DataFrame:
     )
 
 
-# --- logs: the snapshot batch, and one batch per source day as if the days had run one by one ---
+# --- logs: the snapshot batch, and one batch per source day, all days at once ----------------------
 def daily_batches(lake: Lake) -> DataFrame:
     """One batch per source day; its week counts sevens from the first source day."""
     rows = lake["bronze.transaction_data_raw"].filter(F.col("day_no").isNotNull())
@@ -167,21 +166,69 @@ def _snapshot_batch(lake: Lake) -> DataFrame:
     )
 
 
-def daily_tables(lake: Lake) -> dict[str, DataFrame]:
-    """The day-loaded tables with the day, and so the daily batch, that each row belongs to."""
+# The part of a table that a daily batch loads: the rows of its day, or of its week; the other tables
+# are loaded in whole by every batch, and dimensions are shared.
+GRAIN = {
+    "bronze.transaction_data_raw": "ProcessDay",
+    "bronze.coupon_redemption_raw": "ProcessDay",
+    "bronze.causal_data_raw": "ProcessWeek",
+    "silver.transaction_clean": "ProcessDay",
+    "silver.coupon_redemption_clean": "ProcessDay",
+    "silver.promotion_weekly_clean": "ProcessWeek",
+    "dwh.fact_sales_transaction": "ProcessDay",
+    "dwh.fact_coupon_redemption": "ProcessDay",
+    "dwh.fact_promotion_weekly": "ProcessWeek",
+    "dm_marketing.dm_daily_sales": "ProcessDay",
+    "dm_marketing.dm_product_sales": "ProcessDay",
+    "dm_marketing.dm_campaign_performance": "ProcessDay",
+    "dm_marketing.dm_promotion_performance": "ProcessWeek",
+    "rejected_transactions": "ProcessDay",
+    "rejected_redemptions": "ProcessDay",
+    quality.LOAD_LOG: "ProcessDay",
+}
+_OWN_COLUMN = {
+    "bronze.transaction_data_raw": "day_no",
+    "bronze.coupon_redemption_raw": "day_no",
+    "bronze.causal_data_raw": "week_no",
+    "silver.transaction_clean": "day_no",
+    "silver.coupon_redemption_clean": "day_no",
+    "silver.promotion_weekly_clean": "week_no",
+    "dwh.fact_promotion_weekly": "WeekNumber",
+    "dm_marketing.dm_daily_sales": "DayNumber",
+    "dm_marketing.dm_promotion_performance": "WeekNumber",
+}
+
+
+def _with_day(lake: Lake, fact: str) -> DataFrame:
     days = lake["dwh.dim_day"].select("DayKey", F.col("DayNumber").alias("ProcessDay"))
+    return lake[fact].join(days, "DayKey")
 
-    def by_column(name: str, column: str) -> DataFrame:
-        return lake[name].withColumn("ProcessDay", F.col(column))
 
-    return {
-        "bronze.transaction_data_raw": by_column("bronze.transaction_data_raw", "day_no"),
-        "bronze.coupon_redemption_raw": by_column("bronze.coupon_redemption_raw", "day_no"),
-        "silver.transaction_clean": by_column("silver.transaction_clean", "day_no"),
-        "silver.coupon_redemption_clean": by_column("silver.coupon_redemption_clean", "day_no"),
-        "dwh.fact_sales_transaction": lake["dwh.fact_sales_transaction"].join(days, "DayKey"),
-        "dwh.fact_coupon_redemption": lake["dwh.fact_coupon_redemption"].join(days, "DayKey"),
-        "dm_marketing.dm_daily_sales": by_column("dm_marketing.dm_daily_sales", "DayNumber"),
+def _product_sales_by_day(lake: Lake) -> DataFrame:
+    sales = _with_day(lake, "dwh.fact_sales_transaction")
+    return marts.product_sales(sales, lake["dwh.dim_product"], SNAPSHOT, PROCESS_DATE, ("ProcessDay",))
+
+
+def _campaign_performance_by_day(lake: Lake) -> DataFrame:
+    return marts.campaign_performance_by_day(
+        lake["dwh.dim_campaign"],
+        lake["dwh.fact_campaign_target"],
+        _with_day(lake, "dwh.fact_coupon_redemption"),
+        lake["batches"],
+        SNAPSHOT,
+        PROCESS_DATE,
+    )
+
+
+def batch_tables(lake: Lake) -> dict[str, DataFrame]:
+    """Every layer table as the daily batches load it, with the day or week of its rows."""
+    tables = check_tables(lake)
+    tables |= {name: lake[name].withColumn(GRAIN[name], F.col(own)) for name, own in _OWN_COLUMN.items()}
+    return tables | {
+        "dwh.fact_sales_transaction": _with_day(lake, "dwh.fact_sales_transaction"),
+        "dwh.fact_coupon_redemption": _with_day(lake, "dwh.fact_coupon_redemption"),
+        "dm_marketing.dm_product_sales": lake["by_day.dm_product_sales"],
+        "dm_marketing.dm_campaign_performance": lake["by_day.dm_campaign_performance"],
     }
 
 
@@ -193,19 +240,15 @@ _LOAD_SOURCES = {
     "SILVER_COUPON_REDEMPTION": ("bronze.coupon_redemption_raw", "rejected_redemptions"),
     "DWH_FACT_SALES": ("silver.transaction_clean", None),
     "DWH_FACT_COUPON_REDEMPTION": ("silver.coupon_redemption_clean", None),
-    "DM_DAILY_SALES": ("dwh.fact_sales_transaction", None),
     "DWH_FACT_CAMPAIGN_TARGET": ("silver.campaign_target_clean", None),
     "DWH_FACT_PROMOTION_WEEKLY": ("silver.promotion_weekly_clean", None),
+    "DM_DAILY_SALES": ("dwh.fact_sales_transaction", None),
     "DM_PRODUCT_SALES": ("dwh.fact_sales_transaction", None),
     "DM_CAMPAIGN_PERFORMANCE": ("dwh.fact_campaign_target", None),
     "DM_PROMOTION_PERFORMANCE": ("dwh.fact_promotion_weekly", None),
 }
-_DAILY_LOADS = list(_LOAD_SOURCES)[:7]
-_SNAPSHOT_ONLY = (
-    "silver.campaign_target_clean", "silver.promotion_weekly_clean", "dwh.fact_campaign_target",
-    "dwh.fact_promotion_weekly", "dm_marketing.dm_product_sales", "dm_marketing.dm_campaign_performance",
-    "dm_marketing.dm_promotion_performance",
-)
+# Their daily rows are not parts of the snapshot's: distinct members count once a day.
+_OTHER_IN_SNAPSHOT = ("dm_marketing.dm_product_sales", "dm_marketing.dm_campaign_performance")
 
 
 def _load(load_id: str) -> Column:
@@ -216,39 +259,32 @@ def _load(load_id: str) -> Column:
     if rejected_name:
         rejected = F.col(rejected_name)
         columns |= {"RejectedRowCount": rejected, "UnchangedRowCount": source - rejected - inserted}
-    return control.load_columns(spec, F.col("ProcessDay"), **columns)
+    return control.load_columns(spec, control.process_value(load_id, F.col("ProcessDay"), F.col("ProcessWeek")), **columns)
 
 
 def _load_log(lake: Lake) -> DataFrame:
-    """Loads of all daily batches and of the snapshot, from one count over the stacked tables."""
-    day = "ProcessDay"
-    daily = daily_tables(lake)
-    daily["rejected_transactions"] = silver.invalid_transactions(daily["bronze.transaction_data_raw"])
-    daily["rejected_redemptions"] = silver.invalid_redemptions(daily["bronze.coupon_redemption_raw"])
-    no_day = F.lit(None).cast("decimal(10,0)")
-    whole = {n: lake[n].withColumn(day, no_day) for n in _SNAPSHOT_ONLY}
-    counted = materialise(control.count_loads({**daily, **whole}, day), "load-counts")
-    total = counted.groupBy("What").agg(F.sum("Rows").alias("Rows")).withColumn("BatchID", F.lit(SNAPSHOT))
-    per_day = control.counts_beside(daily_batches(lake), counted, day, list(daily))
-    per_snapshot = control.counts_beside(_snapshot_batch(lake), total, "BatchID", [*daily, *whole])
-    daily_rows = control.log_rows(per_day, [_load(i) for i in _DAILY_LOADS])
-    return daily_rows.unionByName(control.log_rows(per_snapshot, [_load(i) for i in _LOAD_SOURCES]))
-
-
-# Checks that make sense per day-loaded table, evaluated for all daily batches at once.
-def daily_checks() -> list:
-    bronze_rules, silver_rules = quality.bronze_checks(), quality.silver_checks()
-    dwh_rules, mart_rules = quality.dwh_checks(), quality.mart_checks()
-    return [
-        bronze_rules["qb9"], bronze_rules["qb16"], silver_rules["qs1"], silver_rules["qs9"],
-        dwh_rules["qw16"], dwh_rules["qw24"], mart_rules["qm7"], mart_rules["qm11"],
-    ]
+    """The twelve loads of all daily batches and of the snapshot, from one count over the stacked tables."""
+    names = {t for load_id, (source, _) in _LOAD_SOURCES.items() for t in (source, control.LOADS[load_id].target)}
+    parts = {n: df for n, df in batch_tables(lake).items() if n in names}
+    parts["rejected_transactions"] = silver.invalid_transactions(parts["bronze.transaction_data_raw"])
+    parts["rejected_redemptions"] = silver.invalid_redemptions(parts["bronze.coupon_redemption_raw"])
+    whole = {f"whole {n}": lake[n] for n in _OTHER_IN_SNAPSHOT}
+    counted = materialise(control.count_loads({**parts, **whole}, GRAIN), "load-counts")
+    per_day = control.counts_beside(lake["batches"], counted.filter(~F.col("What").startswith("whole ")), list(parts), GRAIN)
+    total = (
+        counted.filter(~F.col("What").isin(*_OTHER_IN_SNAPSHOT))
+        .groupBy(F.regexp_replace("What", "^whole ", "").alias("What"))
+        .agg(F.sum("Rows").alias("Rows"))
+        .withColumns({"Grain": F.lit(""), "Value": F.lit(0).cast("decimal(20,0)")})
+    )
+    per_snapshot = control.counts_beside(_snapshot_batch(lake), total, list(parts), {})
+    loads = [_load(i) for i in _LOAD_SOURCES]
+    return control.log_rows(per_day, loads).unionByName(control.log_rows(per_snapshot, loads))
 
 
 def check_tables(lake: Lake) -> dict[str, DataFrame]:
     layers = ("bronze", "silver", "dwh", "dm_marketing")
-    tables = {name: df for layer in layers for name, df in lake.layer(layer).items()}
-    return tables | {quality.LOAD_LOG: lake["audit.etl_table_load_log"]}
+    return {name: df for layer in layers for name, df in lake.layer(layer).items()}
 
 
 def all_checks() -> dict:
@@ -261,17 +297,16 @@ def all_checks() -> dict:
 
 
 def _dq_log(lake: Lake) -> DataFrame:
-    snapshot = quality.run_checks(all_checks().values(), check_tables(lake), SNAPSHOT)
-    per_day = evaluate(daily_checks(), daily_tables(lake), by=("ProcessDay",))
-    daily = per_day.withColumn("BatchID", batch_id(F.col("ProcessDay"))).withColumns(
-        {"DQLogID": F.concat_ws("_", "BatchID", "CheckID"), "ETLTime": F.current_timestamp()}
-    )
-    return snapshot.unionByName(conform(daily, AUDIT["data_quality_log"]))
+    """All checks of the snapshot and of every daily batch."""
+    log, batches = lake[quality.LOAD_LOG], lake["batches"]
+    snapshot = quality.run_checks(all_checks().values(), check_tables(lake) | {quality.LOAD_LOG: log}, SNAPSHOT)
+    logged = log.join(batches.select("BatchID", "ProcessDay"), "BatchID")
+    return snapshot.unionByName(quality.run_checks_by_day(batch_tables(lake) | {quality.LOAD_LOG: logged}, batches, GRAIN))
 
 
 def running_batches(lake: Lake) -> DataFrame:
     """All batches as control rows that have not ended yet."""
-    rows = daily_batches(lake).withColumn("LoadMode", F.lit(control.INCREMENTAL))
+    rows = lake["batches"].withColumn("LoadMode", F.lit(control.INCREMENTAL))
     rows = rows.unionByName(_snapshot_batch(lake).withColumn("LoadMode", F.lit(control.INITIAL)))
     return conform(
         rows.withColumns(
@@ -320,6 +355,9 @@ _BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
         lake["dm_marketing.dm_campaign_performance"]
     ),
     "analytics.rfm": lambda lake: analytics.rfm(lake["silver.transaction_clean"]),
+    "batches": daily_batches,
+    "by_day.dm_product_sales": _product_sales_by_day,
+    "by_day.dm_campaign_performance": _campaign_performance_by_day,
     "audit.etl_table_load_log": _load_log,
     "audit.data_quality_log": _dq_log,
     "control.etl_batch_control": _batch_control,

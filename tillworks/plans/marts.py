@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillworks.functions.rowops import known, ratio
 from tillworks.operators.distinct import with_distinct_counts
@@ -20,6 +20,12 @@ def _stamped(df: DataFrame, batch: str, process_date: str) -> DataFrame:
     )
 
 
+def _mart(df: DataFrame, name: str, batch: str, process_date: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The declared columns, and `by`: the day, when one build serves the batches of many days."""
+    stamped = _stamped(df, batch, process_date)
+    return conform(stamped, T.StructType([*MARTS[name], *[stamped.schema[c] for c in by]]))
+
+
 def _sales_sums() -> list[Column]:
     sums = ("GrossSalesAmount", "TotalDiscountAmount", "NetSalesAmount")
     return [F.sum("Quantity").alias("TotalQuantity"), *[F.sum(c).alias(c) for c in sums]]
@@ -57,14 +63,16 @@ def daily_sales(
             "DiscountRate": _discount_rate(),
         }
     )
-    return conform(_stamped(rows, batch, process_date), MARTS["dm_daily_sales"])
+    return _mart(rows, "dm_daily_sales", batch, process_date)
 
 
-def product_sales(sales: DataFrame, dim_product: DataFrame, batch: str, process_date: str) -> DataFrame:
-    """Sales of each product. Grouped by key first; the attributes join the small result."""
+def product_sales(
+    sales: DataFrame, dim_product: DataFrame, batch: str, process_date: str, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Sales of each product (and `by`). Grouped by key first; the attributes join the small result."""
     grouped = with_distinct_counts(
         sales,
-        {"ProductKey": F.col("ProductKey")},
+        {c: F.col(c) for c in ("ProductKey", *by)},
         _sales_sums(),
         {**_baskets(), "HouseholdCount": known("HouseholdKey"), "StoreCount": known("StoreKey")},
     )
@@ -77,40 +85,64 @@ def product_sales(sales: DataFrame, dim_product: DataFrame, batch: str, process_
             "DiscountRate": _discount_rate(),
         }
     )
-    return conform(_stamped(rows, batch, process_date), MARTS["dm_product_sales"])
+    return _mart(rows, "dm_product_sales", batch, process_date, by)
 
 
 def campaign_targets(targets: DataFrame) -> DataFrame:
     return targets.groupBy("CampaignKey").agg(F.count("*").alias("TargetHouseholdCount"))
 
 
-def campaign_redemptions(redemptions: DataFrame) -> DataFrame:
-    return redemptions.groupBy("CampaignKey").agg(
+def campaign_redemptions(redemptions: DataFrame, *by: str) -> DataFrame:
+    return redemptions.groupBy(*by, "CampaignKey").agg(
         F.countDistinct("HouseholdKey").alias("RedeemingHouseholdCount"),
         F.sum("RedemptionCount").alias("RedemptionCount"),
         F.countDistinct("CouponKey").alias("DistinctCouponCount"),
     )
 
 
+_CAMPAIGN_MEASURES = ("TargetHouseholdCount", "RedeemingHouseholdCount", "RedemptionCount", "DistinctCouponCount")
+
+
 def campaigns_with_activity(dim_campaign: DataFrame, targets: DataFrame, redemptions: DataFrame) -> DataFrame:
     """Campaigns that have targets or redemptions, with both summaries (0 where absent)."""
-    measures = ["TargetHouseholdCount", "RedeemingHouseholdCount", "RedemptionCount", "DistinctCouponCount"]
     joined = (
         dim_campaign.filter(F.col("CampaignKey") != -1)
         .join(campaign_targets(targets).withColumn("_t", F.lit(True)), "CampaignKey", "left")
         .join(campaign_redemptions(redemptions).withColumn("_r", F.lit(True)), "CampaignKey", "left")
         .filter(F.col("_t").isNotNull() | F.col("_r").isNotNull())
     )
-    return joined.drop("_t", "_r").withColumns({m: F.coalesce(m, F.lit(0)) for m in measures})
+    return joined.drop("_t", "_r").withColumns({m: F.coalesce(m, F.lit(0)) for m in _CAMPAIGN_MEASURES})
+
+
+def _redemption_rate() -> Column:
+    return ratio(F.col("RedeemingHouseholdCount"), F.col("TargetHouseholdCount"), RATE)
 
 
 def campaign_performance(
     dim_campaign: DataFrame, targets: DataFrame, redemptions: DataFrame, batch: str, process_date: str
 ) -> DataFrame:
-    rows = campaigns_with_activity(dim_campaign, targets, redemptions).withColumn(
-        "RedemptionRate", ratio(F.col("RedeemingHouseholdCount"), F.col("TargetHouseholdCount"), RATE)
+    rows = campaigns_with_activity(dim_campaign, targets, redemptions).withColumn("RedemptionRate", _redemption_rate())
+    return _mart(rows, "dm_campaign_performance", batch, process_date)
+
+
+def campaign_performance_by_day(
+    dim_campaign: DataFrame, targets: DataFrame, redemptions: DataFrame, days: DataFrame, batch: str, process_date: str
+) -> DataFrame:
+    """The campaign mart of every day in `days` (ProcessDay): each day's load has all targets and the
+    redemptions of that day, so each day has a row for every campaign with targets."""
+    day = F.col("ProcessDay").cast("bigint")
+    first, last = days.agg(F.min(day)).scalar(), days.agg(F.max(day)).scalar()
+    each = campaign_targets(targets).withColumn("ProcessDay", F.explode(F.sequence(first, last)))
+    targeted = each.withColumn("ProcessDay", F.col("ProcessDay").cast("decimal(10,0)"))
+    redeemed = campaign_redemptions(redemptions, "ProcessDay")
+    rows = (
+        targeted.join(redeemed, ["ProcessDay", "CampaignKey"], "full")
+        .join(days.select("ProcessDay"), "ProcessDay", "left_semi")
+        .join(dim_campaign.filter(F.col("CampaignKey") != -1), "CampaignKey")
+        .withColumns({m: F.coalesce(m, F.lit(0)) for m in _CAMPAIGN_MEASURES})
+        .withColumn("RedemptionRate", _redemption_rate())
     )
-    return conform(_stamped(rows, batch, process_date), MARTS["dm_campaign_performance"])
+    return _mart(rows, "dm_campaign_performance", batch, process_date, ("ProcessDay",))
 
 
 def promotion_sales(sales: DataFrame, week: int | None = None) -> DataFrame:
@@ -152,4 +184,4 @@ def promotion_performance(
             "AverageBasketAmount", ratio(F.col("NetSalesAmount"), F.col("BasketCount"), MART_MONEY)
         )
     )
-    return conform(_stamped(rows, batch, process_date), MARTS["dm_promotion_performance"])
+    return _mart(rows, "dm_promotion_performance", batch, process_date)

@@ -54,8 +54,9 @@ def _null(*columns: str) -> str:
     return _any(*[f"{c} IS NULL" for c in columns])
 
 
-def _other(column: str, value: int | None) -> str:
-    """NULL, or not the batch's day or week (a snapshot has neither)."""
+def _other(column: str, value: int | str | None) -> str:
+    """NULL, or not the batch's day or week (a snapshot has neither). The value may be the name of the
+    column that says to which batch a row belongs, when the batches of many days are checked at once."""
     return _null(column) if value is None else _any(_null(column), f"{column} <> {value}")
 
 
@@ -83,7 +84,7 @@ _FACT_DIMS = {
 }
 
 
-def dwh_checks(batch: str | None = None, day: int | None = None, week: int | None = None) -> dict[str, Check]:
+def dwh_checks(batch: str | None = None, day: int | str | None = None, week: int | str | None = None) -> dict[str, Check]:
     """28 checks, keyed qw1..qw28."""
     scope = _batch_scope("SourceBatchID", batch)
     in_week = f"WeekNumber = {week}" if week is not None else None
@@ -174,7 +175,7 @@ _MART_GRAIN = {
 _AMOUNTS = ("TotalQuantity", "GrossSalesAmount", "TotalDiscountAmount", "NetSalesAmount")
 
 
-def mart_checks(batch: str | None = None, day: int | None = None, week: int | None = None) -> dict[str, Check]:
+def mart_checks(batch: str | None = None, day: int | str | None = None, week: int | str | None = None) -> dict[str, Check]:
     """17 checks, keyed qm1..qm17."""
     scope = _batch_scope("SourceBatchID", batch)
     checks: list[Check] = []
@@ -250,7 +251,7 @@ _BRONZE_REQUIRED = {
 }
 
 
-def bronze_checks(batch: str | None = None, day: int | None = None, week: int | None = None) -> dict[str, Check]:
+def bronze_checks(batch: str | None = None, day: int | str | None = None, week: int | str | None = None) -> dict[str, Check]:
     """19 checks, keyed qb1..qb19."""
     scope = _batch_scope("BatchID", batch)
     checks: list[Check] = []
@@ -385,6 +386,24 @@ def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame], batch: str
     return conform(results, AUDIT["data_quality_log"])
 
 
+def run_checks_by_day(tables: dict[str, DataFrame], batches: DataFrame, grain: dict[str, str]) -> DataFrame:
+    """All 85 checks of every batch in `batches` (BatchID, ProcessDay, ProcessWeek) as log rows."""
+    scope = {"day": "ProcessDay", "week": "ProcessWeek"}
+    checks = {**bronze_checks(**scope), **silver_checks(), **dwh_checks(**scope), **mart_checks(**scope)}
+    results = evaluate(checks.values(), tables, batches.select("BatchID", "ProcessDay", "ProcessWeek"), grain).withColumns(
+        {"DQLogID": F.concat_ws("_", "BatchID", "CheckID"), "ETLTime": F.current_timestamp()}
+    )
+    return conform(results, AUDIT["data_quality_log"])
+
+
+def process_day_checks() -> list[Check]:
+    """The five checks that a batch holds only rows of its own day or week, over the column that says
+    for which day or week a row was delivered."""
+    scope = {"day": "ProcessDay", "week": "ProcessWeek"}
+    raw, mart = bronze_checks(**scope), mart_checks(**scope)
+    return [raw["qb11"], raw["qb12"], raw["qb13"], mart["qm5"], mart["qm6"]]
+
+
 def detail_report(dq_log: DataFrame, layer: str) -> DataFrame:
     """Checks of a layer, failures first."""
     return dq_log.filter(F.col("LayerName") == layer).orderBy(status_order(), "TableName", "CheckName")

@@ -7,19 +7,30 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tillworks.functions.rowops import record_hash, total_discount
+from tillworks.functions.rowops import batch_id, record_hash, total_discount
 from tillworks.operators import merge
 from tillworks.operators.checks import References, evaluate
+from tillworks.operators.constraints import split
 from tillworks.operators.dedup import latest_by_key, latest_copy
 from tillworks.operators.reconcile import counts, side_by_side
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
-from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, all_checks, dimension_source, lake_of, running_batches
+from tillworks.plans.lake import (
+    GRAIN,
+    PROCESS_DATE,
+    SNAPSHOT,
+    Lake,
+    all_checks,
+    dimension_source,
+    lake_of,
+    running_batches,
+)
 from tillworks.plans.tiles import TILES, tile
 from tillworks.schema import (
     BRONZE_TABLE,
     CONTROL,
     DIMENSION_COLUMNS,
     NATURAL_KEY,
+    SCHEMAS,
     SOURCES,
     SURROGATE_KEY,
     conform,
@@ -271,6 +282,57 @@ def m9_unknown_member(lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# --- declared schemas -------------------------------------------------------------------------
+# Required columns blanked by a condition on the row; only these layers declare required columns.
+_BLANKED = {
+    "silver": {
+        "transaction_clean": {"basket_id": "trans_time % 97 = 0", "day_no": "trans_time % 89 = 0", "product_id": "trans_time % 83 = 0"},
+        "coupon_redemption_clean": {"household_key": "campaign_id = 5", "coupon_upc": "campaign_id = 7"},
+        "product_clean": {"product_id": "product_id % 97 = 0"},
+        "household_demographic_clean": {"household_key": "household_key % 97 = 0"},
+        "campaign_clean": {"campaign_id": "campaign_id = 5"},
+        "campaign_target_clean": {"household_key": "household_key % 97 = 0", "campaign_id": "campaign_id = 5"},
+        "coupon_product_clean": {"coupon_upc": "campaign_id = 5", "product_id": "campaign_id = 7"},
+        "promotion_weekly_clean": {"product_id": "week_no % 11 = 0", "store_id": "product_id % 97 = 0", "week_no": "week_no % 7 = 0"},
+    },
+    "audit": {
+        "etl_table_load_log": {"LoadStatus": "LayerName = 'DM'", "TargetTableName": "LayerName = 'DM'"},
+        "data_quality_log": {"SeverityLevel": "LayerName = 'BRONZE'"},
+    },
+    "control": {"etl_batch_control": {"BatchStatus": "ProcessDay % 97 = 0"}},
+}
+
+
+def _constraint_report(layer: str) -> Query:
+    """Rows per broken rule of the declared schemas, and the valid rows, after blanking."""
+
+    def of_table(lake: Lake, name: str) -> DataFrame:
+        lost = {c: F.when(F.expr(on), F.lit(None)).otherwise(F.col(c)) for c, on in _BLANKED[layer][name].items()}
+        rows = split(lake[f"{layer}.{name}"].withColumns(lost), SCHEMAS[f"{layer}.{name}"])
+        return rows.select(F.lit(name).alias("TableName"), F.explode_outer("BrokenRules").alias("rule"))
+
+    def run(lake: Lake) -> DataFrame:
+        found = reduce(DataFrame.unionByName, [of_table(lake, name) for name in _BLANKED[layer]])
+        return found.groupBy("TableName", F.coalesce("rule", F.lit("valid")).alias("rule")).agg(F.count("*").alias("rows"))
+
+    return run
+
+
+for _layer in _BLANKED:
+    query("TableName rule rows", f"s12_{_layer}_constraints")(_constraint_report(_layer))
+
+
+@query("o_orderkey rules")
+def s12_types(lake: Lake) -> DataFrame:
+    """The reject side: order texts that do not fit the declared types."""
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_orderpriority", T.DecimalType(10, 0)), T.StructField("o_totalprice", T.DecimalType(9, 4))])
+    orders = lake.spark.read.parquet(f"{lake.folder}/orders.parquet").withColumn(
+        "o_orderpriority", F.when(F.col("o_orderkey") % 2 == 0, F.substring("o_orderpriority", 1, 1)).otherwise(F.col("o_orderpriority"))
+    )
+    texts = orders.select("o_orderkey", "o_orderpriority", F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("o_totalprice"))
+    return split(texts, schema).select("o_orderkey", F.array_join("BrokenRules", ", ").alias("rules")).filter("rules <> ''")
+
+
 # --- row transforms ---------------------------------------------------------------------------
 @query("product_id RecordHash")
 def t1_record_hash(lake: Lake) -> DataFrame:
@@ -294,6 +356,41 @@ def t4_reject_reasons(lake: Lake) -> DataFrame:
     return silver.invalid_transactions(lake["bronze.transaction_data_raw"])
 
 
+def _delivered(lake: Lake, table: str, key: str) -> DataFrame:
+    """Bronze rows as delivered for one batch per day, some a day late: `ProcessDay` is the delivery's."""
+    late = (F.pmod(F.coalesce(F.col(key), F.lit(1)).cast("bigint"), F.lit(97)) == 0).cast("int")
+    rows = lake[f"bronze.{table}"].withColumn("ProcessDay", (F.col("day_no") + late).cast("decimal(10,0)"))
+    return rows.withColumn("BatchID", batch_id(F.col("ProcessDay"))).drop("ProcessDay")
+
+
+def _with_control_day(lake: Lake, rows: DataFrame) -> DataFrame:
+    """The day that a row's batch is for comes from the batch's control row."""
+    return rows.join(running_batches(lake).select("BatchID", "ProcessDay"), "BatchID")
+
+
+def _reasons(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("BatchID", "RejectReason").agg(F.count("*").alias("rows"))
+
+
+@query("BatchID RejectReason rows")
+def t4_reject_reasons_by_batch(lake: Lake) -> DataFrame:
+    """All eight codes: rows of another day by late delivery, and values lost on the way by sale time."""
+    rows = _delivered(lake, "transaction_data_raw", "product_id")
+    lost = F.col("trans_time") % 101
+    damaged = {"product_id": 1, "day_no": 2, "quantity": 3, "sales_value": 4}
+    rows = rows.withColumns({c: F.when(lost == i, F.lit(None)).otherwise(F.col(c)) for c, i in damaged.items()})
+    return _reasons(silver.invalid_transactions(_with_control_day(lake, rows), F.col("ProcessDay")))
+
+
+@query("BatchID RejectReason rows")
+def t6_reject_reasons_by_batch(lake: Lake) -> DataFrame:
+    """All four codes, as for transactions."""
+    rows = _delivered(lake, "coupon_redemption_raw", "household_key")
+    damaged = {"day_no": 5, "coupon_upc": 11}
+    rows = rows.withColumns({c: F.when(F.col("campaign_id") == i, F.lit(None)).otherwise(F.col(c)) for c, i in damaged.items()})
+    return _reasons(silver.invalid_redemptions(_with_control_day(lake, rows), F.col("ProcessDay")))
+
+
 @query(f"{_REDEMPTION} RecordHash")
 def t5_valid_redemptions(lake: Lake) -> DataFrame:
     return silver.valid_redemptions(lake["bronze.coupon_redemption_raw"])
@@ -664,9 +761,16 @@ def a19_last_successful_day(lake: Lake) -> DataFrame:
 
 
 # --- windows ----------------------------------------------------------------------------------
-@query(f"{_TRANSACTION} RecordHash")
+@query(f"{_TRANSACTION} RecordHash ProcessDate load_hour")
 def w1_latest_by_hash(lake: Lake) -> DataFrame:
-    return t7_deduplicated_transactions(lake)
+    """Lines with an even product are loaded again an hour later, for the day before: the later load wins
+    although its process date is the earlier one."""
+    first = t3_valid_transactions(lake).withColumn("ETLTime", F.col("ProcessDate").cast("timestamp"))
+    again = first.filter(F.col("product_id") % 2 == 0).withColumns(
+        {"ProcessDate": F.date_sub("ProcessDate", 1), "ETLTime": F.col("ETLTime") + F.expr("INTERVAL 1 HOUR")}
+    )
+    latest = silver.deduplicated_transactions(first.unionByName(again))
+    return latest.withColumns({"load_hour": F.hour("ETLTime"), "ProcessDate": F.col("ProcessDate").cast("string")})
 
 
 @query("household_key campaign_id description")
@@ -928,9 +1032,28 @@ for _key, _spec in all_checks().items():
     query(_CHECK, f"{_key}_{_spec.name}")(_check(_spec.id))
 
 
+@query("BatchID CheckName CheckedRowCount PassedRowCount FailedRowCount FailureRate CheckStatus")
+def qr1_process_day_checks(lake: Lake) -> DataFrame:
+    """The day and week rules of every batch, over rows of which some are delivered a day or week late."""
+
+    def late(table: str, own: str, key: str) -> DataFrame:
+        shift = (F.pmod(F.coalesce(F.col(key), F.lit(1)).cast("bigint"), F.lit(97)) == 0).cast("int")
+        return lake[table].withColumn(GRAIN[table], (F.col(own) + shift).cast("decimal(10,0)"))
+
+    tables = {
+        "bronze.transaction_data_raw": late("bronze.transaction_data_raw", "day_no", "product_id"),
+        "bronze.coupon_redemption_raw": late("bronze.coupon_redemption_raw", "day_no", "household_key"),
+        "bronze.causal_data_raw": late("bronze.causal_data_raw", "week_no", "product_id"),
+        "dm_marketing.dm_daily_sales": late("dm_marketing.dm_daily_sales", "DayNumber", "DayNumber"),
+        "dm_marketing.dm_promotion_performance": late("dm_marketing.dm_promotion_performance", "WeekNumber", "ProductID"),
+    }
+    batches = running_batches(lake).filter("ProcessDay IS NOT NULL").select("BatchID", "ProcessDay", "ProcessWeek")
+    return evaluate(quality.process_day_checks(), tables, batches, GRAIN)
+
+
 @query(_CHECK)
 def qr1_daily_checks(lake: Lake) -> DataFrame:
-    """Checks of the day-loaded tables, one row per check and daily batch."""
+    """All checks, one row per check and daily batch."""
     return lake["audit.data_quality_log"].filter(F.col("BatchID") != SNAPSHOT)
 
 

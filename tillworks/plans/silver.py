@@ -16,14 +16,14 @@ TRANSACTION_COLUMNS = source_columns("transaction_data")
 REDEMPTION_COLUMNS = source_columns("coupon_redempt")
 
 
-def _is_other_day(day: int | None) -> Column:
+def _is_other_day(day: Column | int | None) -> Column:
     if day is None:
         return F.lit(False)
-    return F.col("day_no") != F.lit(day).cast("decimal(10,0)")
+    return F.col("day_no") != (day if isinstance(day, Column) else F.lit(day).cast("decimal(10,0)"))
 
 
 # --- transactions ---------------------------------------------------------------------------
-def valid_transactions(bronze: DataFrame, day: int | None = None) -> DataFrame:
+def valid_transactions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
     """Rows with basket, product, day, a positive quantity and no negative value; the plain
     conjunction reaches the Parquet scan as pushed filters."""
     required = [F.col(c).isNotNull() for c in ("basket_id", "product_id", "day_no")]
@@ -31,7 +31,7 @@ def valid_transactions(bronze: DataFrame, day: int | None = None) -> DataFrame:
     return slice_of(bronze.filter(kept), "day_no", day)
 
 
-def invalid_transactions(bronze: DataFrame, day: int | None = None) -> DataFrame:
+def invalid_transactions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
     """The other rows, with the first rule that each one breaks."""
     reasons = first_match(
         [
@@ -49,10 +49,12 @@ def invalid_transactions(bronze: DataFrame, day: int | None = None) -> DataFrame
 
 
 def deduplicated_transactions(valid: DataFrame) -> DataFrame:
-    """One row per record, with the latest process date and load time of its copies. The hash covers
-    all source columns, so equal hash means equal columns; grouping by these keeps the 64-character
-    hash out of the shuffle, and two plain maxima keep the aggregate from sorting."""
-    latest = valid.groupBy(*TRANSACTION_COLUMNS).agg(*[F.max(c).alias(c) for c in ("ProcessDate", "ETLTime")])
+    """One row per record, the copy that was loaded last. The hash covers all source columns, so equal
+    hash means equal columns; grouping by these keeps the 64-character hash out of the shuffle. Date and
+    time come from one copy: max_by keeps them together, and its two fixed-size fields do not sort."""
+    latest = valid.groupBy(*TRANSACTION_COLUMNS).agg(
+        F.max_by("ProcessDate", "ETLTime").alias("ProcessDate"), F.max("ETLTime").alias("ETLTime")
+    )
     return latest.withColumn("RecordHash", record_hash(*TRANSACTION_COLUMNS))
 
 
@@ -73,12 +75,12 @@ def transaction_clean(deduplicated: DataFrame, batch: str, process_date: str) ->
 
 
 # --- coupon redemptions ---------------------------------------------------------------------
-def valid_redemptions(bronze: DataFrame, day: int | None = None) -> DataFrame:
+def valid_redemptions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
     required = [F.col(c).isNotNull() for c in ("household_key", "day_no", "coupon_upc")]
     return slice_of(bronze.filter(reduce(lambda a, b: a & b, required)), "day_no", day)
 
 
-def invalid_redemptions(bronze: DataFrame, day: int | None = None) -> DataFrame:
+def invalid_redemptions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
     reasons = first_match(
         [
             ("HOUSEHOLD_KEY_NULL", F.col("household_key").isNull()),
