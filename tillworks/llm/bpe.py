@@ -116,7 +116,8 @@ class Coder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _contract(self, words: list[bytes], query: str) -> list[np.ndarray]:
+    def _contract(self, words: list[bytes], query: str) -> list[bytes]:
+        """The ids of every word as little-endian 32-bit integers."""
         if not words:
             return []
         sizes = np.array([len(w) for w in words])
@@ -126,17 +127,18 @@ class Coder:
         self.db.register("start", pa.table({"g": (word << 32) + place, "tok": tokens}))
         found = self.db.sql(query + _LAST).to_arrow_table()
         self.db.unregister("start")
-        cuts = np.searchsorted(found["word"].to_numpy(), np.arange(1, len(words)))
-        return np.split(found["tok"].to_numpy().astype("<u4"), cuts)
+        ends = np.searchsorted(found["word"].to_numpy(), np.arange(len(words)), "right") * 4
+        ids, ends = found["tok"].to_numpy().astype("<u4").tobytes(), ends.tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     @cached_property
     def closed(self) -> bool:
         """Every entry encodes to itself."""
         ids = list(self.pieces)
         found = self._contract([self.pieces[i] for i in ids], _LEFTMOST)
-        return all(len(f) == 1 and f[0] == i for i, f in zip(ids, found, strict=True))
+        return all(f == i.to_bytes(4, "little") for i, f in zip(ids, found, strict=True))
 
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of every word (not empty)."""
         if all(len(w) <= PART for w in words):
             return self._contract(words, _LEFTMOST)
@@ -145,16 +147,16 @@ class Coder:
         parts = [_parts(w) for w in words]
         flat = [p for found in parts for p in found]
         ids = iter(self._in_blocks(flat))
-        coded = [[next(ids) for _ in found] for found in parts]
+        coded = [[np.frombuffer(next(ids), "<u4") for _ in found] for found in parts]
         while any(len(c) > 1 for c in coded):
             pairs = [(w, at) for w, c in enumerate(coded) for at in range(0, len(c) - 1, 2)]
             joined = iter(self._joined([tuple(coded[w][at : at + 2]) for w, at in pairs]))
             coded = [[next(joined) if at + 1 < len(c) else c[at] for at in range(0, len(c), 2)] for c in coded]
-        return [c[0] for c in coded]
+        return [c[0].tobytes() for c in coded]
 
-    def _in_blocks(self, words: list[bytes]) -> list[np.ndarray]:
+    def _in_blocks(self, words: list[bytes]) -> list[bytes]:
         """Words in blocks of bounded bytes; those longer than two parts by whole rounds."""
-        out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(words)
+        out = [b""] * len(words)
         for query, chosen in (
             (_LEFTMOST, [i for i, w in enumerate(words) if len(w) <= 2 * PART]),
             (_EVERY, [i for i, w in enumerate(words) if len(w) > 2 * PART]),
@@ -178,8 +180,8 @@ class Coder:
             windows = [np.concatenate([pairs[i][0][-size:], pairs[i][1][:size]]) for i in left]
             raw = [b"".join(map(self.pieces.__getitem__, w.tolist())) for w in windows]
             failed = []
-            for i, window, new in zip(left, windows, self._in_blocks(raw), strict=True):
-                a, b = pairs[i]
+            for i, window, ids in zip(left, windows, self._in_blocks(raw), strict=True):
+                (a, b), new = pairs[i], np.frombuffer(ids, "<u4")
                 if (len(a) > size and new[0] != window[0]) or (len(b) > size and new[-1] != window[-1]):
                     failed.append(i)
                 else:
@@ -192,19 +194,19 @@ class Coder:
         it becomes the older, so that frequent words stay."""
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
-        new = [w for w in words if w not in self.known]
-        again = [w for w in new if w in self.older]
+        new = words.difference(self.known)
+        again = new.intersection(self.older)
         self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
-        new = [w for w in new if w not in self.known]
+        new = list(new - again)
         raw = [w.encode() for w in new]
-        short = [i for i, r in enumerate(raw) if len(r) <= PART]
-        for i, ids in zip(short, self.encode_words([raw[i] for i in short]), strict=True):
-            self.known[new[i]] = ids.tobytes()
-        if len(short) == len(new):
+        if all(len(r) <= PART for r in raw):
+            self.known.update(zip(new, self.encode_words(raw), strict=True))
             return self.known
-        long = [i for i, r in enumerate(raw) if len(r) > PART]
-        found = dict(zip([new[i] for i in long], (ids.tobytes() for ids in self.encode_words([raw[i] for i in long])), strict=True))
-        return self.known | found
+        short, long = [], []
+        for word, r in zip(new, raw, strict=True):
+            (short if len(r) <= PART else long).append((word, r))
+        self.known.update(zip([w for w, _ in short], self.encode_words([r for _, r in short]), strict=True))
+        return self.known | dict(zip([w for w, _ in long], self.encode_words([r for _, r in long]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as little-endian 32-bit integers."""
