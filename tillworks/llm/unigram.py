@@ -19,6 +19,7 @@ UNIT = 1024  # scores are whole multiples of 1/UNIT
 _NORMAL, _USER, _UNUSED, _BYTE = 1, 4, 5, 6  # piece types of the file format
 _UNK_PENALTY = 10  # the tokenizer's: below the smallest score
 SPACE = "▁"
+_MARKS = ".,;:!?"
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -57,6 +58,47 @@ def _number(value: int) -> bytes:
     return bytes([*out, value])
 
 
+class Trie:
+    """Pieces as a trie in flat arrays, walked from all positions of a text at once."""
+
+    def __init__(self, pieces: dict[str, int]):
+        child: dict[tuple[int, str], int] = {}
+        piece = [-1]
+        for text, i in pieces.items():
+            node = 0
+            for c in text:
+                node = child.setdefault((node, c), len(piece))
+                if node == len(piece):
+                    piece.append(-1)
+            piece[node] = i
+        keys = np.array([node << 21 | ord(c) for node, c in child], "i8")
+        order = np.argsort(keys)
+        self.keys, self.children = keys[order], np.array(list(child.values()), "i4")[order]
+        self.piece = np.array(piece, "i4")
+
+    def matches(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of all pieces in the text, short ones first."""
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype("i8")
+        at, node = np.arange(len(codes)), np.zeros(len(codes), "i8")
+        starts, ends, pieces = [], [], []
+        depth = 0
+        while len(at):
+            wanted = node << 21 | codes[at + depth]
+            found = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            there = self.keys[found] == wanted
+            depth += 1
+            at, node = at[there], self.children[found[there]].astype("i8")
+            piece = self.piece[node]
+            whole = piece >= 0
+            starts.append(at[whole])
+            ends.append(at[whole] + depth)
+            pieces.append(piece[whole])
+            more = at + depth < len(codes)
+            at, node = at[more], node[more]
+        none = np.zeros(0, "i8")
+        return np.concatenate([none, *starts]), np.concatenate([none, *ends]), np.concatenate([none, *pieces]).astype("i8")
+
+
 class Vocabulary:
     """Pieces by id, their scores in 1/UNIT, and the automaton that finds them."""
 
@@ -107,6 +149,15 @@ class Vocabulary:
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("pieces that go on after a blank can't be cut there")
         alone = "".join(re.escape(c) for c in "\n\t\r" if c not in held)
+        real = [p for p, b in zip(self.pieces, self.bytes_of, strict=True) if b and p.encode() == b]
+        self.trie = Trie({p: i for i, p in enumerate(self.pieces) if self.bytes_of[i] and p.encode() == self.bytes_of[i]})
+        # a mark goes on the piece before it only after these characters; after others the text is cut
+        before = {p[i - 1] for p in real for i in range(1, len(p)) if p[i] in _MARKS} | {SPACE, *_MARKS}
+        marks, joined = re.escape(_MARKS), "".join(map(re.escape, sorted(before)))
+        self.parts = re.compile(
+            f"{SPACE}*[^{SPACE}{alone}{marks}]+(?:(?<=[{joined}])[{marks}][^{SPACE}{alone}]*)?|{SPACE}*[{marks}][^{SPACE}{alone}]*|{SPACE}+"
+            + (f"|[{alone}]" if alone else "")
+        )
         # blanks only begin pieces, and characters of no piece stand alone: segments share no piece
         self.segments = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else ""))
 
@@ -114,6 +165,10 @@ class Vocabulary:
         """The segments of a text after the tokenizer's normalisation: a blank in front, blanks as SPACE."""
         return self.segments.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def cut_finely(self, text: str) -> list[str]:
+        """As `cut`, and before marks that follow a character which no piece joins to a mark."""
+        return self.parts.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
     def edges(self, segment: str) -> list[list[tuple[int, int, int]]]:
         """For each end position, (start, id, score) of the pieces that end there, longest first;
         a character that is no piece of its own gives an unknown edge, the last."""
