@@ -32,10 +32,14 @@ def spare(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def bounded_sample(docs: DataFrame, rows: int) -> list[str]:
-    """The texts of at most `rows` documents, those with the smallest hashed ids: for fitting a
-    dictionary only. Ids are picked first, so that no other text leaves the executors."""
+def bounded_sample(docs: DataFrame, rows: int, size: int) -> list[str]:
+    """Pieces of the texts of at most `rows` documents, those with the smallest hashed ids, each of at
+    most `size` characters from an offset that the id's hash gives: for fitting a dictionary only. Ids
+    are picked first and pieces cut in the executors, so rows * size characters come to the driver."""
     ids = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     picked = [r[0] for r in ids.collect()]
-    found = docs.filter(F.col("doc_id").isin(picked)).select("doc_id", text_of().alias("t")).filter(F.length("t") > 0)
-    return [r["t"] for r in found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("t")).limit(rows).collect()]
+    text = text_of()
+    offset = F.pmod(F.xxhash64("doc_id", F.lit("offset")), F.greatest(F.length(text) - size + 1, F.lit(1))).cast("int") + 1
+    found = docs.filter(F.col("doc_id").isin(picked)).select("doc_id", F.substring(text, offset, F.lit(size)).alias("t"))
+    found = found.filter(F.length("t") > 0).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("t"))
+    return [r["t"] for r in found.limit(rows).collect()]

@@ -41,14 +41,15 @@ _INNER = re.compile(r"[0-9]|[A-Za-z][^A-Za-z0-9]+[A-Za-z]")
 _ASSIGNED = re.compile(r"[A-Za-z0-9_]*=+")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
 #: A private key's block, to its end line or as far as lines (or their escapes in JSON) look like one.
-_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:[A-Za-z0-9+/=:,.\s\\-]*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----|[A-Za-z0-9+/=\s\\]*)")
+#: No body goes past five dashes, so blocks that never end take linear time.
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:(?:[A-Za-z0-9+/=:,.\s\\]+|-(?!----))*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----|[A-Za-z0-9+/=\s\\]*)")
 _PEM_LINE = re.compile(r"-----[A-Z0-9 ]+-----|\\[nr]|\s+")
 _AROUND = 200  # characters of the surroundings, on either side
 _PIECE = 64  # characters judged at once: in longer ones zstandard fits its codes to the piece
 _SHORT = 12  # below that many characters a candidate needs more kinds
 NOVELTY = 0.92  # compressed bytes for each character; words and identifiers need less than 0.85
 LEAST_KINDS = 2  # of lower-case, upper-case letters and digits
-#: The dictionary's only: the sample of documents, and of each its first characters and lines.
+#: The dictionary's only: the sample of documents, and of each so many characters from a hashed offset.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES = 512, 4_000, 32_768
 
 
@@ -57,7 +58,7 @@ def identifier_dictionary(texts: list[str]) -> bytes:
     words and identifiers become cheap, so only what is neither stays incompressible."""
     names = sorted({*dir(builtins), *sys.stdlib_module_names, *keyword.kwlist, *dir(str), *dir(dict)})
     code = [" ".join(names[at : at + 8]).encode() for at in range(0, len(names), 8)]
-    texts = [_PEM.sub("", t[:SAMPLE_CHARACTERS]) for t in texts]
+    texts = [_PEM.sub("", t) for t in texts]
     # what looks like a secret and is in one text only is no identifier of the corpus
     once = Counter(w for t in texts for w in {m[0] for m in _CANDIDATE.finditer(t) if _mixed(m[0])})
     texts = [_CANDIDATE.sub(lambda m: "" if once.get(m[0]) == 1 else m[0], t) for t in texts]
@@ -173,6 +174,6 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     novelty's. Null or empty text has none: the digest is that of the empty string. Repeated rows
     are judged alike; an empty table gives an empty result."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dictionary = identifier_dictionary(bounded_sample(docs, SAMPLE_DOCUMENTS))
+    dictionary = identifier_dictionary(bounded_sample(docs, SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS))
     rows = docs.select("doc_id", text_of().alias("t"))
     return rows.mapInArrow(_scan(dictionary), f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

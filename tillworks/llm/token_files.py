@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillworks.llm.common import bounded_sample, text_of
 from tillworks.session import materialise, scratch_path
@@ -28,10 +28,11 @@ from tillworks.session import materialise, scratch_path
 MAGIC = b"TWIDS\0\1\0"
 END_ID = 0
 #: The dictionary's only: size, and the sample it is trained on.
-DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_BYTES = 65_536, 512, 8_192
+DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 65_536, 512, 6_000
 FILE_BYTES = 32 << 20  # a file is closed after the document that passes this
-_CACHE = 180_000  # segments whose ids a worker remembers, twice
+_CACHE = 300_000  # segments whose ids a worker remembers, twice
 _LINED = 200  # new segments of one text
+_MARKS = ".,;:!?"
 #: White space as in the tokenizer's own pattern.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Cuts where the pattern always cuts too: before the last blank of a run, around other white space.
@@ -42,18 +43,36 @@ _IS_WHITE = re.compile(f"[{_WHITE}]")
 class Encoder:
     """Ids of texts as little-endian bytes. Segments that the tokenizer never joins are encoded by
     the tokenizers library and remembered in two generations; when the younger is full it becomes
-    the older, so frequent segments stay. A text is the concatenation of its segments."""
+    the older, so frequent segments stay. A text is the concatenation of its segments; a text with a
+    special token's string goes through the library in whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # the library cuts these out before anything else, so that white space beside them ends a text
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         (self.line_end,) = self.tokenizer.encode("\n").ids
 
     def _learn(self, new: list[str]) -> None:
+        """Ids of new segments. A mark after a letter or digit begins a piece of its own, so a segment
+        that ends in marks is its stem and the marks, which are often known."""
+        ended = [(s, s.rstrip(_MARKS)) for s in new if s[-1] in _MARKS]
+        ended = [(s, stem) for s, stem in ended if stem[-1:].isalnum()]
+        if ended:
+            parts = {p for s, stem in ended for p in (stem, s[len(stem) :])}
+            plain = set(new).difference(s for s, _ in ended)
+            again = [s for s in parts if s not in self.known and s in self.older]
+            self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+            self._encode(list(plain | {p for p in parts if p not in self.known}))
+            self.known.update((s, self.known[stem] + self.known[s[len(stem) :]]) for s, stem in ended)
+        else:
+            self._encode(new)
+
+    def _encode(self, new: list[str]) -> None:
         # A line end between words is a token by itself, so one text can hold many segments.
         white = {s for s in new if _IS_WHITE.match(s[-1])}
         lined = [s for s in new if s not in white]
@@ -72,13 +91,17 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
-        segments = [_SEGMENTS.findall(t) for t in texts]
+        special = [self.added is not None and self.added.search(t) is not None for t in texts]
+        segments = [[] if s else _SEGMENTS.findall(t) for t, s in zip(texts, special, strict=True)]
         missing = set().union(*segments).difference(self.known)
         again = [s for s in missing if s in self.older]
         self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
         self._learn(list(missing.difference(again)))
         known = self.known.__getitem__
-        return [b"".join(map(known, found)) for found in segments]
+        return [
+            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if s else b"".join(map(known, found))
+            for t, s, found in zip(texts, special, segments, strict=True)
+        ]
 
 
 @lru_cache(1)
@@ -89,7 +112,7 @@ def encoder(path: str) -> Encoder:
 
 def train_dictionary(samples: list[bytes]) -> bytes:
     """The shared dictionary; without enough samples to train on, their plain content."""
-    samples = [s[:SAMPLE_BYTES] for s in samples if s]
+    samples = [s for s in samples if s]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -164,7 +187,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str) -> DataFrame:
     ids in any order); return the file list: part, number, name, n_ids, doc_ids, base (ids before).
 
     Null text counts as empty: its frame holds the end id only. An empty table writes no file."""
-    dictionary = train_dictionary(Encoder(tokenizer_path).encode(bounded_sample(docs, SAMPLE_DOCUMENTS)))
+    dictionary = train_dictionary(Encoder(tokenizer_path).encode(bounded_sample(docs, SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS)))
     _put(folder, f"{hashlib.sha256(dictionary).hexdigest()}.zdict", [dictionary])
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("i"), text_of().alias("t"))
@@ -174,12 +197,15 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str) -> DataFrame:
     )
     schema = "part int, number int, name string, n_ids long, doc_ids array<long>"
     files = materialise(ordered.mapInArrow(_writer(folder, tokenizer_path, dictionary), schema), "id-files")
-    before, bases = 0, []
-    # one row a file passes through the driver
-    for part, number, n in sorted(tuple(r) for r in files.select("part", "number", "n_ids").collect()):
-        bases.append((part, number, before))
+    # what stands before each partition: one row a shuffle partition passes through the driver
+    before, starts = 0, []
+    for part, n in sorted(tuple(r) for r in files.groupBy("part").agg(F.sum("n_ids")).collect()):
+        starts.append((part, before))
         before += n
-    return files.join(files.sparkSession.createDataFrame(bases, "part int, number int, base long"), ["part", "number"])
+    inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("part", "number", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("inside"))
+    found = files.join(offsets, ["part", "number"]).join(files.sparkSession.createDataFrame(starts, "part int, start long"), "part")
+    return found.withColumn("base", F.col("start") + F.col("inside")).drop("start", "inside")
 
 
 class IdFile:
@@ -231,8 +257,11 @@ def _reader(folder: str) -> Callable:
 
 
 def read_digests(files: DataFrame, folder: str) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens (with the end id), ids_crc32."""
-    listed = files.select("name", "base", "doc_ids").repartition("name")
+    """Per document, from the files: doc_id, start, n_tokens (with the end id), ids_crc32. A task for
+    each file, while there are no more than a few tasks a core: the list of files is short, so its own
+    size must not decide."""
+    tasks = min(files.count(), 16 * files.sparkSession.sparkContext.defaultParallelism)
+    listed = files.select("name", "base", "doc_ids").repartition(max(tasks, 1))
     return listed.mapInArrow(_reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
