@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -27,6 +28,7 @@ from tillworks.llm import (
     token_count,
     token_files,
 )
+from tillworks.llm.common import bounded_sample
 from tillworks.llm.queries import BYTE_BPE, PIECES, QUERIES
 from tillworks.session import scratch_path
 
@@ -387,6 +389,50 @@ def test_segmentations_of_a_table(spark):
     assert {r["doc_id"]: r["text"] for r in decoded.collect()} == given
 
 
+def test_long_segments_and_forgotten_lattices_change_nothing(monkeypatch):
+    """Plain steps, vector steps, a full cache and other batches give the same segmentations."""
+    draw = random.Random(8)
+    made = ["".join(draw.choice("abeht,.é日 ▁\nin!") for _ in range(draw.randint(0, 200))) for _ in range(40)]
+    keys = [str(i) for i in range(len(made))]
+
+    def plain(found):
+        return [[(tuple(ids.tolist()), round(lp, 6), round(g, 6), round(inc, 6)) for ids, lp, g, inc in f] for f in found]
+
+    whole = plain(segmentation.Sampler(PIECES, 3, 1.0, 1).sample(keys, made))
+    monkeypatch.setattr(segmentation, "_NEW", 20)
+    monkeypatch.setattr(segmentation, "_CACHE_BYTES", 1)
+    sampler = segmentation.Sampler(PIECES, 3, 1.0, 1)
+    assert [plain(sampler.sample([k], [t]))[0] for k, t in zip(keys, made, strict=True)] == whole
+    monkeypatch.setattr(segmentation, "_LONG", 2)
+    assert plain(segmentation.Sampler(PIECES, 3, 1.0, 1).sample(keys, made)) == whole
+
+
+def test_a_long_text_without_blanks():
+    draw = random.Random(9)
+    text = "".join(draw.choice("ABCDEFabcdefghij0123456789") for _ in range(50_000))
+    sampler = segmentation.Sampler(PIECES, 2, 1.0, 42)
+    (found,) = sampler.sample(["k"], [text])
+    assert len(found) == 2
+    assert all(sampler.vocabulary.decode(ids.tolist()) == text for ids, *_ in found)
+
+
+def test_matches_and_finer_cuts():
+    vocabulary = segmentation.Vocabulary(PIECES)
+    draw = random.Random(10)
+    made = ["".join(draw.choice("abeht,.;:!?'²é日 ▁\n\ting0") for _ in range(draw.randint(0, 60))) for _ in range(2_000)]
+    for text in made[:200]:
+        found = sorted((e, p) for _, e, p in zip(*map(np.ndarray.tolist, vocabulary.trie.matches(text)), strict=True))
+        assert found == sorted((last + 1, p) for last, p in vocabulary.ids.iter(text))
+    for text in made:
+        whole, cut, at, ends = "".join(vocabulary.cut(text)), vocabulary.cut_finely(text), 0, set()
+        assert "".join(cut) == whole
+        for part in cut:
+            at += len(part)
+            ends.add(at)
+        crossed = {b for last, p in vocabulary.ids.iter(whole) for b in range(last + 2 - len(vocabulary.pieces[p]), last + 1)}
+        assert not crossed & ends
+
+
 # 7 ---------------------------------------------------------------------------------------------
 
 
@@ -464,7 +510,6 @@ def test_components_of_a_chain(spark):
 
 def test_ids_are_the_library_s_and_come_back(spark):
     library = Tokenizer.from_file(BYTE_BPE)
-    library.encode_special_tokens = True
     rows = token_files.token_id_digests(documents(spark), BYTE_BPE).orderBy("doc_id").collect()
     before = 0
     for row, (i, text) in zip(rows, sorted(texts(documents(spark))), strict=True):
@@ -475,13 +520,13 @@ def test_ids_are_the_library_s_and_come_back(spark):
 
 def test_segments_join_like_the_whole_text():
     library = Tokenizer.from_file(BYTE_BPE)
-    library.encode_special_tokens = True
     encoder = token_files.Encoder(BYTE_BPE)
     draw = random.Random(1)
     parts = [*"ab Z9  \n\n\t\r\x1c\x1f\x0b\x0c\x85\xa0   　​'sdé日!.,_́😀", "'ll", "<|endoftext|>"]
     made = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 40))) for _ in range(5_000)]
     whole = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(made, add_special_tokens=False)]
     assert encoder.encode(made) == whole
+    assert encoder.encode(["a <|endoftext|> b"]) == [np.array([64, 220, 50256, 275], "<u4").tobytes()]
 
 
 def test_one_document_of_a_file(spark, monkeypatch):
@@ -601,5 +646,20 @@ def test_novel_strings_of_every_form():
 # -----------------------------------------------------------------------------------------------
 
 
+def test_key_blocks_that_never_end_take_linear_time():
+    text = "-----BEGIN RSA PRIVATE KEY-----\nMIIB\n" * 20_000
+    start = time.process_time()
+    assert sum(1 for _ in secret_scan._PEM.finditer(text)) == 20_000
+    assert time.process_time() - start < 2
+
+
+def test_samples_are_pieces_of_whole_texts(spark):
+    rows = [(i, f"{i:04d}" * 500) for i in range(20)] + [(30, "short"), (31, None), (None, "x" * 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = bounded_sample(docs, 50, 40)
+    assert len(found) == 21 and max(map(len, found)) == 40
+    assert len({rows[i][1].find(t) for i in range(20) for t in found if t in rows[i][1]}) > 1
+
+
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
