@@ -100,6 +100,8 @@ def test_type_1_merge(spark):
     again = merge.merge_dimension(read_latest(spark, path, DIMENSIONS["dim_day"]), source, "dim_day", "B3")
     columns = ["DayKey", "DayNumber", "WeekNumber", "SourceBatchID", "RecordHash"]
     assert sorted(again.select(columns).collect()) == sorted(merged.select(columns).collect())
+    unchanged = read_latest(spark, path, DIMENSIONS["dim_day"])
+    assert merge.merge_dimension(unchanged, source, "dim_day", "B4") is unchanged
 
 
 def test_merge_refuses_repeated_natural_keys(spark):
@@ -112,7 +114,8 @@ def test_replace_by_batch(spark):
     rows = spark.range(5).withColumn("b", F.lit("x"))
     for batch, df in (("A", rows), ("B", rows), ("A", rows.limit(2))):
         merge.replace_by_batch(df, path, {"b": batch})
-    table = lambda: {r["b"]: r["count"] for r in spark.read.parquet(path).groupBy("b").count().collect()}
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("b", T.StringType())])
+    table = lambda: {r["b"]: r["count"] for r in merge.read_batches(spark, path, schema).groupBy("b").count().collect()}
     assert table() == {"A": 2, "B": 5}
     merge.replace_by_batch(rows.filter("id < 0"), path, {"b": "A"})
     assert table() == {"B": 5}

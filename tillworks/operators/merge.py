@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillworks.operators.numbering import global_row_number
+from tillworks.operators.versions import read_partitions, write_next
 from tillworks.schema import (
     DIMENSION_COLUMNS,
     DIMENSIONS,
@@ -15,28 +16,23 @@ from tillworks.schema import (
     UNKNOWN_TEXT,
     conform,
 )
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+from tillworks.session import materialise
 
 
 def replace_by_batch(df: DataFrame, path: str, batch: dict[str, str]) -> None:
-    """Delete one batch's rows and insert `df`: an overwrite of the batch's own partition folder.
+    """Delete one batch's rows and insert `df`, as one switch: the rows are written beside the old ones,
+    and count from the moment that the job has committed.
 
     `batch` maps the partition columns to this batch's values. Other batches are not touched, a
     rerun gives the same table, and an empty `df` leaves the batch empty."""
-    folder = path + "".join(f"/{column}={value}" for column, value in batch.items())
-    df.drop(*batch).write.mode("overwrite").parquet(folder)
+    write_next(df.drop(*batch), path + "".join(f"/{column}={value}" for column, value in batch.items()))
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written by `replace_by_batch`, with its declared schema; empty if not yet written."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return conform(spark.read.schema(schema).parquet(path), schema)
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, partition_columns: int = 1) -> DataFrame:
+    """A table written by `replace_by_batch`, with its declared schema; empty if not yet written. A filter
+    on the batch reads its folder only."""
+    found = read_partitions(spark, path, partition_columns)
+    return spark.createDataFrame([], schema) if found is None else conform(found, schema)
 
 
 def only_when_running(df: DataFrame, control: DataFrame, batch: str) -> DataFrame:
@@ -95,61 +91,70 @@ def seed_unknown(current: DataFrame, dimension: str) -> DataFrame:
 
 
 def _one_per_key(source: DataFrame, dimension: str) -> DataFrame:
-    """Fail the job if a natural key occurs twice, as a MERGE with two matching rows would."""
+    """Fail the job if a natural key occurs twice, as a MERGE with two matching rows would. A grouped
+    count, combined before the shuffle, in place of a window over each key's rows."""
     natural = NATURAL_KEY[dimension]
-    copies = F.count("*").over(Window.partitionBy(natural))
-    message = F.lit(f"{dimension}: several source rows for one {natural}")
-    checked = F.when(copies > 1, F.raise_error(message).cast(source.schema[natural].dataType))
-    return source.withColumn(natural, checked.otherwise(F.col(natural)))
+    others = [c for c in source.columns if c != natural]
+    message = F.raise_error(F.lit(f"{dimension}: several source rows for one {natural}"))
+    grouped = source.groupBy(natural).agg(F.count("*").alias("_copies"), *[F.first(c).alias(c) for c in others])
+    checked = F.when(F.col("_copies") > 1, message.cast(source.schema[natural].dataType)).otherwise(F.col(natural))
+    return grouped.select(checked.alias(natural), *others)
+
+
+_SAME, _CHANGED, _NEW = "same", "changed", "new"
 
 
 def merge_dimension(current: DataFrame | None, source: DataFrame, dimension: str, batch: str) -> DataFrame:
     """Type-1 merge: unchanged rows stay, changed rows take the new attributes, new members get
     the next keys in natural-key order, members absent from the source are kept. A dimension that
-    does not exist yet (None) starts from its unknown member.
+    does not exist yet (None) starts from its unknown member; one that the source does not change is
+    returned as it is (the same DataFrame), so that no new version need be written.
 
-    `source` has the dimension's attributes and RecordHash, one row per natural key."""
+    `source` has the dimension's attributes and RecordHash, one row per natural key. It is read once: one
+    full outer join, written with what becomes of each row."""
     key, natural = SURROGATE_KEY[dimension], NATURAL_KEY[dimension]
     attributes = list(DIMENSION_COLUMNS[dimension])
     schema = DIMENSIONS[dimension]
-    source = _one_per_key(source.select(*attributes, "RecordHash"), dimension)
-
-    def stamped(new: DataFrame, highest: int) -> DataFrame:
-        rows = global_row_number(new, natural, name="_n").withColumns(
-            {
-                key: F.col("_n") + highest,
-                "IsCurrent": F.lit(True),
-                "SourceBatchID": F.lit(batch),
-                "CreatedAt": F.current_timestamp(),
-                "UpdatedAt": F.current_timestamp(),
-            }
-        )
-        return conform(rows, schema)
-
-    if current is None:
-        return unknown_member(source.sparkSession, dimension).unionByName(stamped(source, 0))
-
-    members = current.filter(F.col(key) != UNKNOWN_KEY)
-    incoming = source.select(
+    incoming = _one_per_key(source.select(*attributes, "RecordHash"), dimension).select(
         F.col(natural).alias("_nk"),
-        *[F.col(a).alias(f"_{a}") for a in attributes],
+        *[F.col(a).alias(f"_{a}") for a in attributes if a != natural],
         F.col("RecordHash").alias("_hash"),
     )
-    changed = F.col("_hash").isNotNull() & (F.col("RecordHash") != F.col("_hash"))
+    start = current if current is not None else unknown_member(source.sparkSession, dimension)
+    members = start.filter(F.col(key) != UNKNOWN_KEY)
+    state = F.when(F.col(key).isNull(), _NEW).when(F.col("RecordHash") != F.col("_hash"), _CHANGED).otherwise(_SAME)
+    joined = materialise(members.join(incoming, F.col(natural) == F.col("_nk"), "full").withColumn("_state", state), f"merge-{dimension}")
+    found = {r["_state"]: r for r in joined.groupBy("_state").agg(F.max(key).alias("highest")).collect()}
+    unknown = seed_unknown(start, dimension).filter(F.col(key) == UNKNOWN_KEY)
+    if current is not None and not {_CHANGED, _NEW} & found.keys() and not current.filter(F.col(key) == UNKNOWN_KEY).isEmpty():
+        return current
+
+    changed = F.col("_state") == _CHANGED
 
     def updated(column: str, new: Column) -> Column:
         return F.when(changed, new).otherwise(F.col(column)).alias(column)
 
-    kept = members.join(incoming, F.col(natural) == F.col("_nk"), "left").select(
+    kept = joined.filter(F.col("_state") != _NEW).select(
         key,
-        *[updated(a, F.col(f"_{a}")) for a in attributes],
+        natural,
+        *[updated(a, F.col(f"_{a}")) for a in attributes if a != natural],
         updated("IsCurrent", F.lit(True)),
         updated("SourceBatchID", F.lit(batch)),
         "CreatedAt",
         updated("UpdatedAt", F.current_timestamp()),
         updated("RecordHash", F.col("_hash")),
     )
-    highest = members.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    added = stamped(source.join(members, natural, "left_anti"), highest)
-    unknown = seed_unknown(current, dimension).filter(F.col(key) == UNKNOWN_KEY)
-    return conform(unknown, schema).unionByName(conform(kept, schema)).unionByName(added)
+    highest = max((r["highest"] for r in found.values() if r["highest"] is not None), default=0)
+    new = joined.filter(F.col("_state") == _NEW).select(
+        F.col("_nk").alias(natural), *[F.col(f"_{a}").alias(a) for a in attributes if a != natural], F.col("_hash").alias("RecordHash")
+    )
+    added = global_row_number(new, natural, name="_n").withColumns(
+        {
+            key: F.col("_n") + highest,
+            "IsCurrent": F.lit(True),
+            "SourceBatchID": F.lit(batch),
+            "CreatedAt": F.current_timestamp(),
+            "UpdatedAt": F.current_timestamp(),
+        }
+    )
+    return conform(unknown, schema).unionByName(conform(kept, schema)).unionByName(conform(added, schema))

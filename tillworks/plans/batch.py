@@ -1,8 +1,9 @@
-"""One daily batch, from source files to its verdict; running it again gives the same tables.
+"""One daily batch, from the landing store to its verdict; running it again gives the same tables.
 
-Tables that a batch adds to are partitioned by batch, and a rerun overwrites its own partition.
+Tables that a batch adds to are partitioned by batch, and a rerun switches its own partition to new rows.
 Dimensions and control tables are merged into a new version. Log rows are written per batch and layer: STARTED
-before the layer runs, the result after it, so a layer that dies stays visible as STARTED.
+before the layer runs, the result after it. A layer that raises is logged as failed and closes the batch as
+FAILED; a driver that dies leaves its layer STARTED, which counts as failed too.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tillworks.operators.versions import read_latest, write_next
 from tillworks.plans import bronze, control, dims, facts, marts, quality, silver
 from tillworks.schema import BRONZE_TABLE, DIMENSIONS, SCHEMAS, SOURCES, SURROGATE_KEY
 from tillworks.session import at_the_same_time
-from tillworks.sources.csvfiles import read_source, slice_of
+from tillworks.sources.landing import SLICED, landed, landed_values
 
 CONTROL_TABLE = "control.etl_batch_control"
 LOAD_LOG = "audit.etl_table_load_log"
@@ -59,7 +60,7 @@ class Warehouse:
         if self._versioned(table):
             latest = read_latest(self.spark, self.path(table), schema)
             return self.spark.createDataFrame([], schema) if latest is None else latest
-        return read_batches(self.spark, self.path(table), schema)
+        return read_batches(self.spark, self.path(table), schema, 2 if table in (LOAD_LOG, DQ_LOG) else 1)
 
     def of_batch(self, table: str, batch: Batch) -> DataFrame:
         """The batch's partition only."""
@@ -89,13 +90,16 @@ class Warehouse:
         return {name: self.read(name) for name in names}
 
 
-def next_batch(warehouse: Warehouse, source_folder: str, process_date: str, triggered_by: str = "operator") -> Batch | None:
-    """Parameters of the next batch, or None when the source has no further day."""
+class BatchFailed(RuntimeError):
+    """A layer raised; the batch is closed as FAILED."""
+
+
+def next_batch(warehouse: Warehouse, store: str, process_date: str, triggered_by: str = "operator") -> Batch | None:
+    """Parameters of the next batch, or None when the landing store has no further day. Days and weeks are
+    the store's folder names; no source row is read."""
     spark = warehouse.spark
     planned = control.next_batch(
-        read_source(spark, f"{source_folder}/transaction_data.csv", "transaction_data"),
-        read_source(spark, f"{source_folder}/causal_data.csv", "causal_data"),
-        warehouse.read(CONTROL_TABLE),
+        landed_values(spark, store, "transaction_data"), landed_values(spark, store, "causal_data"), warehouse.read(CONTROL_TABLE)
     ).first()
     if planned is None:
         return None
@@ -103,8 +107,9 @@ def next_batch(warehouse: Warehouse, source_folder: str, process_date: str, trig
     return Batch(planned["BatchID"], process_date, day, week, planned["LoadMode"], triggered_by)
 
 
-def run_batch(warehouse: Warehouse, source_folder: str, batch: Batch) -> str:
-    """Load, check and close one batch; returns its status."""
+def run_batch(warehouse: Warehouse, store: str, batch: Batch) -> str:
+    """Load one batch from the landing store, check and close it; returns its status. When a layer raises,
+    its loads are logged as FAILED with the message, the batch is closed, and BatchFailed is raised."""
     opened = control.open_batch(
         warehouse.read(CONTROL_TABLE), batch.id, batch.process_date, batch.day, batch.week, batch.mode, batch.triggered_by
     )
@@ -117,13 +122,20 @@ def run_batch(warehouse: Warehouse, source_folder: str, batch: Batch) -> str:
         "DM": quality.mart_checks,
     }
     for layer, load in (("BRONZE", _bronze), ("SILVER", _silver), ("DWH", _dwh), ("DM", _marts)):
-        _log(warehouse, batch, layer, _started(warehouse, batch, layer))
-        counts = load(warehouse, batch, source_folder) if layer == "BRONZE" else load(warehouse, batch)
-        _log(warehouse, batch, layer, _finished(warehouse, batch, counts))
-        scope = (batch.id,) if layer == "SILVER" else (batch.id, batch.day, batch.week)
-        wanted = list(checks[layer](*scope).values())
-        results = quality.run_checks(wanted, warehouse.tables(wanted), batch.id)
-        warehouse.replace(DQ_LOG, results.drop("LayerName"), batch, LayerName=layer)
+        started = _started(warehouse, batch, layer)
+        _log(warehouse, batch, layer, started)
+        try:
+            counts = load(warehouse, batch, store) if layer == "BRONZE" else load(warehouse, batch)
+            _log(warehouse, batch, layer, _finished(warehouse, batch, counts))
+            scope = (batch.id,) if layer == "SILVER" else (batch.id, batch.day, batch.week)
+            wanted = list(checks[layer](*scope).values())
+            results = quality.run_checks(wanted, warehouse.tables(wanted), batch.id)
+            warehouse.replace(DQ_LOG, results.drop("LayerName"), batch, LayerName=layer)
+        except Exception as error:
+            failed = {"LoadStatus": F.lit("FAILED"), "EndTime": F.current_timestamp(), "ErrorMessage": F.lit(str(error)[:500])}
+            _log(warehouse, batch, layer, started.withColumns(failed))
+            _close(warehouse, batch)
+            raise BatchFailed(f"{batch.id}: the {layer} layer failed") from error
     return _close(warehouse, batch)
 
 
@@ -131,13 +143,11 @@ def run_batch(warehouse: Warehouse, source_folder: str, batch: Batch) -> str:
 Loaded = dict[str, tuple[DataFrame, str, DataFrame | None]]
 
 
-def _bronze(warehouse: Warehouse, batch: Batch, source_folder: str) -> Loaded:
-    day_slices = {"transaction_data": ("day_no", batch.day), "coupon_redempt": ("day_no", batch.day), "causal_data": ("week_no", batch.week)}
+def _bronze(warehouse: Warehouse, batch: Batch, store: str) -> Loaded:
+    value_of = {"day_no": batch.day, "week_no": batch.week}
 
     def load(source: str) -> tuple[DataFrame, str, None]:
-        rows = read_source(warehouse.spark, f"{source_folder}/{source}.csv", source)
-        if source in day_slices:
-            rows = slice_of(rows, *day_slices[source])
+        rows = landed(warehouse.spark, store, source, value_of.get(SLICED.get(source)))
         table = f"bronze.{BRONZE_TABLE[source]}"
         warehouse.load(table, bronze.to_bronze(rows, source, batch.id, batch.process_date), batch)
         return rows, table, None
@@ -193,7 +203,9 @@ def _dwh(warehouse: Warehouse, batch: Batch) -> Loaded:
     def merge(name: str) -> None:
         path = warehouse.path(f"dwh.{name}")
         current = read_latest(warehouse.spark, path, DIMENSIONS[name])
-        write_next(merge_dimension(current, sources[name], name, batch.id), path)
+        merged = merge_dimension(current, sources[name], name, batch.id)
+        if merged is not current:
+            write_next(merged, path)
 
     at_the_same_time(partial(merge, name) for name in sources)
     members = warehouse.dims()
@@ -255,7 +267,9 @@ def _started(warehouse: Warehouse, batch: Batch, layer: str) -> DataFrame:
 
 
 def _finished(warehouse: Warehouse, batch: Batch, loaded: Loaded) -> DataFrame:
-    """Closed log rows of a layer, all counted in one query."""
+    """Closed log rows of a layer, all counted in one query. What was read and written is counted from the
+    footers of the files of this batch's folders, which hold even if tasks ran twice, as observed metrics
+    of the write would not; only rejected rows are looked at again."""
     rows, counted = F.count("*"), {}
     for load_id, (source, table, rejected) in loaded.items():
         counted[f"{load_id}_read"] = (source, rows)

@@ -13,6 +13,7 @@ from tillworks.operators.checks import References, evaluate
 from tillworks.operators.constraints import split
 from tillworks.operators.dedup import latest_by_key, latest_copy
 from tillworks.operators.reconcile import counts, side_by_side
+from tillworks.operators.versions import read_partitions
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
 from tillworks.plans.lake import (
     GRAIN,
@@ -172,7 +173,7 @@ def m1_replace_by_batch(lake: Lake) -> DataFrame:
     merge.replace_by_batch(raw.select(*columns), path, {"SourceBatchID": "LOADED"})
     merge.replace_by_batch(rejected, path, {"SourceBatchID": "REJECTED"})
     merge.replace_by_batch(clean.select(*columns), path, {"SourceBatchID": "LOADED"})
-    table = lake.spark.read.parquet(path)
+    table = read_partitions(lake.spark, path, 1)
     return table.groupBy("SourceBatchID").agg(
         F.count("*").alias("rows"), F.countDistinct("RecordHash").alias("distinct_rows")
     )
@@ -262,7 +263,7 @@ def m8_replace_checks(lake: Lake) -> DataFrame:
     for layer in ("DWH", "DM", "DWH"):
         rows = log.filter(F.col("LayerName") == layer)
         merge.replace_by_batch(rows, path, {"BatchID": SNAPSHOT, "LayerName": layer})
-    return lake.spark.read.parquet(path).groupBy("BatchID", "LayerName").agg(F.count("*").alias("rows"))
+    return read_partitions(lake.spark, path, 2).groupBy("BatchID", "LayerName").agg(F.count("*").alias("rows"))
 
 
 @query("dimension surrogate_key natural_key RecordHash")
