@@ -32,8 +32,8 @@ from tillworks.llm.common import text_of
 from tillworks.llm.token_files import _small_batches
 from tillworks.llm.unigram import UNIT, Vocabulary
 
-_CACHE_BYTES = 120 << 20  # of lattices and their segments, that a worker remembers
-_NEW = 150_000  # characters of new segments that are built together
+_CACHE_BYTES = 240 << 20  # of lattices and their segments, that a worker remembers
+_NEW = 250_000  # characters of new segments that are built together
 _LONG = 256  # characters
 _BATCH_BYTES = 1 << 20  # of text, drawn together
 _BETWEEN = "\uffff"
@@ -97,7 +97,7 @@ class Lattices:
         end, start = np.concatenate([end, alone]), np.concatenate([start, alone - 1])
         piece = np.concatenate([piece, np.full(len(alone), -1)])
         score = np.where(piece >= 0, self.vocabulary.score_of[piece], self.vocabulary.unknown_score) * (self.temperature / UNIT)
-        order = np.lexsort((piece < 0, start, end))
+        order = np.argsort(end, kind="stable")  # short ones first
         return end[order], start[order], piece[order], score[order]
 
     def _keep(self, segments: list[str], begin: np.ndarray, row_start, key, chance, start, piece) -> None:
@@ -122,9 +122,9 @@ class Lattices:
         row_start = np.searchsorted(end, np.arange(rows + 1))
         chance, key = np.empty(len(end)), np.empty(len(end))
         forward = np.zeros(rows)
-        depth = end - begin_of[end]
+        depth = (end - begin_of[end]).astype("u2")  # sorted by digits
         by_depth = np.argsort(depth, kind="stable")
-        cuts = np.flatnonzero(np.diff(depth[by_depth], prepend=-1))
+        cuts = np.flatnonzero(np.diff(depth[by_depth].astype("i4"), prepend=-1))
         first = len(self.row_start) - 1
         for lo, hi in zip(cuts, [*cuts[1:], len(by_depth)], strict=True):  # all rows of one position
             at = by_depth[lo:hi]
@@ -436,7 +436,6 @@ def _encode(path: str, k: int, temperature: float, seed: int) -> Callable:
             ids, ends = ids.astype("<i4"), bounds.tolist()
             each = [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
             rank = np.arange(len(of)) - np.searchsorted(of, of)
-            wanted = [t.replace("▁", " ") for t in texts]
             log_prob, perturbed, inclusion = zip(*scores, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -448,7 +447,7 @@ def _encode(path: str, k: int, temperature: float, seed: int) -> Callable:
                     pa.array(log_prob, pa.float64()),
                     pa.array(perturbed, pa.float64()),
                     pa.array(inclusion, pa.float64()),
-                    pa.array([sampler.vocabulary.decode(x.tolist()) == wanted[d] for d, x in zip(of, each, strict=True)], pa.bool_()),
+                    pa.array([sampler.vocabulary.is_text_of(x.tolist(), texts[d]) for d, x in zip(of, each, strict=True)], pa.bool_()),
                 ],
                 names=["doc_id", "rank", "ids", "n_pieces", "ids_crc32", "log_prob", "perturbed", "log_inclusion", "round_trip"],
             )

@@ -11,6 +11,7 @@ import math
 import re
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -73,30 +74,38 @@ class Trie:
             piece[node] = i
         keys = np.array([node << 21 | ord(c) for node, c in child], "i8")
         order = np.argsort(keys)
-        self.keys, self.children = keys[order], np.array(list(child.values()), "i4")[order]
-        self.piece = np.array(piece, "i4")
+        self.keys, self.children = keys[order], np.array(list(child.values()), "i8")[order]
+        self.piece = np.array(piece, "i8")
+        self.first = np.zeros(1 << 16, "i8")  # children of the root, for most characters
+        for (node, c), to in child.items():
+            if node == 0 and ord(c) < 1 << 16:
+                self.first[ord(c)] = to
 
     def matches(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, piece) of all pieces in the text, short ones first."""
         codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype("i8")
-        at, node = np.arange(len(codes)), np.zeros(len(codes), "i8")
-        starts, ends, pieces = [], [], []
-        depth = 0
+        starts, ends, pieces = [np.zeros(0, "i8")], [np.zeros(0, "i8")], [np.zeros(0, "i8")]
+        at, node, depth = np.arange(len(codes)), np.zeros(len(codes), "i8"), 0
         while len(at):
-            wanted = node << 21 | codes[at + depth]
-            found = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-            there = self.keys[found] == wanted
+            if depth == 0 and int(codes.max()) < len(self.first):
+                node = self.first[codes]
+                at = np.flatnonzero(node)
+                node = node[at]
+            else:
+                wanted = node << 21 | codes[at + depth]
+                found = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+                there = np.flatnonzero(self.keys[found] == wanted)
+                at, node = at[there], self.children[found[there]]
             depth += 1
-            at, node = at[there], self.children[found[there]].astype("i8")
             piece = self.piece[node]
-            whole = piece >= 0
+            whole = np.flatnonzero(piece >= 0)
             starts.append(at[whole])
             ends.append(at[whole] + depth)
             pieces.append(piece[whole])
-            more = at + depth < len(codes)
-            at, node = at[more], node[more]
-        none = np.zeros(0, "i8")
-        return np.concatenate([none, *starts]), np.concatenate([none, *ends]), np.concatenate([none, *pieces]).astype("i8")
+            if len(at) and at[-1] + depth >= len(codes):
+                more = np.flatnonzero(at + depth < len(codes))
+                at, node = at[more], node[more]
+        return np.concatenate(starts), np.concatenate(ends), np.concatenate(pieces)
 
 
 class Vocabulary:
@@ -110,8 +119,8 @@ class Vocabulary:
         self.bytes_of: list[bytes] = []  # what an id decodes to, blanks as SPACE
         self.byte_ids = [0] * 256
         self.unknown = 0
-        matcher, ids = ahocorasick.Automaton(), ahocorasick.Automaton()
         normal = []
+        self._found: list[int] = []  # ids of pieces that match text
         for number, _, value, _ in _fields(self.model):
             if number != 1:
                 continue
@@ -135,11 +144,7 @@ class Vocabulary:
             if kind == _NORMAL:
                 normal.append(self.scores[i])
             if kind in (_NORMAL, _USER):
-                matcher.add_word(piece, (len(piece), i))
-                ids.add_word(piece, i)
-        matcher.make_automaton()
-        ids.make_automaton()
-        self.matcher, self.ids = matcher, ids
+                self._found.append(i)
         self.sizes = np.array([len(p) for p in self.pieces], "i8")
         self.score_of = np.array(self.scores, "i8")
         self.unknown_score = min(normal) - _UNK_PENALTY * UNIT
@@ -150,7 +155,6 @@ class Vocabulary:
             raise ValueError("pieces that go on after a blank can't be cut there")
         alone = "".join(re.escape(c) for c in "\n\t\r" if c not in held)
         real = [p for p, b in zip(self.pieces, self.bytes_of, strict=True) if b and p.encode() == b]
-        self.trie = Trie({p: i for i, p in enumerate(self.pieces) if self.bytes_of[i] and p.encode() == self.bytes_of[i]})
         # a mark goes on the piece before it only after these characters; after others the text is cut
         before = {p[i - 1] for p in real for i in range(1, len(p)) if p[i] in _MARKS} | {SPACE, *_MARKS}
         marks, joined = re.escape(_MARKS), "".join(map(re.escape, sorted(before)))
@@ -161,6 +165,19 @@ class Vocabulary:
         # blanks only begin pieces, and characters of no piece stand alone: segments share no piece
         self.segments = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else ""))
 
+    @cached_property
+    def matcher(self) -> ahocorasick.Automaton:
+        """Finds pieces with their sizes and ids."""
+        found = ahocorasick.Automaton()
+        for i in self._found:
+            found.add_word(self.pieces[i], (len(self.pieces[i]), i))
+        found.make_automaton()
+        return found
+
+    @cached_property
+    def trie(self) -> Trie:
+        return Trie({self.pieces[i]: i for i in self._found})
+
     def cut(self, text: str) -> list[str]:
         """The segments of a text after the tokenizer's normalisation: a blank in front, blanks as SPACE."""
         return self.segments.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -193,6 +210,10 @@ class Vocabulary:
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
         return raw.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
 
+    def is_text_of(self, ids: list[int], text: str) -> bool:
+        """The ids decode to the text."""
+        return b"".join(map(self.bytes_of.__getitem__, ids)) == ((SPACE + text.replace(" ", SPACE)).encode() if text else b"")
+
     def as_unigram_model(self) -> bytes:
         """The same vocabulary as a unigram model file, for the library."""
         out = []
