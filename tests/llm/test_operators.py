@@ -422,14 +422,14 @@ def test_matches_and_finer_cuts():
     made = ["".join(draw.choice("abeht,.;:!?'²é日 ▁\n\ting0") for _ in range(draw.randint(0, 60))) for _ in range(2_000)]
     for text in made[:200]:
         found = sorted((e, p) for _, e, p in zip(*map(np.ndarray.tolist, vocabulary.trie.matches(text)), strict=True))
-        assert found == sorted((last + 1, p) for last, p in vocabulary.ids.iter(text))
+        assert found == sorted((last + 1, p) for last, (_, p) in vocabulary.matcher.iter(text))
     for text in made:
         whole, cut, at, ends = "".join(vocabulary.cut(text)), vocabulary.cut_finely(text), 0, set()
         assert "".join(cut) == whole
         for part in cut:
             at += len(part)
             ends.add(at)
-        crossed = {b for last, p in vocabulary.ids.iter(whole) for b in range(last + 2 - len(vocabulary.pieces[p]), last + 1)}
+        crossed = {b for last, (size, _) in vocabulary.matcher.iter(whole) for b in range(last + 2 - size, last + 1)}
         assert not crossed & ends
 
 
