@@ -31,13 +31,15 @@ END_ID = 0
 DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 65_536, 512, 6_000
 FILE_BYTES = 32 << 20  # a file is closed after the document that passes this
 _CACHE = 300_000  # segments whose ids a worker remembers, twice
-_LINED = 200  # new segments of one text
+_TOGETHER = 400  # new segments of one text
 _MARKS = ".,;:!?"
 #: White space as in the tokenizer's own pattern.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Cuts where the pattern always cuts too: before the last blank of a run, around other white space.
-_SEGMENTS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
-_IS_WHITE = re.compile(f"[{_WHITE}]")
+#: Cuts where the pattern always cuts too: before the last blank of a run, around other white space, and
+#: before a mark that follows a letter or digit.
+_SEGMENTS = re.compile(
+    f" ?[^{_WHITE}{_MARKS}]+(?:(?<![^\\W_])[{_MARKS}][^{_WHITE}]*)?| ?[{_MARKS}][^{_WHITE}]*|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]"
+)
 
 
 class Encoder:
@@ -56,36 +58,37 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         (self.line_end,) = self.tokenizer.encode("\n").ids
+        (blank,) = self.tokenizer.encode(" ").tokens  # how the vocabulary writes a blank
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(blank)]] = True
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new segments. A mark after a letter or digit begins a piece of its own, so a segment
-        that ends in marks is its stem and the marks, which are often known."""
-        ended = [(s, s.rstrip(_MARKS)) for s in new if s[-1] in _MARKS]
-        ended = [(s, stem) for s, stem in ended if stem[-1:].isalnum()]
-        if ended:
-            parts = {p for s, stem in ended for p in (stem, s[len(stem) :])}
-            plain = set(new).difference(s for s, _ in ended)
-            again = [s for s in parts if s not in self.known and s in self.older]
-            self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
-            self._encode(list(plain | {p for p in parts if p not in self.known}))
-            self.known.update((s, self.known[stem] + self.known[s[len(stem) :]]) for s, stem in ended)
-        else:
-            self._encode(new)
-
-    def _encode(self, new: list[str]) -> None:
-        # A line end between words is a token by itself, so one text can hold many segments.
-        white = {s for s in new if _IS_WHITE.match(s[-1])}
-        lined = [s for s in new if s not in white]
-        for at in range(0, len(lined), _LINED):
-            part = lined[at : at + _LINED]
-            (found,) = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            data, cuts = ids.tobytes(), (np.flatnonzero(ids == self.line_end) * 4).tolist()
-            if len(cuts) + 1 != len(part):
-                raise ValueError("this tokenizer joins line ends")
-            self.known.update(zip(part, [data[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)], strict=True))
-        rest = list(white)
-        for s, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+    def _recall(self, segments: set[str]) -> None:
+        """Keep those of the older generation."""
+        again = segments.difference(self.known).intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+
+    def _encode(self, new: set[str]) -> None:
+        """Many segments as one text: those that begin with a blank side by side, as only their first token
+        begins with one; others on lines, as a line end between words is a token by itself."""
+        blank, lined, white = [], [], []
+        for s in new:
+            (white if s[-1].isspace() else blank if s[0] == " " else lined).append(s)
+        for segments, between in ((blank, ""), (lined, "\n")):
+            for at in range(0, len(segments), _TOGETHER):
+                part = segments[at : at + _TOGETHER]
+                (found,) = self.tokenizer.encode_batch_fast([between.join(part)], add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                data = ids.tobytes()
+                if between:
+                    ends = np.flatnonzero(ids == self.line_end) * 4
+                    starts, ends = [0, *(ends + 4).tolist()], [*ends.tolist(), len(data)]
+                else:
+                    starts = (np.flatnonzero(self.begins[ids]) * 4).tolist()
+                    ends = [*starts[1:], len(data)]
+                if len(starts) != len(part):
+                    raise ValueError("this tokenizer joins words")
+                self.known.update(zip(part, [data[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
+        for s, e in zip(white, self.tokenizer.encode_batch_fast(white, add_special_tokens=False), strict=True):
             self.known[s] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -93,10 +96,9 @@ class Encoder:
             self.known, self.older = {}, self.known
         special = [self.added is not None and self.added.search(t) is not None for t in texts]
         segments = [[] if s else _SEGMENTS.findall(t) for t, s in zip(texts, special, strict=True)]
-        missing = set().union(*segments).difference(self.known)
-        again = [s for s in missing if s in self.older]
-        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
-        self._learn(list(missing.difference(again)))
+        missing = set().union(*segments)
+        self._recall(missing)
+        self._encode(missing.difference(self.known))
         known = self.known.__getitem__
         return [
             np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if s else b"".join(map(known, found))
@@ -135,7 +137,7 @@ def _put(folder: str, name: str, parts: list[bytes]) -> None:
             out.write(part)
 
 
-def _small_batches(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _small_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about `size` bytes, so that what a task holds is bounded."""
     for batch in batches:
         rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
