@@ -62,13 +62,17 @@ _WEAK = re.compile(r"(?:^|[-_ ])(?:legal|notices?|alert|share|sharing|tags|toc|s
 _HEADER = re.compile(r"[.\-_]header(?:$|[.\-_])", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|$)|"
-    r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    # no "<" outside of quotes, so that tags which never end are given up at the next one
+    r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
+_DEEP = 120  # open elements; what is nested deeper becomes a part of the element there, with all its text
 _DIGITS = re.compile(r"\d+")
 _SPACES = re.compile(r"\s+")
 _TEXT = "#text"
+_GROUPS = 64  # in which a host's partial wrappers are merged first
 
 
 class Linked(str):
@@ -96,11 +100,13 @@ def _key(tag: str, attributes: str) -> str:
 
 
 def parse(page: str) -> Node:
-    """The page's block elements as a tree; missing end tags are implied, inline tags join texts."""
+    """The page's block elements as a tree; missing end tags are implied, inline tags join texts. A link
+    has an address, and ends with the block that it began in."""
     root = Node("", "")
     stack = [root]
     held: list[str] = []
-    links, plain = 0, False  # open links; whether some of the held text is outside of them
+    deep: list[str] = []  # tags that are open below the deepest element
+    link, plain = 0, False  # depth at which a link is open, or 0; whether some of the held text is outside of it
 
     def flush() -> None:
         nonlocal plain
@@ -115,7 +121,7 @@ def parse(page: str) -> Node:
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             held.append(page[at : m.start()])
-            plain = plain or (not links and not held[-1].isspace())
+            plain = plain or (not link and not held[-1].isspace())
         at = m.end()
         if m[3] is None:  # comments, declarations and raw elements
             continue
@@ -123,22 +129,29 @@ def parse(page: str) -> Node:
         if tag not in _BLOCKS:
             if tag == "br":
                 held.append(" ")
-            elif tag == "a":
-                links = 0 if closing else 1
+            elif tag == "a" and (closing or _HREF.search(m[4])):
+                link = 0 if closing else len(stack) + len(deep)
             continue
         if closing:
-            if any(n.tag == tag for n in stack[1:]):
+            if deep and tag in deep[-_DEEP:]:
                 flush()
+                while deep.pop() != tag:
+                    pass
+                link = link if link <= len(stack) + len(deep) else 0
+            elif any(n.tag == tag for n in stack[1:]):
+                flush()
+                deep.clear()
                 while stack.pop().tag != tag:
                     pass
+                link = link if link <= len(stack) else 0  # no link goes on after the block that it began in
             elif tag == "p":
                 flush()
             continue
         flush()
         # an open paragraph, or item of the same list, ends here
-        while stack[-1].tag in _CLOSED_BY_BLOCK:
+        while not deep and stack[-1].tag in _CLOSED_BY_BLOCK:
             stack.pop()
-        if tag in _SIBLINGS:
+        if tag in _SIBLINGS and not deep:
             ends, parents = _SIBLINGS[tag]
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in parents:
@@ -146,15 +159,19 @@ def parse(page: str) -> Node:
                 if stack[depth].tag in ends:
                     del stack[depth:]
                     break
-        if tag in _HEADINGS and stack[-1].tag in _HEADINGS:
+        if tag in _HEADINGS and not deep and stack[-1].tag in _HEADINGS:
             stack.pop()
+        if len(stack) > _DEEP:
+            if tag not in _VOID and not m[4].endswith("/"):
+                deep.append(tag)
+            continue
         node = Node(_key(tag, m[4]), tag)
         stack[-1].children.append(node)
         if tag not in _VOID and not m[4].endswith("/"):
             stack.append(node)
     rest = re.match(r"[^<]*(?:<(?![a-zA-Z/!?])[^<]*)*", page[at:])[0]  # without a tag that is cut off
     held.append(rest)
-    plain = plain or not links
+    plain = plain or not link
     flush()
     return root
 
@@ -436,8 +453,11 @@ def wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper, pages): the regular expression of each host, as JSON."""
     shape = "host string, wrapper string, pages long"
     parts = pages.select("url", F.coalesce("html", F.lit("")).alias("html")).mapInArrow(_infer, shape)
-    # as many rows of a host as there are batches; in a fixed order
-    return parts.repartition("host").sortWithinPartitions("host", "pages", "wrapper").mapInArrow(_combine, shape)
+    # as many rows of a host as there are batches: merged in groups first, so that no task has all of
+    # them; in a fixed order each time
+    group = F.pmod(F.xxhash64("wrapper"), F.lit(_GROUPS))
+    some = parts.repartition("host", group).sortWithinPartitions("host", "pages", "wrapper").mapInArrow(_combine, shape)
+    return some.repartition("host").sortWithinPartitions("host", "pages", "wrapper").mapInArrow(_combine, shape)
 
 
 def _extract(kind: str) -> Callable:
@@ -466,7 +486,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     Null html counts as empty; pages without a host share one wrapper. Repeated rows give the same
     text; an empty table gives an empty result; other columns are ignored."""
-    host = F.coalesce(F.lower(F.regexp_extract(F.trim("url"), r"^(?i)(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    host = F.coalesce(F.lower(F.regexp_extract(F.regexp_replace("url", r"^(?U)\s+", ""), r"^(?i)(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     known = materialise(wrappers(pages), "wrappers").withColumnRenamed("pages", "n")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("of"))
     kind = pages.schema["page_id"].dataType.simpleString()
