@@ -1,24 +1,24 @@
 """Sharding by vector bin packing over bytes, tokens and rows.
 
 Groups are equal texts. Groups above 1/FINE of a shard in any measure are placed one by one (there
-are at most 3 * shards * FINE of these), smaller ones in BUNDLES hashed bundles, and groups above
-1/COARSE of a shard are split into pieces. So the greedy placement sees a number of items that does
-not depend on the input: largest first, each where the dot product with the residual capacity is
-highest.
+are at most 3 * shards * FINE of these) and smaller ones in BUNDLES hashed bundles; a group stays whole
+unless its bytes are more than a shard's, and only then is split into pieces of 1/COARSE of a shard. So
+the greedy placement sees a number of items that does not depend on the input: largest first, each where
+the dot product with the residual capacity is highest.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillworks.llm.common import text_of, word_count
+from tillworks.operators.numbering import global_row_number
 from tillworks.session import materialise
 
 FINE, COARSE, BUNDLES = 250, 32, 4096
 #: Bytes come first, as their balance is the law that is promised.
 MEASURE_WEIGHTS = {"bytes": 4.0, "tokens": 1.0, "rows": 1.0}
-_SLOT_RUN = 2000  # rows numbered in one window group
 
 
 def place(items: np.ndarray, shards: int, weights: np.ndarray) -> np.ndarray:
@@ -42,8 +42,8 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     """One row per row of `docs`: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Size is the text's UTF-8 bytes (null: none) plus 16. Equal texts stay together unless their
-    group is above 1/COARSE of a shard. Slots number a shard's rows by doc_id from 0 (null ids
-    first, repeated ids in any order). An empty table gives an empty result."""
+    group has more bytes than a shard. Slots number a shard's rows by doc_id from 0 (null ids
+    first, repeated ids in any order), for any number of rows. An empty table gives an empty result."""
     spark = docs.sparkSession
     text = text_of()
     rows = materialise(
@@ -60,10 +60,11 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     sums = [F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
     total = rows.agg(*sums).first()
     measures = list(MEASURE_WEIGHTS)
-    share = F.greatest(*[F.col(m) * shards / F.lit(float(total[m] or 1)) for m in measures])
+    shares = {m: F.col(m) * shards / F.lit(float(total[m] or 1)) for m in measures}
+    pieces = F.when(shares["bytes"] > 1, F.ceil(shares["bytes"] * COARSE)).otherwise(1)
     large = materialise(
-        rows.groupBy("group").agg(*sums).filter(share * FINE > 1)
-        .select(F.col("group").alias("large"), F.ceil(share * COARSE).cast("int").alias("pieces")),
+        rows.groupBy("group").agg(*sums).filter(F.greatest(*shares.values()) * FINE > 1)
+        .select(F.col("group").alias("large"), pieces.cast("int").alias("pieces")),
         "shard-large",
     )
     piece = F.pmod(F.xxhash64("uid"), F.col("pieces")).cast("string")
@@ -77,22 +78,15 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     where = place(vectors, shards, np.array(list(MEASURE_WEIGHTS.values())))
     placed = spark.createDataFrame([(i[0], int(s)) for i, s in zip(items, where, strict=True)], "item string, shard int")
     # as many rows as items
-    dealt = keyed.join(F.broadcast(placed), "item")
-    runs = max(1, (total["rows"] or 0) // (shards * _SLOT_RUN))
-    dealt = _in_runs(dealt, runs)
-    before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy("shard", "run").count().withColumn("start", F.coalesce(F.sum("count").over(before), F.lit(0)))
-    inside = Window.partitionBy("shard", "run").orderBy("doc_id", "uid")
-    return dealt.withColumn("inside", F.row_number().over(inside)).join(starts, ["shard", "run"]).select(
+    dealt = keyed.join(F.broadcast(placed), "item").select("shard", "doc_id", "uid", "bytes", "crc")
+    numbered = global_row_number(dealt, "shard", F.col("doc_id").asc_nulls_first(), "uid", name="n")
+    starts = numbered.groupBy("shard").agg(F.min("n").alias("start"))  # one row a shard
+    return numbered.join(F.broadcast(starts), "shard").select(
         "doc_id",
         F.col("bytes").alias("size"),
         F.col("crc").alias("text_crc32"),
         F.lit("bytes").alias("law"),
         "shard",
-        (F.col("start") + F.col("inside") - 1).cast("long").alias("slot"),
+        (F.col("n") - F.col("start")).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
-
-
-def _in_runs(dealt: DataFrame, runs: int) -> DataFrame:
-    return dealt.withColumn("run", F.pmod(F.xxhash64("uid"), F.lit(runs)))
