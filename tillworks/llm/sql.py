@@ -6,12 +6,15 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size, arg_ma
 SELECT doc_id, keep_id, group_size, r = best AS kept, text_sha256 FROM t JOIN g USING (text_sha256)
 """
 
-_DRAW = "('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || (k // 4)::VARCHAR), (k % 4) * 8 + 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+_DRAW = "('0x' || substr(md5(identity || ':' || (k // 4)::VARCHAR), (k % 4) * 8 + 1, 8))::BIGINT / 4294967296.0::DOUBLE"
 
 # the level at which capped targets (3 times the size) and level * weight together use all words
 MIXING = f"""
 WITH t AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+    concat_ws(':', coalesce(doc_id::VARCHAR, 'null'), md5(coalesce(text, '')),
+      (row_number() OVER (PARTITION BY doc_id, text ORDER BY source) - 1)::VARCHAR) AS identity
+  FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM t GROUP BY source),
 o AS (
