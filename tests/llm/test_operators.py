@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.conftest import SMALL
@@ -241,6 +242,37 @@ def test_names_are_hints_in_an_article(spark):
             assert r["text"].split("\n") == [f"T {n}", f"First {n}.", f"Share grew by {n}.", f"And {n} again.", f"Court case {n}."], host
 
 
+def test_deep_nesting_keeps_all_text(spark):
+    for n in (119, 120, 121, 600, 100_000):
+        inner = "<p>first text</p>" + "<div>" * n + "<p>deep text</p><p>more <b>deep</b></p>" + "</div>" * n + "<p>last text</p>"
+        (row,) = main_texts_of(spark, f"<html><body><article>{inner}</article><div>after</div></body></html>")
+        assert row == "first text\ndeep text\nmore deep\nlast text"
+
+
+def main_texts_of(spark, *htmls):
+    rows = html_wrapper.main_texts(pages(spark, [(i, "http://h.example/x", h, "") for i, h in enumerate(htmls)])).orderBy("page_id")
+    return [r["text"] for r in rows.collect()]
+
+
+def test_links_have_an_address_and_end_with_their_block(spark):
+    body = "<body><div><p>{}one two three</p><p>four five six seven</p></div></body>"
+    for opening in ("", "<a name=top />", "<a name='top'>", "<a id=x>", "<a>", "<a data-href=x>"):
+        assert main_texts_of(spark, body.format(opening)) == ["one two three\nfour five six seven"]
+    # an open link takes its own paragraph only
+    root = html_wrapper.parse("<div><p><a href=x>one</p><p>two</p></div>")
+    first, second = (p.children[0] for p in root.children[0].children)
+    assert isinstance(first, html_wrapper.Linked) and not isinstance(second, html_wrapper.Linked)
+    root = html_wrapper.parse("<div><a href=x><p>one</p><p>two</p></a><p>three</p></div>")
+    assert [isinstance(p.children[0], html_wrapper.Linked) for p in root.children[0].children] == [True, True, False]
+
+
+def test_tags_that_never_end_take_linear_time():
+    for page in ("<a '" * 125_000, "<p>text" + "<b title=\"x " * 30_000):
+        start = time.process_time()
+        html_wrapper.parse(page)
+        assert time.process_time() - start < 5
+
+
 def test_wrapper_is_union_free_and_does_not_grow():
     build = lambda body: html_wrapper.of_page(html_wrapper.parse(body).children)
     one = html_wrapper.align(build("<ul><li>a<li>b</ul><p>x"), build("<ul><li>c</ul><h2>h</h2><p>y"))
@@ -273,6 +305,26 @@ def test_sharding(spark):
     assert max(bytes_of.values()) < 1.05 * min(bytes_of.values())
 
 
+def test_groups_that_fit_stay_whole_and_slots_go_by_id(spark, many_partitions):
+    copies = [(1_000 + i, f"copied {i % 90} " * (1 + i % 7)) for i in range(700)]
+    hot = [(5_000 - i, "hot " * 400) for i in range(300)]
+    rows = [*texts(documents(spark)), *copies, *hot, (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    found = sharding.shard(docs, 40).collect()
+    shard_bytes = sum(r["size"] for r in found) / 40
+    shards, group_bytes = defaultdict(set), Counter()
+    for r in found:
+        shards[r["size"], r["text_crc32"]].add(r["shard"])
+        group_bytes[r["size"], r["text_crc32"]] += r["size"]
+    assert all(len(shards[g]) == 1 for g in shards if group_bytes[g] <= shard_bytes)
+    assert any(len(s) > 1 for s in shards.values())
+    in_shard = defaultdict(list)
+    for r in sorted(found, key=lambda r: r["slot"]):
+        in_shard[r["shard"]].append((r["doc_id"] is not None, r["doc_id"] or 0))
+        assert r["slot"] == len(in_shard[r["shard"]]) - 1
+    assert all(ids == sorted(ids) for ids in in_shard.values())
+
+
 def test_placement_balances_all_measures():
     draw = np.random.default_rng(1)
     items = np.c_[draw.pareto(2, 4_000) + 1, draw.pareto(2, 4_000) + 1, np.ones(4_000)]
@@ -315,6 +367,27 @@ def test_mixing(spark):
     assert repeated == Counter({r["doc_id"]: r["copies"] for r in rows if r["copies"]})
 
 
+def test_rows_without_an_id_draw_for_themselves(spark):
+    """Sources of 1,000 equal rows, null or repeated ids: each comes within 2 % of its target."""
+    rows = [(None, f"s{k}", "same words here") for k in range(3) for _ in range(1_000)]
+    rows += [(7, "s3", "one two") for _ in range(1_000)] + [(i, "s4", f"w{i}") for i in range(1_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    numbered = docs.withColumn("copy", F.lit("x"))
+    kept = Counter((r["source"], len(r["text"].split())) for r in mixing.mix(numbered).collect())
+    plan = mixing.mix_plan(docs)
+    sums = {r["source_size"]: r for r in plan.groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()}
+    taken = Counter()
+    for (source, size), n in kept.items():
+        taken[source] += size * n
+    weight = {f"s{k}": k % 3 + 1 for k in range(5)}
+    size = {"s0": 3_000, "s1": 3_000, "s2": 3_000, "s3": 2_000, "s4": 1_000}
+    level = sum(size.values()) / sum(weight.values())
+    assert all(level * weight[s] < 3 * size[s] for s in size)
+    for s in size:
+        assert abs(taken[s] - level * weight[s]) < 0.02 * level * weight[s]
+    assert len(sums) == 3
+
+
 def test_capped_targets(spark):
     rows = [(1, "a", "w " * 10), (2, "b", "w " * 1000), (3, "c", "w"), (4, None, ""), (5, "d", "w " * 500)]
     docs = spark.createDataFrame([(i, t, s) for i, s, t in rows], "doc_id long, text string, source string")
