@@ -103,4 +103,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL = {"op2_exact_dedup": sql.EXACT_DEDUP, "op5_mixing": sql.MIXING, "op9_quality_rules": sql.QUALITY}
+ORACLE_SQL = {
+    "op2_exact_dedup": sql.EXACT_DEDUP,
+    "op5_mixing": sql.MIXING,
+    "op9_quality_rules": sql.QUALITY,
+    "op11_merkle": sql.MERKLE,
+    "op12_importance": sql.IMPORTANCE,
+}
