@@ -165,6 +165,44 @@ def late_day_checks() -> str:
     )
 
 
+# --- the first two days, run one by one: dimensions hold what has come so far ----------------------
+EXTRA["two_batches"] = "SELECT * FROM batches ORDER BY ProcessDay LIMIT 2"
+EXTRA["days_so_far"] = "SELECT b.ProcessDay AS g, e.ProcessDay AS day, e.ProcessWeek AS week FROM two_batches b JOIN two_batches e ON e.ProcessDay <= b.ProcessDay"
+EXTRA["store_so_far"] = """
+    SELECT DISTINCT g, store_id AS StoreID, 1 AS StoreKey FROM days_so_far JOIN tx_clean ON day_no = day
+    UNION SELECT g, store_id, 1 FROM days_so_far JOIN promotion_clean ON week_no = week
+    UNION ALL SELECT ProcessDay, -1, -1 FROM two_batches"""
+EXTRA["coupon_so_far"] = """
+    SELECT DISTINCT g, coupon_upc AS CouponUPC, 1 AS CouponKey FROM days_so_far JOIN red_clean ON day_no = day
+    UNION SELECT ProcessDay, coupon_upc, 1 FROM two_batches, coupon_clean
+    UNION ALL SELECT ProcessDay, -1, -1 FROM two_batches"""
+EXTRA["day_so_far"] = """
+    SELECT DISTINCT g, day_no AS DayNumber, 1 AS DayKey FROM days_so_far JOIN (SELECT day_no FROM tx_clean UNION SELECT day_no FROM red_clean) ON day_no = day
+    UNION ALL SELECT ProcessDay, -1, -1 FROM two_batches"""
+_SO_FAR = {
+    **{f"dim_{d}": (f"SELECT * FROM {d}_so_far", "ProcessDay") for d in ("store", "coupon", "day")},
+    **{
+        f"(SELECT * FROM dim_{d} WHERE {key} <> -1)": (f"SELECT * FROM {d}_so_far WHERE {key} <> -1", "ProcessDay")
+        for d, key in (("store", "StoreKey"), ("coupon", "CouponKey"), ("day", "DayKey"))
+    },
+}
+EXTRA["two_days_checks"] = " UNION ALL ".join(
+    f"SELECT c.* FROM ({check_sql(line[0], {**DAILY, **_SO_FAR})}) c SEMI JOIN two_batches t ON t.BatchID = c.BatchID" for line in CHECKS
+)
+EXTRA["two_days_loads"] = "SELECT l.* FROM load_log l SEMI JOIN two_batches t ON t.BatchID = l.BatchID"
+EXTRA["two_days_control"] = """
+    SELECT BatchID, ProcessDay, ProcessWeek, LoadMode,
+           CASE WHEN failed > 0 OR blocked > 0 THEN 'FAILED' WHEN warned + noted > 0 THEN 'SUCCESS_WITH_WARNING' ELSE 'SUCCESS' END AS BatchStatus,
+           CASE WHEN failed > 0 THEN printf('failed loads=%d', failed) WHEN blocked > 0 THEN printf('critical check failures=%d', blocked)
+                WHEN warned + noted > 0 THEN printf('load warnings=%d, check warnings=%d', warned, noted) END AS ErrorMessage
+    FROM (SELECT b.BatchID, ProcessDay, ProcessWeek,
+                 CASE WHEN ProcessDay = (SELECT min(ProcessDay) FROM two_batches) THEN 'INITIAL' ELSE 'INCREMENTAL' END AS LoadMode,
+                 (SELECT count(*) FROM two_days_loads l WHERE l.BatchID = b.BatchID AND LoadStatus IN ('FAILED', 'STARTED')) AS failed,
+                 (SELECT count(*) FROM two_days_loads l WHERE l.BatchID = b.BatchID AND LoadStatus = 'SUCCESS_WITH_WARNING') AS warned,
+                 (SELECT count(*) FROM two_days_checks c WHERE c.BatchID = b.BatchID AND CheckStatus = 'FAIL' AND SeverityLevel IN ('ERROR', 'CRITICAL')) AS blocked,
+                 (SELECT count(*) FROM two_days_checks c WHERE c.BatchID = b.BatchID AND CheckStatus = 'WARN') AS noted
+          FROM two_batches b)"""
+
 # --- verdicts ---------------------------------------------------------------------------------
 _BLOCKS = "CheckStatus = 'FAIL' AND SeverityLevel IN ('ERROR', 'CRITICAL')"
 EXTRA["load_summary"] = """

@@ -166,6 +166,12 @@ def _next(after: str) -> str:
               FROM tx_source {{where}})"""
 
 
+_BOUNDS = (
+    "SELECT * FROM (SELECT min(day_no) AS MinSourceDay, max(day_no) AS MaxSourceDay, "
+    "count(DISTINCT day_no) AS DistinctSourceDayCount FROM tx_source), "
+    "(SELECT min(week_no) AS MinSourceWeek, max(week_no) AS MaxSourceWeek, "
+    "count(DISTINCT week_no) AS DistinctSourceWeekCount FROM causal_source)"
+)
 _FIRST_BATCH = _next("'INITIAL' AS LoadMode, ProcessDay, ProcessWeek").format(where="").strip()
 _NEXT_BATCH = (
     _next("'INCREMENTAL' AS LoadMode, ProcessDay, ProcessWeek")
@@ -391,12 +397,7 @@ _BODIES: dict[str, str] = {
     "a17_median_rate": (
         "SELECT CampaignDescription, quantile_disc(RedemptionRate, 0.5) AS RedemptionRate FROM v_campaigns GROUP BY 1"
     ),
-    "a18_source_bounds": (
-        "SELECT * FROM (SELECT min(day_no) AS MinSourceDay, max(day_no) AS MaxSourceDay, "
-        "count(DISTINCT day_no) AS DistinctSourceDayCount FROM tx_source), "
-        "(SELECT min(week_no) AS MinSourceWeek, max(week_no) AS MaxSourceWeek, "
-        "count(DISTINCT week_no) AS DistinctSourceWeekCount FROM causal_source)"
-    ),
+    "a18_source_bounds": _BOUNDS,
     "a19_last_successful_day": (
         "SELECT max(ProcessDay) AS LastSuccessfulDay FROM control WHERE BatchStatus IN ('SUCCESS', 'SUCCESS_WITH_WARNING')"
     ),
@@ -471,6 +472,12 @@ _BODIES: dict[str, str] = {
     ),
     "b7_wrong_days": "SELECT count(*) AS WrongProcessValueCount FROM tx_raw WHERE day_no <> 1",
     "qr1_daily_checks": "daily_checks",
+    "run_batch_control": "two_days_control",
+    "run_batch_loads": "two_days_loads",
+    "run_batch_checks": "two_days_checks",
+    "a18_landed_bounds": _BOUNDS,
+    "b1_landed_batch": _NEXT_BATCH,
+    "s5_landed_day": "SELECT * FROM tx_source WHERE day_no = (SELECT max(day_no) FROM tx_source)",
     "qr1_process_day_checks": late_day_checks(),
     **{f"s12_{layer}_constraints": _constraint_report(layer) for layer in _BLANKED},
     "s12_types": (

@@ -7,10 +7,11 @@ import re
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
-from tillworks.operators import numbering
-from tillworks.plans import facts, silver
+from tillworks.operators import checks, numbering
+from tillworks.plans import facts, quality, silver
 from tillworks.plans.lake import lake_of
 from tillworks.plans.registry import QUERIES
+from tillworks.session import materialise
 
 
 def plan_of(df) -> str:
@@ -67,3 +68,29 @@ def test_distinct_counts_do_not_repeat_the_sums(spark):
 def test_aggregates_beside_each_other_read_a_table_once(spark):
     plan = plan_of(QUERIES["a18_source_bounds"][0](lake_of(spark, SMALL)))
     assert plan.count("FileScan") == 2
+
+
+def test_uniqueness_sends_hashes_through_the_shuffle(spark, monkeypatch):
+    """The first stage exchanges 8-byte hashes; the keys of repeated hashes only come after it."""
+    written = {}
+
+    def kept(df, label, *by):
+        written[label] = df
+        return materialise(df, label, *by)
+
+    monkeypatch.setattr(checks, "materialise", kept)
+    lake = lake_of(spark, SMALL)
+    wanted = [quality.silver_checks()["qs9"], quality.dwh_checks()["qw16"]]
+    tables = {"silver.transaction_clean": lake["silver.transaction_clean"], "dwh.fact_sales_transaction": lake["dwh.fact_sales_transaction"]}
+    found = checks.evaluate(wanted, tables).collect()
+    assert {r["CheckStatus"] for r in found} == {"PASS"}
+    assert dict(written["key-hashes"].dtypes)["_hash"] == "bigint"
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan_of(written["key-hashes"]))
+    assert exchanges and all(re.sub(r"#\d+L?", "", e).startswith("_check, _group, _hash") for e in exchanges)
+    assert not any("RecordHash" in line for line in plan_of(written["key-hashes"]).splitlines() if "HashAggregate" in line)
+
+
+def test_reconciliation_reads_bronze_twice(spark):
+    """Rows, valid rows and rejected rows in one scan; one more to deduplicate, and one of Silver."""
+    plan = plan_of(QUERIES["b5_silver_reconciliation"][0](lake_of(spark, SMALL)))
+    assert plan.count("FileScan") == 3

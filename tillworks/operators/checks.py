@@ -63,6 +63,7 @@ class RowRule(Check):
 @dataclass(frozen=True)
 class References(Check):
     links: tuple[tuple[str, str, str], ...] = ()  # (column here, other table, its key)
+    other_where: str | None = None  # scope within the other tables, in which their keys are unique
 
 
 @dataclass(frozen=True)
@@ -238,7 +239,7 @@ def _reference_counts(check: References, tables: dict[str, DataFrame], grain: di
     """(_check, _group, _rows, _bad): rows per group, and those with a key that is nowhere to be found."""
     group = _group(grain.get(check.table))
     fact = _scoped(tables[check.table], check.where).select(group, *[c for c, _, _ in check.links])
-    probed, missing = probe_keys(fact, [(c, tables[t], k) for c, t, k in check.links], "_group")
+    probed, missing = probe_keys(fact, [(c, _scoped(tables[t], check.other_where), k) for c, t, k in check.links], "_group")
     totals = probed.groupBy("_group").agg(F.count("*").alias("_rows"), F.count_if(missing).alias("_bad"))
     return totals.select(F.lit(check.id).alias("_check"), "_group", "_rows", "_bad")
 

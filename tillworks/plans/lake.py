@@ -7,7 +7,6 @@ lakehouse are. Tables belong to the running application and are never shared wit
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable
 from functools import partial
 from threading import RLock
@@ -17,10 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tillworks.functions.rowops import batch_id, week_of_day
 from tillworks.operators.merge import merge_dimension
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
-from tillworks.schema import AUDIT, BRONZE_TABLE, CONTROL, SURROGATE_KEY, conform
+from tillworks.plans.batch import Warehouse, next_batch, run_batch
+from tillworks.schema import BRONZE_TABLE, CONTROL, SOURCES, SURROGATE_KEY, conform
 from tillworks.session import at_the_same_time, materialise, scratch_path
 from tillworks.sources import csvfiles
 from tillworks.sources.derived import DERIVED, FIRST_ORDER_DATE
+from tillworks.sources.landing import land
 
 # Layers in load order; the tables of one layer do not depend on each other.
 LAYERS = ("bronze.", "silver.", "dwh.dim_", "dwh.fact_", "dm_marketing.")
@@ -37,7 +38,12 @@ class Lake:
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
-        self._locks: dict[str, RLock] = defaultdict(RLock)
+        self._csv: dict[str, str] = {}
+        self._landing: str | None = None
+        self._two_days: Warehouse | None = None
+        # made before any thread asks for one
+        names = [*_BUILDERS, *[f"csv.{s}" for s in SOURCES], "landing", "two days"]
+        self._locks: dict[str, RLock] = {name: RLock() for name in names}
 
     def __getitem__(self, name: str) -> DataFrame:
         with self._locks[name]:
@@ -57,12 +63,31 @@ class Lake:
 
     def csv(self, name: str) -> str:
         """Path of the source as a folder of CSV files."""
-        key = f"csv.{name}"
-        if key not in self._tables:
-            path = scratch_path(self.spark, key)
-            csvfiles.write_csv(self.source(name), path, name)
-            self._tables[key] = path
-        return self._tables[key]
+        with self._locks[f"csv.{name}"]:
+            if name not in self._csv:
+                path = scratch_path(self.spark, f"csv.{name}")
+                csvfiles.write_csv(self.source(name), path, name)
+                self._csv[name] = path
+        return self._csv[name]
+
+    def landing(self) -> str:
+        """The landing store, filled from the sources as CSV files."""
+        with self._locks["landing"]:
+            if self._landing is None:
+                store = scratch_path(self.spark, "landing")
+                at_the_same_time([partial(land, self.spark, self.csv(name), store, name) for name in SOURCES])
+                self._landing = store
+        return self._landing
+
+    def two_days(self) -> Warehouse:
+        """A warehouse in which the first two source days were planned and run one after the other."""
+        with self._locks["two days"]:
+            if self._two_days is None:
+                warehouse = Warehouse(self.spark, scratch_path(self.spark, "warehouse"))
+                for _ in range(2):
+                    run_batch(warehouse, self.landing(), next_batch(warehouse, self.landing(), PROCESS_DATE))
+                self._two_days = warehouse
+        return self._two_days
 
     def dims(self) -> dict[str, DataFrame]:
         return {name: self[f"dwh.{name}"] for name in SURROGATE_KEY}

@@ -367,7 +367,7 @@ def silver_checks(batch: str | None = None) -> dict[str, Check]:
         checks.append(
             References(
                 *ident(table, f"{column}_exists"), REFERENTIAL, severity, f"{column} exists in {other}", scope,
-                "WARN" if severity == WARNING else "FAIL", links=((column, f"silver.{other}", column),),
+                "WARN" if severity == WARNING else "FAIL", links=((column, f"silver.{other}", column),), other_where=scope,
             )
         )
     return {f"qs{i}": c for i, c in enumerate(checks, 1)}

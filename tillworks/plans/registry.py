@@ -15,6 +15,7 @@ from tillworks.operators.dedup import latest_by_key, latest_copy
 from tillworks.operators.reconcile import counts, side_by_side
 from tillworks.operators.versions import read_partitions
 from tillworks.plans import analytics, bronze, control, dims, facts, marts, quality, silver, views
+from tillworks.plans.batch import CONTROL_TABLE, DQ_LOG, LOAD_LOG
 from tillworks.plans.lake import (
     GRAIN,
     PROCESS_DATE,
@@ -39,6 +40,7 @@ from tillworks.schema import (
 )
 from tillworks.session import materialise, scratch_path
 from tillworks.sources import csvfiles
+from tillworks.sources.landing import landed, landed_values
 
 Query = Callable[[Lake], DataFrame]
 QUERIES: dict[str, tuple[Query, str]] = {}
@@ -988,17 +990,15 @@ def b4_batch_overview(lake: Lake) -> DataFrame:
 @query(_RECONCILED)
 def b5_silver_reconciliation(lake: Lake) -> DataFrame:
     raw = lake["bronze.transaction_data_raw"]
-    valid = silver.valid_transactions(raw)
-    kept = silver.deduplicated_transactions(valid)
-    return silver.reconcile(raw, valid, silver.invalid_transactions(raw), kept, lake["silver.transaction_clean"])
+    kept = silver.deduplicated_transactions(silver.valid_transactions(raw))
+    clean = lake["silver.transaction_clean"]
+    return silver.reconcile(raw, silver.is_valid_transaction(), silver.transaction_reason(), kept, clean)
 
 
 @query(_RECONCILED)
 def b5_redemption_reconciliation(lake: Lake) -> DataFrame:
-    raw = lake["bronze.coupon_redemption_raw"]
-    valid = silver.valid_redemptions(raw)
-    kept = t8_deduplicated_redemptions(lake)
-    return silver.reconcile(raw, valid, silver.invalid_redemptions(raw), kept, lake["silver.coupon_redemption_clean"])
+    raw, clean = lake["bronze.coupon_redemption_raw"], lake["silver.coupon_redemption_clean"]
+    return silver.reconcile(raw, silver.is_valid_redemption(), silver.redemption_reason(), t8_deduplicated_redemptions(lake), clean)
 
 
 @query("SourceRowCount InsertedRowCount")
@@ -1018,6 +1018,46 @@ def b7_wrong_days(lake: Lake) -> DataFrame:
     return bronze.wrong_days(lake["bronze.transaction_data_raw"], 1)
 
 
+# --- two days run one by one: planner, four layers, checks and verdict, from the landing store ----
+_LOG = f"{_LOG_KEYS} SourceRowCount InsertedRowCount RejectedRowCount UnchangedRowCount LoadStatus ErrorMessage"
+
+
+@query("BatchID ProcessDay ProcessWeek LoadMode BatchStatus ErrorMessage")
+def run_batch_control(lake: Lake) -> DataFrame:
+    return lake.two_days().read(CONTROL_TABLE)
+
+
+@query(_LOG)
+def run_batch_loads(lake: Lake) -> DataFrame:
+    return lake.two_days().read(LOAD_LOG)
+
+
+@query("DQLogID BatchID LayerName TableName CheckName SeverityLevel CheckedRowCount PassedRowCount FailedRowCount FailureRate CheckStatus")
+def run_batch_checks(lake: Lake) -> DataFrame:
+    return lake.two_days().read(DQ_LOG)
+
+
+@query("MinSourceDay MaxSourceDay DistinctSourceDayCount MinSourceWeek MaxSourceWeek DistinctSourceWeekCount")
+def a18_landed_bounds(lake: Lake) -> DataFrame:
+    """Bounds of the sources from the names of the landing store's folders; no row is read."""
+    return control.source_bounds(*[landed_values(lake.spark, lake.landing(), s) for s in ("transaction_data", "causal_data")])
+
+
+@query(_PLAN)
+def b1_landed_batch(lake: Lake) -> DataFrame:
+    """The batch after those of the first half of the days, planned from folder names."""
+    days, weeks = (landed_values(lake.spark, lake.landing(), s) for s in ("transaction_data", "causal_data"))
+    middle = lake["bronze.transaction_data_raw"].agg(F.max("day_no") / 2).scalar()
+    return control.next_batch(days, weeks, lake["control.etl_batch_control"].filter(F.col("ProcessDay") <= middle))
+
+
+@query("household_key basket_id day_no product_id quantity sales_value store_id")
+def s5_landed_day(lake: Lake) -> DataFrame:
+    """The last day's slice, read from its folder only."""
+    last = landed_values(lake.spark, lake.landing(), "transaction_data").agg(F.max("day_no")).first()[0]
+    return landed(lake.spark, lake.landing(), "transaction_data", int(last))
+
+
 # --- checks -----------------------------------------------------------------------------------
 _CHECK = (
     "DQLogID BatchID LayerName TableName CheckName CheckCategory SeverityLevel CheckedRowCount PassedRowCount "

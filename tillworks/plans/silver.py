@@ -23,17 +23,20 @@ def _is_other_day(day: Column | int | None) -> Column:
 
 
 # --- transactions ---------------------------------------------------------------------------
-def valid_transactions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
-    """Rows with basket, product, day, a positive quantity and no negative value; the plain
-    conjunction reaches the Parquet scan as pushed filters."""
+def is_valid_transaction() -> Column:
+    """Basket, product and day given, a positive quantity and no negative value."""
     required = [F.col(c).isNotNull() for c in ("basket_id", "product_id", "day_no")]
-    kept = reduce(lambda a, b: a & b, [*required, F.col("quantity") > 0, F.col("sales_value") >= 0])
-    return slice_of(bronze.filter(kept), "day_no", day)
+    return reduce(lambda a, b: a & b, [*required, F.col("quantity") > 0, F.col("sales_value") >= 0])
 
 
-def invalid_transactions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
-    """The other rows, with the first rule that each one breaks."""
-    reasons = first_match(
+def valid_transactions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
+    """Valid rows (of a day); the plain conjunction reaches the Parquet scan as pushed filters."""
+    return slice_of(bronze.filter(is_valid_transaction()), "day_no", day)
+
+
+def transaction_reason(day: Column | int | None = None) -> Column:
+    """The first rule that a row breaks, NULL for a valid one."""
+    return first_match(
         [
             ("BASKET_ID_NULL", F.col("basket_id").isNull()),
             ("PRODUCT_ID_NULL", F.col("product_id").isNull()),
@@ -45,7 +48,11 @@ def invalid_transactions(bronze: DataFrame, day: Column | int | None = None) ->
             ("NEGATIVE_SALES_VALUE", F.col("sales_value") < 0),
         ]
     )
-    return bronze.withColumn("RejectReason", reasons).filter(F.col("RejectReason").isNotNull())
+
+
+def invalid_transactions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
+    """The other rows, with the first rule that each one breaks."""
+    return bronze.withColumn("RejectReason", transaction_reason(day)).filter(F.col("RejectReason").isNotNull())
 
 
 def deduplicated_transactions(valid: DataFrame) -> DataFrame:
@@ -75,13 +82,16 @@ def transaction_clean(deduplicated: DataFrame, batch: str, process_date: str) ->
 
 
 # --- coupon redemptions ---------------------------------------------------------------------
+def is_valid_redemption() -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("household_key", "day_no", "coupon_upc")])
+
+
 def valid_redemptions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
-    required = [F.col(c).isNotNull() for c in ("household_key", "day_no", "coupon_upc")]
-    return slice_of(bronze.filter(reduce(lambda a, b: a & b, required)), "day_no", day)
+    return slice_of(bronze.filter(is_valid_redemption()), "day_no", day)
 
 
-def invalid_redemptions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
-    reasons = first_match(
+def redemption_reason(day: Column | int | None = None) -> Column:
+    return first_match(
         [
             ("HOUSEHOLD_KEY_NULL", F.col("household_key").isNull()),
             ("DAY_NULL", F.col("day_no").isNull()),
@@ -89,7 +99,10 @@ def invalid_redemptions(bronze: DataFrame, day: Column | int | None = None) -> D
             ("WRONG_PROCESS_DAY", _is_other_day(day)),
         ]
     )
-    return bronze.withColumn("RejectReason", reasons).filter(F.col("RejectReason").isNotNull())
+
+
+def invalid_redemptions(bronze: DataFrame, day: Column | int | None = None) -> DataFrame:
+    return bronze.withColumn("RejectReason", redemption_reason(day)).filter(F.col("RejectReason").isNotNull())
 
 
 def coupon_redemption_clean(valid: DataFrame, batch: str, process_date: str) -> DataFrame:
@@ -178,15 +191,16 @@ def promotion_weekly_clean(
 
 
 # --- reconciliation ---------------------------------------------------------------------------
-def reconcile(bronze: DataFrame, valid: DataFrame, invalid: DataFrame, kept: DataFrame, silver: DataFrame) -> DataFrame:
-    """Bronze rows must be the rejected ones, the surplus copies and the inserted ones."""
+def reconcile(bronze: DataFrame, valid: Column, reason: Column, kept: DataFrame, silver: DataFrame) -> DataFrame:
+    """Bronze rows must be the rejected ones, the surplus copies and the inserted ones. Three scans: one of
+    Bronze for its rows, the valid and the rejected ones, one to deduplicate, and one of Silver."""
     rows = F.count("*")
     return (
         side_by_side(
             {
                 "BronzeRowCount": (bronze, rows),
-                "ValidRowCount": (valid, rows),
-                "RejectedRowCount": (invalid, rows),
+                "ValidRowCount": (bronze, F.count_if(valid)),
+                "RejectedRowCount": (bronze, F.count_if(reason.isNotNull())),
                 "KeptRowCount": (kept, rows),
                 "InsertedRowCount": (silver, rows),
             }
