@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tillworks.operators.dedup import latest_copy, latest_of_few_copies
-from tillworks.plans import bronze, facts, silver
+from tillworks.plans import bronze, facts, marts, silver
 from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, lake_of
 from tillworks.schema import BRONZE_TABLE
 
@@ -76,3 +76,13 @@ def test_whole_rows_without_copies_are_not_shuffled(spark):
     alone = latest_of_few_copies(rows, ["a"])
     assert alone.count() == 1000
     assert _exchanges(alone) == 1  # of the few copies
+
+
+def test_promotions_and_sales_are_shuffled_once_each(spark):
+    lake = lake_of(spark, SMALL)
+    sides = lake["dwh.fact_promotion_weekly"], lake["dwh.fact_sales_transaction"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _exchanges(marts.promotions_with_sales(*sides)) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
