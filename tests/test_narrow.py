@@ -6,10 +6,12 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from tillworks.operators import checks
 from tillworks.operators.dedup import latest_copy, latest_of_few_copies
-from tillworks.plans import bronze, facts, marts, silver
+from tillworks.plans import bronze, facts, marts, quality, silver
 from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, lake_of
 from tillworks.schema import BRONZE_TABLE
+from tillworks.session import materialise
 
 
 def _written_columns(df) -> set[str]:
@@ -86,3 +88,17 @@ def test_promotions_and_sales_are_shuffled_once_each(spark):
         assert _exchanges(marts.promotions_with_sales(*sides)) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hashes_of_unique_keys_are_not_written(spark, monkeypatch):
+    written = {}
+
+    def kept(df, label, *by):
+        written[label] = materialise(df, label, *by)
+        return written[label]
+
+    monkeypatch.setattr(checks, "materialise", kept)
+    tables = {"silver.transaction_clean": lake_of(spark, SMALL)["silver.transaction_clean"]}
+    (found,) = checks.evaluate([quality.silver_checks()["qs9"]], tables).collect()
+    assert found["CheckStatus"] == "PASS" and found["CheckedRowCount"] == tables["silver.transaction_clean"].count()
+    assert written["key-hashes"].count() == 1
