@@ -102,3 +102,19 @@ def test_hashes_of_unique_keys_are_not_written(spark, monkeypatch):
     (found,) = checks.evaluate([quality.silver_checks()["qs9"]], tables).collect()
     assert found["CheckStatus"] == "PASS" and found["CheckedRowCount"] == tables["silver.transaction_clean"].count()
     assert written["key-hashes"].count() == 1
+
+
+def test_unique_keys_are_shuffled_as_one_hash(spark, monkeypatch):
+    plans = []
+
+    def kept(df, label, *by):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, label, *by)
+
+    monkeypatch.setattr(checks, "materialise", kept)
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (2, None), (2, None)], "g int, k string")
+    check = checks.Unique("c", "L", "t", "n", checks.UNIQUENESS, checks.ERROR, "d", keys=("k",))
+    found = checks.key_counts([check], {"t": rows}, {"t": "g"}).collect()
+    assert sorted((int(r["_group"]), r["_rows"], r["_bad"]) for r in found) == [(1, 3, 1), (2, 3, 1)]
+    (hashed,) = [p for p in plans[0].split("Exchange hashpartitioning(")[1:] if "_hash" in p.split("]")[0]]
+    assert hashed.startswith("_hash#") and "_group" not in hashed.split("]")[0]
