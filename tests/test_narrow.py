@@ -6,8 +6,10 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from tillworks.functions.rowops import known
 from tillworks.operators import checks
 from tillworks.operators.dedup import latest_copy, latest_of_few_copies
+from tillworks.operators.distinct import with_distinct_counts, with_distinct_counts_of_small_groups
 from tillworks.plans import bronze, facts, marts, quality, silver
 from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, lake_of
 from tillworks.schema import BRONZE_TABLE
@@ -118,3 +120,34 @@ def test_unique_keys_are_shuffled_as_one_hash(spark, monkeypatch):
     assert sorted((int(r["_group"]), r["_rows"], r["_bad"]) for r in found) == [(1, 3, 1), (2, 3, 1)]
     (hashed,) = [p for p in plans[0].split("Exchange hashpartitioning(")[1:] if "_hash" in p.split("]")[0]]
     assert hashed.startswith("_hash#") and "_group" not in hashed.split("]")[0]
+
+
+def test_members_of_distinct_counts_are_one_number(spark):
+    """Members beyond a BIGINT that agree in their lower 18 digits, or with a small one, stay apart."""
+    text = ["5", "5", "9" * 20, "8" + "9" * 19, "-" + "9" * 20, "10000000000000000005", "-9223372036854775808", "0", None]
+    rows = spark.createDataFrame([(1, t, i % 2) for i, t in enumerate(text)], "g int, t string, b int")
+    rows = rows.withColumn("a", F.col("t").cast("decimal(20,0)"))
+    keys, counts = {"g": F.col("g")}, {"n": F.col("a"), "m": F.col("b")}
+    got = with_distinct_counts(rows, keys, [F.count("*").alias("rows")], counts)
+    assert [tuple(r) for r in got.select("g", "rows", "n", "m").collect()] == [(1, 9, 7, 2)]
+    assert "_wide" not in got._jdf.queryExecution().optimizedPlan().toString()
+    small = with_distinct_counts_of_small_groups(rows, keys, [F.count("*").alias("rows")], counts)
+    assert [tuple(r) for r in small.select("g", "rows", "n", "m").collect()] == [(1, 9, 7, 2)]
+
+
+def test_products_by_day_shuffle_each_line_once(spark):
+    lake = lake_of(spark, SMALL)
+    sales = lake["dwh.fact_sales_transaction"].withColumn("ProcessDay", F.col("WeekNumber"))
+    by_day = marts.product_sales(sales, lake["dwh.dim_product"], SNAPSHOT, PROCESS_DATE, ("ProcessDay",))
+    assert _exchanges(by_day) == 1
+    counts = ["BasketCount", "CouponTransactionCount", "HouseholdCount", "StoreCount"]
+    expected = with_distinct_counts(
+        sales,
+        {c: F.col(c) for c in ("ProductKey", "ProcessDay")},
+        marts._sales_sums(),
+        {**marts._baskets(), "HouseholdCount": known("HouseholdKey"), "StoreCount": known("StoreKey")},
+    )
+    columns = ["ProductKey", "ProcessDay", "TotalQuantity", "NetSalesAmount", *counts]
+    types = [f.dataType for f in by_day.select(columns).schema]
+    expected = expected.select(*[F.col(c).cast(t) for c, t in zip(columns, types, strict=True)])
+    assert by_day.select(columns).exceptAll(expected).isEmpty() and expected.count() == by_day.count()
