@@ -151,3 +151,14 @@ def test_products_by_day_shuffle_each_line_once(spark):
     types = [f.dataType for f in by_day.select(columns).schema]
     expected = expected.select(*[F.col(c).cast(t) for c, t in zip(columns, types, strict=True)])
     assert by_day.select(columns).exceptAll(expected).isEmpty() and expected.count() == by_day.count()
+
+
+def test_pairs_of_a_large_table_go_to_tasks_that_hold_them(spark):
+    rows = spark.range(3000).select((F.col("id") % 7).alias("g"), (F.col("id") % 100).alias("a"), (F.col("id") % 3).alias("b"))
+    keys, counts = {"g": F.col("g")}, {"n": F.col("a"), "m": F.col("b")}
+    several = 3 * spark.sparkContext.defaultParallelism
+    dealt = with_distinct_counts(rows, keys, [F.count("*").alias("rows")], counts, rows=several * 500_000)
+    plain = with_distinct_counts(rows, keys, [F.count("*").alias("rows")], counts)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert f", {several}), REPARTITION_BY_NUM" in plan
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
