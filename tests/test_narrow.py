@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -10,10 +12,11 @@ from tillworks.functions.rowops import known
 from tillworks.operators import checks
 from tillworks.operators.dedup import latest_copy, latest_of_few_copies
 from tillworks.operators.distinct import with_distinct_counts, with_distinct_counts_of_small_groups
+from tillworks.operators.lookup import lookup_key, lookup_packed, packed_keys
 from tillworks.plans import bronze, facts, marts, quality, silver
-from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, lake_of
+from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, lake_of, promotion_performance
 from tillworks.schema import BRONZE_TABLE
-from tillworks.session import materialise
+from tillworks.session import dealt, materialise
 
 
 def _written_columns(df) -> set[str]:
@@ -162,3 +165,66 @@ def test_pairs_of_a_large_table_go_to_tasks_that_hold_them(spark):
     plan = dealt._jdf.queryExecution().executedPlan().toString()
     assert f", {several}), REPARTITION_BY_NUM" in plan
     assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_packed_keys_give_the_keys_of_a_plain_lookup(spark):
+    """Words and blocks at their edges, gaps, negative and absent natural keys, and none."""
+    ids = sorted({-70, -5, 0, 63, 64, 127, 4095, 4096, 8191, *range(200, 9000, 7)})
+    columns = "ProductKey bigint, ProductID decimal(10,0), IsCurrent boolean"
+    dim = spark.createDataFrame([(i, Decimal(n), True) for i, n in enumerate(ids, 1)], columns)
+    fact = spark.range(-5000, 13000).select(F.col("id").cast("decimal(10,0)").alias("product_id"))
+    fact = fact.unionByName(spark.sql("SELECT CAST(NULL AS DECIMAL(10,0)) AS product_id"))
+    packed = lookup_packed(fact, "product_id", packed_keys(dim, "dim_product"), "dim_product")
+    plain = lookup_key(fact, "product_id", dim, "dim_product")
+    assert packed.schema == plain.schema
+    assert packed.count() == plain.count()
+    assert packed.exceptAll(plain).isEmpty()
+
+
+def test_keys_out_of_order_or_far_apart_are_not_packed(spark):
+    columns = "ProductKey bigint, ProductID decimal(10,0), IsCurrent boolean"
+
+    def packed(pairs):
+        return packed_keys(spark.createDataFrame([(k, Decimal(n), True) for k, n in pairs], columns), "dim_product")
+
+    assert packed([(1, 5), (2, 6), (3, 7)]) is not None
+    assert packed([(2, 5), (1, 6), (3, 7)]) is None
+    assert packed([(1, 5), (2, 5), (3, 7)]) is None
+    assert packed([(k, 5000 * k) for k in range(1, 200)]) is None
+
+
+def test_sales_lines_are_not_shuffled_for_their_keys(spark):
+    lake = lake_of(spark, SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _exchanges(lake["dwh.fact_sales_transaction"]) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_promotion_mart_takes_its_ids_along(spark):
+    """Both sides once, and no join of the mart's rows with products or stores; the same rows as with these."""
+    lake = lake_of(spark, SMALL)
+    joined = marts.promotion_performance(
+        lake["dwh.fact_promotion_weekly"],
+        lake["dwh.fact_sales_transaction"],
+        lake["dwh.dim_product"],
+        lake["dwh.dim_store"],
+        SNAPSHOT,
+        PROCESS_DATE,
+    ).drop("CreatedAt")
+    stored = lake["dm_marketing.dm_promotion_performance"].drop("CreatedAt")
+    assert stored.dtypes == joined.dtypes
+    assert stored.count() == joined.count()
+    assert stored.exceptAll(joined).isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _exchanges(promotion_performance(lake)) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tasks_follow_the_number_of_rows(spark):
+    rows = spark.range(10).withColumnRenamed("id", "a")
+    assert "hashpartitioning(a#" in (plan := dealt(rows, 500_000 * 20, "a")._jdf.queryExecution().executedPlan().toString())
+    assert ", 20)" in plan and "REPARTITION_BY_NUM" in plan
