@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import time
 from decimal import Decimal
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from tillworks import session
 from tillworks.functions.rowops import known
 from tillworks.operators import checks
 from tillworks.operators.dedup import latest_copy, latest_of_few_copies
 from tillworks.operators.distinct import with_distinct_counts, with_distinct_counts_of_small_groups
 from tillworks.operators.lookup import lookup_key, lookup_packed, packed_keys
-from tillworks.plans import bronze, facts, marts, quality, silver
+from tillworks.plans import bronze, dims, facts, marts, quality, silver
 from tillworks.plans.lake import PROCESS_DATE, SNAPSHOT, Lake, lake_of, promotion_performance
 from tillworks.schema import BRONZE_TABLE
 from tillworks.session import dealt, materialise
+from tillworks.sources import derived
 
 
 def _written_columns(df) -> set[str]:
@@ -228,3 +231,74 @@ def test_tasks_follow_the_number_of_rows(spark):
     rows = spark.range(10).withColumnRenamed("id", "a")
     assert "hashpartitioning(a#" in (plan := dealt(rows, 500_000 * 20, "a")._jdf.queryExecution().executedPlan().toString())
     assert ", 20)" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_lines_are_joined_with_their_orders_once(spark, monkeypatch):
+    joined = []
+    plain = derived._lines
+    monkeypatch.setattr(derived, "_lines", lambda *args: joined.append(args) or plain(*args))
+    lake = Lake(spark, SMALL)
+    for table, source in (("transaction_data_raw", "transaction_data"), ("causal_data_raw", "causal_data")):
+        stored = lake[f"bronze.{table}"]
+        assert len(joined) == 1, "joined once for both"
+        whole = bronze.to_bronze(derived.DERIVED[source](spark, SMALL), source, SNAPSHOT, PROCESS_DATE)
+        columns = [c for c in whole.columns if c != "ETLTime"]
+        assert stored.select(columns).dtypes == whole.select(columns).dtypes
+        assert stored.count() == whole.count() and stored.select(columns).exceptAll(whole.select(columns)).isEmpty()
+        del joined[1:]
+    assert lake["bronze.transaction_data_raw"].select("ETLTime").distinct().count() == 1
+
+
+def test_stores_do_not_wait_for_clean_promotions(spark):
+    lake = Lake(spark, SMALL)
+    stores = lake["dwh.dim_store"].filter("StoreKey <> -1").select("StoreID")
+    assert "silver.promotion_weekly_clean" not in lake._tables
+    clean = dims.store_source(lake["silver.transaction_clean"], lake["silver.promotion_weekly_clean"]).select("StoreID")
+    assert stores.exceptAll(clean).isEmpty() and clean.exceptAll(stores).isEmpty()
+
+
+def test_amounts_that_follow_from_others_stay_out_of_the_promotion_mart(spark):
+    lake = lake_of(spark, SMALL)
+    mart = lake["dm_marketing.dm_promotion_performance"]
+    written = _written_columns(mart)
+    assert "NetSalesAmount" in written and not {"GrossSalesAmount", "AverageBasketAmount"} & written
+    sales = lake["dwh.fact_sales_transaction"]
+    plan = marts.promotion_sales(sales)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression") :].splitlines()[1]
+    assert "_member" in below and "GrossSalesAmount" not in below
+    expected = sales.groupBy("ProductKey", "StoreKey", "WeekNumber").agg(
+        F.countDistinct("BasketID").alias("BasketCount"), F.sum("GrossSalesAmount").alias("GrossSalesAmount")
+    )
+    assert marts.promotion_sales(sales).select(expected.columns).exceptAll(expected).isEmpty()
+
+
+def test_baskets_beyond_a_bigint_and_none_in_promotion_sales(spark):
+    rows = [(1, 1, 1, b) for b in ("5", "5", "9" * 20, "8" + "9" * 19, None)] + [(2, 1, 1, None)]
+    sales = spark.createDataFrame(rows, "ProductKey bigint, StoreKey bigint, WeekNumber int, b string").select(
+        "ProductKey", "StoreKey", "WeekNumber", F.col("b").cast("decimal(20,0)").alias("BasketID"),
+        *[F.lit(v).cast("decimal(18,4)").alias(c) for c, v in
+          (("Quantity", 1), ("GrossSalesAmount", 3), ("TotalDiscountAmount", 1), ("NetSalesAmount", 2))],
+    )
+    got = marts.promotion_sales(sales).orderBy("ProductKey").select("BasketCount", "GrossSalesAmount").collect()
+    assert [tuple(map(int, r)) for r in got] == [(3, 15), (0, 3)]
+
+
+def _shuffle_files(spark) -> int:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return files.mkString("\n").count("/shuffle_")
+
+
+def test_shuffle_files_of_a_written_table_go_with_the_write(spark):
+    before = _shuffle_files(spark)
+    rows = spark.range(1000).repartition(4, "id")
+    table = materialise(rows, "shuffled")
+    for _ in range(50):
+        if _shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get(session._CLEANUP, None) is None
+    assert table.count() == 1000
+    with session.shuffles_removed(spark), session.shuffles_removed(spark):
+        assert spark.conf.get(session._CLEANUP) == "true"
+    assert spark.conf.get(session._CLEANUP, None) is None
