@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tillworks import session
 from tillworks.functions.rowops import known
-from tillworks.operators import checks
-from tillworks.operators.dedup import latest_copy, latest_of_few_copies
+from tillworks.operators import checks, dedup
+from tillworks.operators.dedup import latest_copy, latest_in_place, latest_of_few_copies
 from tillworks.operators.distinct import with_distinct_counts, with_distinct_counts_of_small_groups
 from tillworks.operators.lookup import lookup_key, lookup_packed, packed_keys
 from tillworks.plans import bronze, dims, facts, marts, quality, silver
@@ -302,3 +302,28 @@ def test_shuffle_files_of_a_written_table_go_with_the_write(spark):
     with session.shuffles_removed(spark), session.shuffles_removed(spark):
         assert spark.conf.get(session._CLEANUP) == "true"
     assert spark.conf.get(session._CLEANUP, None) is None
+
+
+def test_clean_tables_with_few_copies_are_not_written_again(spark, monkeypatch):
+    lake = Lake(spark, SMALL)
+    for name in ("silver.transaction_clean", "silver.promotion_weekly_clean"):
+        table = lake[name]
+        assert not any("/silver." in f for f in table.inputFiles())
+        assert table.select("ETLTime").distinct().count() == 1
+    monkeypatch.setattr(dedup, "_FEW", -1)
+    stored = Lake(spark, SMALL)
+    for name in ("silver.transaction_clean", "silver.promotion_weekly_clean"):
+        assert all("/silver." in f for f in stored[name].inputFiles())
+        columns = [c for c in stored[name].columns if c != "ETLTime"]
+        assert stored[name].dtypes == lake[name].dtypes and stored[name].count() == lake[name].count()
+        assert stored[name].select(columns).exceptAll(lake[name].select(columns)).isEmpty()
+
+
+def test_copies_in_place(spark):
+    rows = [(None, 1, 3), (1, None, 4), (2, 2, 1), (2, 2, 9), (2, 2, 5), (7, 8, 0)]
+    df = spark.createDataFrame(rows, "a int, b int, ETLTime int")
+    got, in_place = latest_in_place(df, ["a", "b"])
+    assert in_place and _exchanges(got) == 0
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, latest_copy(df, ["a", "b"]).collect()), key=repr)
+    alone, in_place = latest_in_place(df.filter("a = 7"), ["a", "b"])
+    assert in_place and [tuple(r) for r in alone.collect()] == [(7, 8, 0)]
