@@ -327,3 +327,18 @@ def test_copies_in_place(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, latest_copy(df, ["a", "b"]).collect()), key=repr)
     alone, in_place = latest_in_place(df.filter("a = 7"), ["a", "b"])
     assert in_place and [tuple(r) for r in alone.collect()] == [(7, 8, 0)]
+
+
+def test_members_of_many_groups_are_counted_in_few_tasks(spark):
+    """Of each group a row per count and part at most, and not one per pair, is shuffled to be added up."""
+    text = ["5", "9" * 20, "8" + "9" * 19, "-" + "9" * 20, "10000000000000000005", None]
+    wide = F.element_at(F.array(*[F.lit(t) for t in text]), (F.col("id") % len(text) + 1).cast("int")).cast("decimal(20,0)")
+    rows = spark.range(20_000).select((F.col("id") % 7).alias("g"), F.col("id").alias("a"), wide.alias("b"))
+    keys, counts = {"g": F.col("g")}, {"n": F.col("a"), "m": F.col("b")}
+    several = 20 * spark.sparkContext.defaultParallelism
+    few = with_distinct_counts(rows, keys, [F.count("*").alias("rows")], counts, rows=several * 500_000, groups=several * 500_000)
+    plain = with_distinct_counts(rows, keys, [F.count("*").alias("rows")], counts)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, plain.collect()))
+    sent = few._jdf.queryExecution().executedPlan().toString()
+    assert "_which" in sent.split("REPARTITION_BY_NUM")[0].rsplit("hashpartitioning(", 1)[1]
+    assert "_member" not in sent.split("REPARTITION_BY_NUM")[0].rsplit("hashpartitioning(", 1)[1]
