@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from tests.conftest import SMALL
 from tillworks.operators import checks
 from tillworks.operators.checks import BUSINESS_RULE, CRITICAL, ERROR, References, RowRule, Run, SameValue, Unique, evaluate, evaluate_runs
 from tillworks.operators.lookup import packed_members
+from tillworks.plans.lake import SNAPSHOT, Lake, all_checks, lake_of, snapshot_checks
 from tillworks.session import materialise
 
 
@@ -72,3 +75,28 @@ def test_members_that_cannot_be_packed(spark):
     assert packed_members(far, "k") is None
     near = packed_members(spark.range(-5, 100_000).withColumnRenamed("id", "k"), "k")
     assert near.count() == 26
+
+
+def test_a_check_of_the_snapshot_builds_only_what_it_reads(spark):
+    checks_of, log = all_checks(), lake_of(spark, SMALL)["audit.data_quality_log"]
+    for key, built in (
+        ("qb10", {"bronze.coupon_redemption_raw"}),
+        ("qw18", {"dwh.dim_household", "dwh.dim_campaign", "dwh.fact_campaign_target"}),
+        ("qm17", {"dm_marketing.dm_daily_sales", "dm_marketing.dm_promotion_performance"}),
+    ):
+        lake = Lake(spark, SMALL)
+        found = snapshot_checks(lake, [checks_of[key]]).drop("ETLTime")
+        logged = log.filter(F.col("DQLogID") == f"{SNAPSHOT}_{checks_of[key].id}").drop("ETLTime")
+        assert found.collect() == logged.collect() and found.count() == 1
+        assert all(lake.has(name) for name in built)
+        assert not any(lake.has(name) for name in ("batches", "by_day.dm_product_sales", "audit.etl_table_load_log", "audit.data_quality_log"))
+        assert key == "qm17" or not lake.has("source.lines")
+
+
+def test_checks_of_two_layers_are_those_of_the_log(spark):
+    lake = Lake(spark, SMALL)
+    wanted = [c for c in all_checks().values() if c.layer in ("DWH", "DM")]
+    found = snapshot_checks(lake, wanted).drop("ETLTime")
+    assert not lake.has("audit.data_quality_log")
+    log = lake["audit.data_quality_log"].filter(F.col("BatchID") == SNAPSHOT).filter("LayerName IN ('DWH', 'DM')").drop("ETLTime")
+    assert found.count() == 45 and found.exceptAll(log).isEmpty()
