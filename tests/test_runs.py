@@ -100,3 +100,14 @@ def test_checks_of_two_layers_are_those_of_the_log(spark):
     assert not lake.has("audit.data_quality_log")
     log = lake["audit.data_quality_log"].filter(F.col("BatchID") == SNAPSHOT).filter("LayerName IN ('DWH', 'DM')").drop("ETLTime")
     assert found.count() == 45 and found.exceptAll(log).isEmpty()
+
+
+def test_sources_are_delivered_from_the_stored_lines(spark):
+    """The same CSV rows as from the source tables, without joining and grouping them again."""
+    lake, other = Lake(spark, SMALL), Lake(spark, SMALL)
+    for table in ("source.lines", "bronze.causal_data_raw"):
+        lake[table]
+    for name in ("transaction_data", "causal_data"):
+        assert "Exchange" not in lake._delivered(name)._jdf.queryExecution().executedPlan().toString()
+        stored, derived = (spark.read.text(of.csv(name)).filter("value NOT LIKE '%WEEK_NO%'") for of in (lake, other))
+        assert stored.count() == derived.count() > 0 and stored.exceptAll(derived).isEmpty()
